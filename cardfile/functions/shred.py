@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 import sys
+from collections.abc import Iterator
 from html import unescape
 
 import pyarrow as pa
@@ -48,6 +49,9 @@ _ATTR = re.compile(
     r"([^\s=>\"'/][^\s=>/]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]*+)))?+"
 )
 
+# Output is cut into arrays of about this many nodes, whatever the size of the input batch.
+_NODES_PER_ARRAY = 50_000
+
 _VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
@@ -193,11 +197,19 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 @F.arrow_udf(returnType=NODES_TYPE)
-def _shred(html: pa.Array) -> pa.Array:
-    out = _Page()
-    for page in html:
-        out.add(page.as_py())
-    return out.array()
+def _shred(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for batch in batches:
+        out = _Page()
+        for html in batch:
+            out.add(html.as_py())
+            if len(out.ids) >= _NODES_PER_ARRAY:
+                yield out.array()
+                out = _Page()
+        yield out.array()
+
+
+# Not declared deterministic, so a filter on extracted fields does not run the shredder twice.
+_shred = _shred.asNondeterministic()
 
 
 def shred(html: Column | str) -> Column:

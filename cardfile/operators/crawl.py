@@ -46,9 +46,12 @@ def crawl_cutoff(
 def crawl_frontier(seeds: DataFrame, links: DataFrame, max_hops: int) -> DataFrame:
     """Addresses reachable from the seeds in at most ``max_hops`` links, with the fewest hops.
 
-    ``seeds`` has ``url``, ``links`` has ``src`` and ``dst``. Each round is written once, so the plan
-    of a round starts from tables; the loop ends with the first round that finds nothing new.
+    ``seeds`` has ``url``, ``links`` has ``src`` and ``dst``. Links and each round are written once,
+    so the plan of a round starts from tables; the loop ends with the first round that finds
+    nothing new. A round keeps links of the frontier by a semi join, so a page with very many links
+    can be split, and a page linked to very often is one key after the map side.
     """
+    links = materialize(links.select("src", "dst"), "links")
     frontier = materialize(
         seeds.select("url").distinct().withColumn("hop", F.lit(0)), "frontier"
     )

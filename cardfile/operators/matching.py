@@ -1,9 +1,10 @@
 """Lookups against lists.
 
-Lists are made distinct first, so a match never multiplies rows. No join carries a broadcast hint:
-Spark broadcasts a list when its measured size is under ``spark.sql.autoBroadcastJoinThreshold``,
-and beyond that shuffles both sides and splits hot keys of the row side at run time (every join
-here keeps rows of the left side only, the kind adaptive execution can split).
+Lists become written tables of distinct keys first (``key_table``), so a match never multiplies
+rows. No join carries a broadcast hint: Spark broadcasts a list when its files are smaller than
+``spark.sql.autoBroadcastJoinThreshold``, and beyond that shuffles both sides and splits hot keys of
+the row side at run time (every join here keeps rows of the left side only, the kind that adaptive
+execution can split).
 """
 
 from __future__ import annotations
@@ -16,20 +17,21 @@ from pyspark.sql import functions as F
 from ..functions.emails import split_emails_at, split_emails_list
 from ..functions.text import not_blank, strip, strip_lower
 from ..functions.urls import normalize_url
+from ..session import key_table
 from .columns import col_at, quoted, replace_col
 
 
 def lookup(spark: SparkSession, values: Sequence[str], name: str = "value") -> DataFrame:
-    """An inline list as a table with one distinct column."""
-    return spark.createDataFrame([(v,) for v in values], f"{name} string").distinct()
+    """An inline list as a table with one column."""
+    return spark.createDataFrame([(v,) for v in dict.fromkeys(values)], f"{name} string")
 
 
 def resume(
     rows: DataFrame, done: DataFrame, key: str, done_key: str | None = None, distinct: bool = False
 ) -> DataFrame:
     """Rows whose key is not in the finished table; repeated input rows stay unless ``distinct``."""
-    finished = (
-        done.select(strip(quoted(done_key or key)).alias(key)).filter(not_blank(key)).distinct()
+    finished = key_table(
+        done.select(strip(quoted(done_key or key)).alias(key)).filter(not_blank(key)), key
     )
     left = rows.dropDuplicates([key]) if distinct else rows
     return left.join(finished, key, "left_anti").select(*[quoted(c) for c in rows.columns])
@@ -37,7 +39,7 @@ def resume(
 
 def new_only(links: DataFrame, known: DataFrame, url: str, known_url: str | None = None) -> DataFrame:
     """Links whose normalised address is not known yet; both sides are normalised."""
-    seen = known.select(normalize_url(quoted(known_url or url)).alias("_url")).distinct()
+    seen = key_table(known.select(normalize_url(quoted(known_url or url)).alias("_url")), "_url")
     return (
         links.withColumn("_url", normalize_url(quoted(url)))
         .join(seen, "_url", "left_anti")
@@ -72,7 +74,7 @@ def flag_normalized(
 
 def _flag(df: DataFrame, key: Column, known: DataFrame, flag: str, nulls_match: bool) -> DataFrame:
     rows = df.withColumn("_key", key)
-    names = known.distinct().withColumn("_hit", F.lit(True))
+    names = key_table(known, "_known").withColumn("_hit", F.lit(True))
     same = (
         rows["_key"].eqNullSafe(names["_known"]) if nulls_match else rows["_key"] == names["_known"]
     )
@@ -92,7 +94,9 @@ def match_first(
     back to its row by ordinal.
     """
     cells = split_emails_list(quoted(column))
-    wanted = emails.select(strip_lower(quoted(listed)).alias("_email")).dropna().distinct()
+    wanted = key_table(
+        emails.select(strip_lower(quoted(listed)).alias("_email")).dropna(), "_email"
+    )
     winners = (
         df.select(quoted(ordinal).alias(ordinal), F.posexplode(cells).alias("_pos", "_email"))
         .join(wanted, "_email", "left_semi")

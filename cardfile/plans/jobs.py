@@ -22,7 +22,7 @@ from ..operators.links import dedup_links, link_label, page_links, profile_field
 from ..operators.matching import all_unique, flag_exact, flag_normalized, match_first, new_only, resume
 from ..operators.ordering import matched_first
 from ..operators.routing import quarantine
-from ..session import materialize
+from ..session import key_table, materialize
 from ..streaming.incremental import failure_rows
 
 BUSINESS_WORDS = ["business", "company"]
@@ -91,12 +91,23 @@ def input_urls(df: DataFrame, candidates: list[str] = URL_COLUMNS) -> DataFrame:
 
 
 def extract_profiles(
-    queue: DataFrame, pages: DataFrame, done: DataFrame, selectors: dict[str, Selector]
+    queue: DataFrame, pages: DataFrame, done: DataFrame, selectors: dict[str, Selector],
+    page_id: str = "page_id",
 ) -> DataFrame:
-    """Profile rows for queued addresses that are not done; without a page, a blank row."""
-    todo = resume(input_urls(queue).select("url"), done, "url", distinct=True)
-    captured = pages.join(todo, "url", "left_semi")
-    return failure_rows(todo, profile_fields(with_nodes(captured), selectors, "url"))
+    """Profile rows for queued addresses that are not done; without a page, a blank row.
+
+    An address queued twice gives two rows but is parsed once; of several captures of an address
+    the one with the smallest ``page_id`` counts. Addresses are made distinct before they meet
+    other tables, and pages are picked by their unique number, so an address that fills the queue
+    or the captures gathers nowhere.
+    """
+    urls = input_urls(queue).select("url")
+    targets = key_table(resume(urls, done, "url", distinct=True), "url")
+    captures = pages.groupBy("url").agg(F.min(page_id).alias(page_id))
+    picked = key_table(captures.join(targets, "url", "left_semi"), page_id)
+    shredded = with_nodes(pages.join(picked, page_id, "left_semi"))
+    rows = failure_rows(targets, profile_fields(shredded, selectors, "url"))
+    return urls.join(materialize(rows, "profiles"), "url")
 
 
 def discover_agents(
@@ -113,17 +124,15 @@ def discover_agents(
     good, bad = quarantine(
         named, is_valid_url("website_url"), F.col("website_url"), "invalid website URL"
     )
-    todo = resume(good, done, "website_url")
-    order = todo.groupBy("website_url").agg(F.min(ordinal).alias("site_ord"))
+    first_seen = good.groupBy("website_url").agg(F.min(ordinal).alias("site_ord"))
+    order = materialize(resume(first_seen, done, "website_url"), "sites")
     shredded = with_nodes(pages.join(order, "website_url"))
     links = page_links(shredded, "website_url", "site_ord", "page").filter(
         F.col("rule_rank").isNotNull() & is_agent_link("href", "label") & followable("href")
     )
     absolute = links.withColumn("agent_url", resolve("website_url", "href"))
-    fresh = dedup_links(
-        new_only(absolute, known, "agent_url"),
-        "agent_url", "site_ord", "page", "rule_rank", "position",
-    )
+    firsts = dedup_links(absolute, "agent_url", "site_ord", "page", "rule_rank", "position")
+    fresh = new_only(firsts, known, "agent_url")
     out = fresh.select(
         link_label("label").alias("agent_name"),
         "agent_url",

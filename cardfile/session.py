@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,12 +35,16 @@ def shared_folder(spark: SparkSession) -> str:
     neither write to it nor read it back after a loss.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        folder = tempfile.mkdtemp(prefix="cardfile-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+    return _local_folder(spark.sparkContext.applicationId)
+
+
+@lru_cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"cardfile-{application}-")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
@@ -57,3 +62,14 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def key_table(df: DataFrame, *keys: str) -> DataFrame:
+    """Distinct keys as a written table, for use on the right of a join.
+
+    Two things follow from the files. Their size is known when the join is planned, so a small list
+    is broadcast and the other side is not shuffled at all. And a large list is shuffled straight
+    from a scan, not out of an aggregate, which adaptive execution needs to split a hot key of the
+    other side.
+    """
+    return materialize(df.select(*keys).distinct(), "keys")

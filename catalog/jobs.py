@@ -110,7 +110,7 @@ def plus_phones(spark, sf):
 
 @query(
     "extract_profiles",
-    f"""WITH q AS (SELECT DISTINCT 'https://agents.example.com/' || o_custkey AS url FROM orders WHERE o_orderpriority <> '5-LOW'),
+    f"""WITH q AS (SELECT 'https://agents.example.com/' || o_custkey AS url FROM orders WHERE o_orderpriority <> '5-LOW'),
         d AS (SELECT 'https://agents.example.com/' || o_custkey AS url FROM orders WHERE o_orderstatus = 'P'),
         p AS (SELECT * FROM {PROFILE_SQL} JOIN customer USING (c_custkey) WHERE c_acctbal > 0)
         SELECT q.url, coalesce(business_name, '') AS business_name, coalesce(name, '') AS name,
@@ -130,7 +130,7 @@ def extract_profiles(spark, sf):
     captured = profile_pages(spark, sf).join(
         table(spark, sf, "customer").filter("c_acctbal > 0").select("c_custkey"), "c_custkey", "left_semi"
     )
-    return jobs.extract_profiles(queue, captured, done, links.OVERVIEW_PROFILE)
+    return jobs.extract_profiles(queue, captured, done, links.OVERVIEW_PROFILE, "c_custkey")
 
 
 _SITES = """(SELECT n_nationkey, n_regionkey, CASE n_nationkey % 7 WHEN 0 THEN concat('site', n_nationkey, '.example.com')
