@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from .text import col, strip_lower, text
 
 # Fixed value: what counts as an address in running text.
-EMAIL_PATTERN = r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}"
+EMAIL_LOCAL = r"[A-Za-z0-9._%+\-]"
+EMAIL_DOMAIN = r"[A-Za-z0-9.\-]+\.[A-Za-z]{2,}"
 
 
 def split_emails_list(cell: Column | str) -> Column:
@@ -24,4 +25,11 @@ def split_emails_at(cell: Column | str) -> Column:
 
 
 def extract_emails(body: Column | str) -> Column:
-    return F.regexp_extract_all(col(body), F.lit(EMAIL_PATTERN), F.lit(0))
+    """Addresses in running text.
+
+    A try starts where a run of address characters starts or the last address ended, since a run
+    that fails there fails from all its other places; and texts without ``@`` are not tried.
+    """
+    pattern = rf"(?:\G|(?<!{EMAIL_LOCAL})){EMAIL_LOCAL}++@{EMAIL_DOMAIN}"
+    found = F.regexp_extract_all(col(body), F.lit(pattern), F.lit(0))
+    return F.when(col(body).contains("@"), found).otherwise(F.array().cast("array<string>"))

@@ -19,8 +19,11 @@ def text(c: Column | str) -> Column:
 
 
 def strip(c: Column | str) -> Column:
-    """Both ends, any Unicode white space; F.trim only knows U+0020."""
-    return F.regexp_replace(col(c), rf"(?U)\A{WS}+|{WS}+\z", "")
+    """Both ends, any Unicode white space; F.trim only knows U+0020.
+
+    The look-behind starts the second half only where a gap starts, so a long gap is read once.
+    """
+    return F.regexp_replace(col(c), rf"(?U)\A{WS}++|(?<!{WS}){WS}++\z", "")
 
 
 def strip_lower(c: Column | str) -> Column:

@@ -9,13 +9,7 @@ from pyspark.sql import functions as F
 
 from .text import col, strip, text
 
-# Shape of a usable address, and endings or parts that rule one out.
-URL_SCHEME = r"https?://"
-URL_HOST = (
-    r"(?:(?:[A-Z0-9](?:[A-Z0-9-]{0,61}[A-Z0-9])?\.)+[A-Z]{2,6}\.?"
-    r"|localhost|\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3})"
-)
-URL_REST = r"(?::\d+)?(?:/?|[/?]\S+)"
+# Endings or parts that rule out an address.
 FILE_ENDINGS = ["pdf", "doc", "docx", "xls", "xlsx", "jpg", "jpeg", "png", "gif", "zip", "rar"]
 FOREIGN_PARTS = ["mailto:", "tel:", "javascript:", "#"]
 
@@ -40,8 +34,21 @@ def _any(tests: list[Column]) -> Column:
 
 
 def is_valid_url(c: Column | str, exclusions: bool = True) -> Column:
+    """http(s), a host, maybe a port, then nothing or a path without white space; and not a file
+    or another kind of link, unless ``exclusions`` is off.
+
+    A host is localhost, four numbers, or labels of at most 63 letters, digits and inner hyphens
+    before a top level of 2 to 6 letters. The label rules are tested one by one: a pattern that
+    repeats over labels recurses per label, and one junk address would overflow the stack.
+    """
     u = text(c)
-    shape = u.rlike(f"(?iU)^{URL_SCHEME}{URL_HOST}{URL_REST}$")
+    host = F.regexp_extract(u, r"(?iU)^https?://([A-Z\d.\-]++)(?::\d+)?(?:/?|[/?]\S+)$", 1)
+    domain = (
+        host.rlike(r"(?iU)^[A-Z0-9.\-]++$")
+        & host.rlike(r"(?iU)\.[A-Z]{2,6}\.?$")
+        & ~host.rlike(r"(?iU)^[.\-]|\.[.\-]|-\.|[A-Z0-9\-]{64}")
+    )
+    shape = domain | host.rlike(r"(?iU)^(?:localhost|\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3})$")
     if not exclusions:
         return shape
     endings = "|".join(FILE_ENDINGS)

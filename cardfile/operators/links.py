@@ -92,7 +92,7 @@ def page_links(shredded: DataFrame, *keep: str, rules: list[Selector] | None = N
         )
 
     records = let(
-        F.array(*hits), lambda h: F.transform(links.select("nodes"), lambda n: record(n, h))
+        F.array(*hits).cast("array<array<int>>"), lambda h: F.transform(links.select("nodes"), lambda n: record(n, h))
     )
     return shredded.select(*keep, F.inline(records))
 

@@ -45,10 +45,14 @@ def read_contacts(
     return df.na.fill("")
 
 
-def write_csv(df: DataFrame, path: str, quote_all: bool = False, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", True).option("quoteAll", quote_all).option(
-        "escape", '"'
-    ).option("emptyValue", "").csv(path)
+def write_csv(
+    df: DataFrame, path: str, quote_all: bool = False, mode: str = "overwrite", header: bool = True
+) -> None:
+    """CSV that keeps cells as they are, outer blanks included."""
+    df.write.mode(mode).options(
+        header=header, quoteAll=quote_all, escape='"', emptyValue="",
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+    ).csv(path)
 
 
 def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:

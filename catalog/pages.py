@@ -14,7 +14,7 @@ from .registry import query, table
 
 def decode_sql(x: str) -> str:
     for entity, char in (("&middot;", "·"), ("&copy;", "©"), ("&quot;", '"'), ("&amp;", "&")):
-        x = f"replace({x}, '{entity}', '{char}')"
+        x = f"regexp_replace({x}, '{entity}?', '{char}', 'g')"
     return x
 
 

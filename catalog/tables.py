@@ -32,9 +32,7 @@ def csv_round_trip(spark, sf):
 def headerless_csv(spark, sf):
     path = fresh_path(spark, "csv")
     rows = leads(spark, sf).select("Business Name", "Phone", "Emails")
-    rows.write.option("header", False).option("escape", '"').option(
-        "ignoreLeadingWhiteSpace", False
-    ).option("ignoreTrailingWhiteSpace", False).csv(path)
+    t.write_csv(rows, path, header=False)
     return t.read_contacts(spark, path, ["Business_Name", "Phone", "Emails"], header=False)
 
 
