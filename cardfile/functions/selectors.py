@@ -191,24 +191,34 @@ def area(nodes: Column | str, html: Column | str, sel: Selector) -> Column:
     return F.coalesce(F.get(found, 0), none)
 
 
-def page_parts(nodes: Column | str) -> dict[str, Column]:
-    """Links, images, headings and paragraphs of a page, each an array of text lines."""
+def page_parts(nodes: Column | str, area: Selector | None = None) -> dict[str, Column]:
+    """Text of an area (the body), and its links, images, headings and paragraphs as text lines.
+
+    Headings go by level, then by place.
+    """
     ns = _nodes(nodes)
-    links = F.transform(
-        one("a").select(ns),
-        lambda n: F.concat(inner_text(ns, n), F.lit(" -> "), attr(n, "href")),
-    )
-    images = F.transform(
-        one("img").select(ns), lambda n: F.concat(attr(n, "alt"), F.lit(" -> "), attr(n, "src"))
-    )
+    area = area or one("body")
+
+    def inside(tag: str) -> Column:
+        first_area = F.slice(area.select(ns), 1, 1)
+        found = F.transform(
+            first_area, lambda a: F.filter(inside_of(ns, a), lambda n: n["tag"] == tag)
+        )
+        return F.flatten(found)
+
+    def filled(tag: str) -> Column:
+        return F.filter(F.transform(inside(tag), lambda n: inner_text(ns, n)), lambda t: t != "")
 
     def headings(tag: str) -> Column:
-        filled = F.filter(all_text(ns, one(tag)), lambda t: t != "")
-        return F.transform(filled, lambda t: F.concat(F.lit(f"{tag}: "), t))
+        return F.transform(filled(tag), lambda t: F.concat(F.lit(f"{tag}: "), t))
+
+    def pair(before: Column, after: Column) -> Column:
+        return F.concat(before, F.lit(" -> "), after)
 
     return {
-        "all_links": links,
-        "all_images": images,
+        "main_text": node_text(ns, area),
+        "all_links": F.transform(inside("a"), lambda n: pair(inner_text(ns, n), attr(n, "href"))),
+        "all_images": F.transform(inside("img"), lambda n: pair(attr(n, "alt"), attr(n, "src"))),
         "headings": F.concat(*[headings(f"h{level}") for level in range(1, 7)]),
-        "paragraphs": F.filter(all_text(ns, one("p")), lambda t: t != ""),
+        "paragraphs": filled("p"),
     }

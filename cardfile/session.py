@@ -48,8 +48,12 @@ def _local_folder(application: str) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path below the shared folder that no earlier run has used."""
-    return os.path.join(shared_folder(spark), f"{label}-{uuid.uuid4().hex}")
+    """A path that no earlier run has used, below the shared folder.
+
+    All paths of an application are in one folder, which can go once its results are no longer read.
+    """
+    application = f"cardfile-{spark.sparkContext.applicationId}"
+    return os.path.join(shared_folder(spark), application, f"{label}-{uuid.uuid4().hex}")
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -133,41 +133,41 @@ def extract_profiles(spark, sf):
     return jobs.extract_profiles(queue, captured, done, links.OVERVIEW_PROFILE, "c_custkey")
 
 
-_SITES = """(SELECT n_nationkey, n_regionkey, CASE n_nationkey % 7 WHEN 0 THEN concat('site', n_nationkey, '.example.com')
-    WHEN 1 THEN concat('https://site', n_nationkey, '.example.com/brochure.pdf') WHEN 2 THEN '  '
-    ELSE concat('https://site', n_nationkey, '.example.com') END AS website_url FROM nation)"""
+_SITES = """(SELECT s_suppkey, CASE s_suppkey % 7 WHEN 0 THEN concat('site', s_suppkey, '.example.com')
+    WHEN 1 THEN concat('https://site', s_suppkey, '.example.com/brochure.pdf') WHEN 2 THEN '  '
+    ELSE concat('https://site', s_suppkey, '.example.com') END AS website_url FROM supplier)"""
 _URL = "(CASE WHEN href LIKE '/%' THEN l.website_url || href ELSE href END)"
-_AGENTS = f"""WITH s AS (SELECT n_nationkey, concat('https://site', n_nationkey, '.example.com') AS website_url FROM nation
-        WHERE n_nationkey % 7 NOT IN (1, 2) AND n_regionkey <> 0),
-    l AS (SELECT l.*, n_nationkey, {_URL} AS url, {norm_sql(_URL)} AS norm FROM {LISTED_LINKS} l
+_AGENTS = f"""WITH s AS (SELECT s_suppkey, concat('https://site', s_suppkey, '.example.com') AS website_url FROM supplier
+        WHERE s_suppkey % 7 NOT IN (1, 2) AND s_acctbal >= 0),
+    l AS (SELECT l.*, s_suppkey, {_URL} AS url, {norm_sql(_URL)} AS norm FROM {LISTED_LINKS} l
         JOIN s ON l.website_url = s.website_url WHERE place IN (1, 2, 3, 6)),
-    f AS (SELECT *, row_number() OVER (PARTITION BY norm ORDER BY n_nationkey, page, rule, place) AS rn FROM l
-        WHERE norm NOT IN (SELECT concat('https://site', c_nationkey, '.example.com/agent/', c_custkey % 40)
+    f AS (SELECT *, row_number() OVER (PARTITION BY norm ORDER BY s_suppkey, page, rule, place) AS rn FROM l
+        WHERE norm NOT IN (SELECT concat('https://site', CAST(floor(c_custkey / 15) AS BIGINT), '.example.com/agent/', c_custkey % 40)
             FROM customer WHERE c_mktsegment = 'BUILDING'))
     SELECT label AS agent_name, url AS agent_url, website_url, page AS page_number, norm AS normalized_url
     FROM f WHERE rn = 1"""
 
 
 def _discover(spark, sf):
-    n = F.col("n_nationkey")
+    n = F.col("s_suppkey")
     site = F.concat(F.lit("https://site"), n, F.lit(".example.com"))
-    nation = table(spark, sf, "nation")
-    sites = nation.select(
-        "n_nationkey",
+    supplier = table(spark, sf, "supplier")
+    sites = supplier.select(
+        "s_suppkey",
         F.when(n % 7 == 0, F.concat(F.lit("site"), n, F.lit(".example.com")))
         .when(n % 7 == 1, F.concat(site, F.lit("/brochure.pdf")))
         .when(n % 7 == 2, "  ")
         .otherwise(site)
         .alias("website_url"),
     )
-    done = nation.filter("n_regionkey = 0").select(site.alias("website_url"))
+    done = supplier.filter("s_acctbal < 0").select(site.alias("website_url"))
     known = table(spark, sf, "customer").filter("c_mktsegment = 'BUILDING'").select(
         F.concat(
-            F.lit("https://SITE"), "c_nationkey", F.lit(".example.com/agent/"), F.col("c_custkey") % 40,
-            F.lit("#known"),
+            F.lit("https://SITE"), F.floor(F.col("c_custkey") / 15), F.lit(".example.com/agent/"),
+            F.col("c_custkey") % 40, F.lit("#known"),
         ).alias("agent_url")
     )
-    return jobs.discover_agents(sites, listing_pages(spark, sf), done, known, "n_nationkey")
+    return jobs.discover_agents(sites, listing_pages(spark, sf), done, known, "s_suppkey")
 
 
 @query("discover_agents", _AGENTS)
@@ -177,7 +177,7 @@ def discover_agents(spark, sf):
 
 @query(
     "rejected_sites",
-    f"""SELECT n_nationkey, website_url, website_url AS value, 'invalid website URL' AS reason
+    f"""SELECT s_suppkey, website_url, website_url AS value, 'invalid website URL' AS reason
         FROM {_SITES} WHERE website_url LIKE '%.pdf'""",
 )
 def rejected_sites(spark, sf):

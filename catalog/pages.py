@@ -119,19 +119,22 @@ _LINKS = (
 
 @query(
     "page_parts",
-    f"""SELECT page_id, array_to_string({_LINKS}, chr(31)) AS all_links, '' AS all_images,
+    f"""SELECT page_id, {shown_sql("regexp_extract(html, '<body>(.*)$', 1, 's')")} AS main_text,
+        array_to_string({_LINKS}, chr(31)) AS all_links, '' AS all_images,
         'h1: ' || {shown_sql("regexp_extract(html, '<h1>(.*?)</h1>', 1, 's')")} AS headings,
         array_to_string({_PARAS}, chr(31)) AS paragraphs FROM pages""",
 )
 def page_parts(spark, sf):
     parts = sel.page_parts("nodes")
     return with_nodes(_pages(spark, sf)).select(
-        "page_id", *[F.array_join(c, "\x1f").alias(n) for n, c in parts.items()]
+        "page_id",
+        parts.pop("main_text").alias("main_text"),
+        *[F.array_join(c, "\x1f").alias(n) for n, c in parts.items()],
     )
 
 
 LISTING = {
-    "website_url": "concat('https://site', c_nationkey, '.example.com')",
+    "website_url": "concat('https://site', CAST(floor(c_custkey / 15) AS BIGINT), '.example.com')",
     "page": "c_custkey",
     "html": """concat('<html><body><a href="/agent/', c_custkey % 40, '">  ', c_name, ' </a>',
         '<div class="agent-card"><p>x<br>y<a href="/p/', c_custkey % 30, '#top">Meet ', c_name, '</a></div>',

@@ -96,6 +96,7 @@ def test_area_and_parts(spark):
     gone = shredded(spark, page).select(F.inline(F.array(sel.area("nodes", "html", sel.one("nav"))))).first()
     assert tuple(gone) == ("", "", 0)
     parts = shredded(spark, page).select(*[c.alias(n) for n, c in sel.page_parts("nodes").items()]).first()
+    assert parts.main_text == "B\nA\nx\nl"
     assert parts.all_links == ["l -> u"] and parts.all_images == ["i -> s"]
     assert parts.headings == ["h1: A", "h2: B"] and parts.paragraphs == ["x"]
 
