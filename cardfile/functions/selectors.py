@@ -15,7 +15,7 @@ from functools import partial
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import strip
+from .text import let, strip
 
 Test = Callable[[Column, Column], Column]  # (node, all nodes) -> boolean
 
@@ -135,14 +135,6 @@ def _next_step(nodes: Column, step: Step, before: Column) -> Column:
     return F.filter(nodes, lambda n: _fits(n, nodes, step.tag, step.tests) & linked(n))
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with the value computed once.
-
-    An expression used inside a lambda is computed anew for each element; a lambda variable is not.
-    """
-    return F.get(F.transform(F.array(value), lambda v: body(v)), 0)
-
-
 def one(tag: str, *tests: Test) -> Selector:
     return Selector((Step(tag, tests, child=False),))
 

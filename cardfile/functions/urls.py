@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import col, strip, text
+from .text import col, let, strip, text
 
 # Endings or parts that rule out an address.
 FILE_ENDINGS = ["pdf", "doc", "docx", "xls", "xlsx", "jpg", "jpeg", "png", "gif", "zip", "rar"]
@@ -43,16 +43,20 @@ def is_valid_url(c: Column | str, exclusions: bool = True) -> Column:
     """
     u = text(c)
     host = F.regexp_extract(u, r"(?iU)^https?://([A-Z\d.\-]++)(?::\d+)?(?:/?|[/?]\S+)$", 1)
+    shape = let(host, _is_host)
+    if not exclusions:
+        return shape
+    endings = "|".join(FILE_ENDINGS)
+    return shape & ~u.rlike(rf"(?iU)\.(?:{endings})$|{'|'.join(FOREIGN_PARTS)}")
+
+
+def _is_host(host: Column) -> Column:
     domain = (
         host.rlike(r"(?iU)^[A-Z0-9.\-]++$")
         & host.rlike(r"(?iU)\.[A-Z]{2,6}\.?$")
         & ~host.rlike(r"(?iU)^[.\-]|\.[.\-]|-\.|[A-Z0-9\-]{64}")
     )
-    shape = domain | host.rlike(r"(?iU)^(?:localhost|\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3})$")
-    if not exclusions:
-        return shape
-    endings = "|".join(FILE_ENDINGS)
-    return shape & ~u.rlike(rf"(?iU)\.(?:{endings})$|{'|'.join(FOREIGN_PARTS)}")
+    return domain | host.rlike(r"(?iU)^(?:localhost|\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3})$")
 
 
 def ensure_scheme(c: Column | str) -> Column:
@@ -63,9 +67,15 @@ def ensure_scheme(c: Column | str) -> Column:
 
 def normalize_url(c: Column | str) -> Column:
     """Scheme and host in lower case, no fragment, no empty query."""
-    bare = F.regexp_replace(F.regexp_replace(col(c), r"(?s)#.*", ""), r"^([^?]*)\?\z", "$1")
-    head = F.regexp_extract(bare, r"^((?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?]*)?)", 1)
-    return F.concat(F.lower(head), F.substr(bare, F.length(head) + 1))
+
+    def lower_head(u: Column) -> Column:
+        head = F.regexp_extract(u, r"^((?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?]*)?)", 1)
+        return let(head, lambda h: F.concat(F.lower(h), F.substr(u, F.length(h) + 1)))
+
+    def without_empty_query(u: Column) -> Column:
+        return F.when(F.instr(u, "?") == F.length(u), F.substring_index(u, "?", 1)).otherwise(u)
+
+    return let(without_empty_query(F.substring_index(col(c), "#", 1)), lower_head)
 
 
 def site_of(c: Column | str) -> Column:

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from ..functions.selectors import (
     Selector, has, has_own_text, has_text, holds, inner_text, is_attr, nth, one, starts,
-    all_text, let, node_attr, node_text,
+    all_text, node_attr, node_text,
 )
-from ..functions.text import blank_default, join_address
+from ..functions.text import blank_default, join_address, let
 from ..functions.urls import drop_tel, normalize_url, strip_mailto
 from .dedup import keep_first
 

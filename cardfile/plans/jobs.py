@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import business_or_agent, business_or_realtors
@@ -10,17 +10,19 @@ from ..functions.phones import add_plus
 from ..functions.predicates import status_is
 from ..functions.selectors import Selector
 from ..functions.shred import with_nodes
-from ..functions.text import not_blank
+from ..functions.text import not_blank, run_timestamp
 from ..functions.urls import (
-    ensure_scheme, followable, is_agent_link, is_valid_url, normalize_url, resolve,
+    MAX_PAGES, ensure_scheme, followable, is_agent_link, is_valid_url, normalize_url, resolve,
 )
 from ..operators.columns import (
     URL_COLUMNS, coalesce_columns, find_first, find_last_any, quoted, replace_col, require,
 )
+from ..operators.crawl import crawl_cutoff
 from ..operators.dedup import dedup_phone, dedup_text
 from ..operators.links import dedup_links, link_label, page_links, profile_fields
 from ..operators.matching import all_unique, flag_exact, flag_normalized, match_first, new_only, resume
 from ..operators.ordering import matched_first
+from ..operators.reports import site_page_counts
 from ..operators.routing import quarantine
 from ..session import key_table, materialize
 from ..streaming.incremental import failure_rows
@@ -111,12 +113,13 @@ def extract_profiles(
 
 
 def discover_agents(
-    sites: DataFrame, pages: DataFrame, done: DataFrame, known: DataFrame, ordinal: str
+    sites: DataFrame, pages: DataFrame, done: DataFrame, known: DataFrame, ordinal: str,
+    run_at: Column | None = None, max_pages: int = MAX_PAGES,
 ) -> dict[str, DataFrame]:
-    """New agent links of the listed sites, and the sites with unusable addresses.
+    """New agent links of the listed sites, counts per site and page, and the unusable addresses.
 
-    ``sites`` has ``website_url``; ``pages`` has ``website_url``, ``page``, ``url`` and ``html``;
-    ``known`` has ``agent_url``. ``links`` comes with site, page and normalised address.
+    ``sites`` has ``website_url`` and a unique ``ordinal``; ``pages`` has ``website_url``, ``page`` and
+    ``html``; ``done`` has ``website_url`` and ``known`` has ``agent_url``.
     """
     named = sites.filter(not_blank("website_url")).withColumn(
         "website_url", ensure_scheme("website_url")
@@ -126,18 +129,51 @@ def discover_agents(
     )
     first_seen = good.groupBy("website_url").agg(F.min(ordinal).alias("site_ord"))
     order = materialize(resume(first_seen, done, "website_url"), "sites")
-    shredded = with_nodes(pages.join(order, "website_url"))
-    links = page_links(shredded, "website_url", "site_ord", "page").filter(
+    in_reach = pages.filter(F.col("page").between(1, max_pages)).join(order, "website_url")
+    every_page = key_table(in_reach, "site_ord", "page")
+    links = page_links(with_nodes(in_reach), "website_url", "site_ord", "page").filter(
         F.col("rule_rank").isNotNull() & is_agent_link("href", "label") & followable("href")
     )
     absolute = links.withColumn("agent_url", resolve("website_url", "href"))
-    firsts = dedup_links(absolute, "agent_url", "site_ord", "page", "rule_rank", "position")
-    fresh = new_only(firsts, known, "agent_url")
-    out = fresh.select(
+    candidates = materialize(new_only(absolute, known, "agent_url"), "links")
+    out = _links_of_crawl(candidates, every_page, max_pages).select(
         link_label("label").alias("agent_name"),
         "agent_url",
         "website_url",
         F.col("page").alias("page_number"),
         normalize_url("agent_url").alias("normalized_url"),
+        run_timestamp(run_at).alias("timestamp"),
     )
-    return {"links": out, "rejected": bad}
+    counts = site_page_counts(out, "website_url", "page_number")
+    return {"links": out, "counts": counts, "rejected": bad}
+
+
+def _links_of_crawl(candidates: DataFrame, every_page: DataFrame, max_pages: int) -> DataFrame:
+    """First occurrence of each link on the pages that a crawl site by site reaches.
+
+    A site is left after two pages in a row without new links, and a link is new if no page before
+    has it, pages never reached not counting. So the pages of a site depend on the sites before it.
+    Starting from all pages, links and reached pages are computed in turn until the pages stay the
+    same. Each round makes at least one more site final, and the pages that stay the same are those
+    of the crawl: the first site depends on no other, and each further one only on those before.
+    """
+    place = ["site_ord", "page"]
+    reached = every_page
+    while True:
+        links = materialize(
+            dedup_links(
+                candidates.join(reached, place, "left_semi"),
+                "agent_url", "site_ord", "page", "rule_rank", "position",
+            ),
+            "firsts",
+        )
+        found = links.groupBy(*place).agg(F.count("*").alias("found"))
+        visits = every_page.join(found, place, "left").fillna(0, ["found"])
+        now = materialize(
+            crawl_cutoff(visits, "site_ord", "page", "found", max_pages=max_pages).select(*place),
+            "reached",
+        )
+        gone, come = reached.join(now, place, "left_anti"), now.join(reached, place, "left_anti")
+        if gone.unionByName(come).isEmpty():
+            return links
+        reached = now

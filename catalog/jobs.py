@@ -137,15 +137,32 @@ _SITES = """(SELECT s_suppkey, CASE s_suppkey % 7 WHEN 0 THEN concat('site', s_s
     WHEN 1 THEN concat('https://site', s_suppkey, '.example.com/brochure.pdf') WHEN 2 THEN '  '
     ELSE concat('https://site', s_suppkey, '.example.com') END AS website_url FROM supplier)"""
 _URL = "(CASE WHEN href LIKE '/%' THEN l.website_url || href ELSE href END)"
-_AGENTS = f"""WITH s AS (SELECT s_suppkey, concat('https://site', s_suppkey, '.example.com') AS website_url FROM supplier
+_START = f"""WITH s AS (SELECT s_suppkey, concat('https://site', s_suppkey, '.example.com') AS website_url FROM supplier
         WHERE s_suppkey % 7 NOT IN (1, 2) AND s_acctbal >= 0),
     l AS (SELECT l.*, s_suppkey, {_URL} AS url, {norm_sql(_URL)} AS norm FROM {LISTED_LINKS} l
         JOIN s ON l.website_url = s.website_url WHERE place IN (1, 2, 3, 6)),
-    f AS (SELECT *, row_number() OVER (PARTITION BY norm ORDER BY s_suppkey, page, rule, place) AS rn FROM l
-        WHERE norm NOT IN (SELECT concat('https://site', CAST(floor(c_custkey / 15) AS BIGINT), '.example.com/agent/', c_custkey % 40)
-            FROM customer WHERE c_mktsegment = 'BUILDING'))
-    SELECT label AS agent_name, url AS agent_url, website_url, page AS page_number, norm AS normalized_url
-    FROM f WHERE rn = 1"""
+    c AS (SELECT * FROM l WHERE norm NOT IN (
+        SELECT concat('https://site', CAST(floor(c_custkey / 15) AS BIGINT), '.example.com/agent/', c_custkey % 40)
+            FROM customer WHERE c_mktsegment = 'BUILDING')),
+    r0 AS (SELECT DISTINCT s_suppkey, page FROM l)"""
+
+
+def _round(i: int) -> str:
+    """Links that are new on the pages reached so far, and the pages reached with those links."""
+    return f"""f{i} AS (SELECT * FROM (SELECT c.*, row_number() OVER (
+            PARTITION BY norm ORDER BY c.s_suppkey, c.page, rule, place) AS rn
+            FROM c JOIN r{i - 1} r ON c.s_suppkey = r.s_suppkey AND c.page = r.page) WHERE rn = 1),
+        n{i} AS (SELECT p.s_suppkey, p.page, p.page > 1 AND f.page IS NULL AS empty FROM r0 p
+            LEFT JOIN (SELECT DISTINCT s_suppkey, page FROM f{i}) f ON p.s_suppkey = f.s_suppkey AND p.page = f.page),
+        e{i} AS (SELECT *, empty AND lag(empty, 1, false) OVER (PARTITION BY s_suppkey ORDER BY page) AS ends FROM n{i}),
+        r{i} AS (SELECT s_suppkey, page FROM (SELECT *, coalesce(bool_or(ends) OVER (PARTITION BY s_suppkey ORDER BY page
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS ended FROM e{i}) WHERE NOT ended)"""
+
+
+_ROUNDS = 6  # more than the test data needs
+_FOUND = ",\n".join([_START, *[_round(i) for i in range(1, _ROUNDS + 1)]])
+_AGENTS = f"""{_FOUND} SELECT label AS agent_name, url AS agent_url, website_url, page AS page_number,
+    norm AS normalized_url, '2024-01-31 10:20:30' AS timestamp FROM f{_ROUNDS}"""
 
 
 def _discover(spark, sf):
@@ -167,7 +184,8 @@ def _discover(spark, sf):
             F.col("c_custkey") % 40, F.lit("#known"),
         ).alias("agent_url")
     )
-    return jobs.discover_agents(sites, listing_pages(spark, sf), done, known, "s_suppkey")
+    run_at = F.lit("2024-01-31 10:20:30").cast("timestamp")
+    return jobs.discover_agents(sites, listing_pages(spark, sf), done, known, "s_suppkey", run_at)
 
 
 @query("discover_agents", _AGENTS)
@@ -175,6 +193,15 @@ def discover_agents(spark, sf):
     return _discover(spark, sf)["links"]
 
 
+@query(
+    "discovery_counts",
+    f"""{_FOUND} SELECT website_url, page AS page_number, count(*) AS links,
+        CAST(grouping(website_url, page) AS BIGINT) AS level FROM f{_ROUNDS} GROUP BY ROLLUP (website_url, page)""",
+)
+def discovery_counts(spark, sf):
+    return _discover(spark, sf)["counts"]
+
+
 @query(
     "rejected_sites",
     f"""SELECT s_suppkey, website_url, website_url AS value, 'invalid website URL' AS reason

@@ -135,24 +135,30 @@ def page_parts(spark, sf):
 
 LISTING = {
     "website_url": "concat('https://site', CAST(floor(c_custkey / 15) AS BIGINT), '.example.com')",
-    "page": "c_custkey",
-    "html": """concat('<html><body><a href="/agent/', c_custkey % 40, '">  ', c_name, ' </a>',
-        '<div class="agent-card"><p>x<br>y<a href="/p/', c_custkey % 30, '#top">Meet ', c_name, '</a></div>',
-        '<a class=profile href="HTTPS://Other.example.org/X', c_custkey % 20, '">Bio</a>',
+    "page": "c_custkey % 15 + 1",
+    "html": """concat('<html><body><a href="/agent/', CAST(floor(c_custkey / 4) AS BIGINT) % 40, '">  ', c_name, ' </a>',
+        '<div class="agent-card"><p>x<br>y<a href="/p/', CAST(floor(c_custkey / 5) AS BIGINT), '#top">Meet ', c_name, '</a></div>',
+        '<a class=profile href="HTTPS://Other.example.org/X', c_custkey % 45, '">Bio</a>',
         '<a href="/login/agent">agent login</a><a href="#agent">agent</a>',
-        '<a href="/misc/', c_custkey, '?a=1&amp;b=2"><b>Realtor</b></a><a href="/privacy">Privacy</a>',
+        '<a href="/misc/', c_custkey % 7, '?a=1&amp;b=2"><b>Realtor</b></a><a href="/privacy">Privacy</a>',
         '<script>var x = "<a href=agent>";</script></body>')""",
 }
 _SITE = LISTING["website_url"]
 # (rule, place, label, href) of the links above
-LISTED_LINKS = f"""(
-    SELECT {_SITE} AS website_url, c_custkey AS page, 1 AS rule, 1 AS place, c_name AS label, concat('/agent/', c_custkey % 40) AS href FROM customer
-    UNION ALL SELECT {_SITE}, c_custkey, 6, 2, concat('Meet ', c_name), concat('/p/', c_custkey % 30, '#top') FROM customer
-    UNION ALL SELECT {_SITE}, c_custkey, 5, 3, 'Bio', concat('HTTPS://Other.example.org/X', c_custkey % 20) FROM customer
-    UNION ALL SELECT {_SITE}, c_custkey, 1, 4, 'agent login', '/login/agent' FROM customer
-    UNION ALL SELECT {_SITE}, c_custkey, 1, 5, 'agent', '#agent' FROM customer
-    UNION ALL SELECT {_SITE}, c_custkey, 9, 6, 'Realtor', concat('/misc/', c_custkey, '?a=1&b=2') FROM customer
-    UNION ALL SELECT {_SITE}, c_custkey, NULL, 7, 'Privacy', '/privacy' FROM customer)"""
+_LINKED = [
+    ("1", "1", "c_name", "concat('/agent/', CAST(floor(c_custkey / 4) AS BIGINT) % 40)"),
+    ("6", "2", "concat('Meet ', c_name)", "concat('/p/', CAST(floor(c_custkey / 5) AS BIGINT), '#top')"),
+    ("5", "3", "'Bio'", "concat('HTTPS://Other.example.org/X', c_custkey % 45)"),
+    ("1", "4", "'agent login'", "'/login/agent'"),
+    ("1", "5", "'agent'", "'#agent'"),
+    ("9", "6", "'Realtor'", "concat('/misc/', c_custkey % 7, '?a=1&b=2')"),
+    ("NULL", "7", "'Privacy'", "'/privacy'"),
+]
+LISTED_LINKS = "(" + " UNION ALL ".join(
+    f"SELECT {_SITE} AS website_url, {LISTING['page']} AS page, {rule} AS rule, {place} AS place,"
+    f" {label} AS label, {href} AS href FROM customer"
+    for rule, place, label, href in _LINKED
+) + ")"
 
 
 def listing_pages(spark, sf):
