@@ -151,7 +151,7 @@ class _Page:
                         depth -= 1
                 gap = gap or tag in _BLOCK or tag == "br"
                 attrs: dict[str, str] = {}
-                for a in _ATTR.finditer(hit.group(3)):
+                for a in _ATTR.finditer(hit.group(3)) if hit.group(3) else ():
                     value = a.group(2) or a.group(3) or a.group(4) or ""
                     attrs.setdefault(a.group(1).lower(), unescape(value) if "&" in value else value)
                 number = node(tag, attrs, None, pos)

@@ -112,6 +112,16 @@ def extract_profiles(
     return urls.join(materialize(rows, "profiles"), "url")
 
 
+def usable_sites(sites: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(sites with a usable address, now with a scheme; sites with an unusable one and why)."""
+    named = sites.filter(not_blank("website_url")).withColumn(
+        "website_url", ensure_scheme("website_url")
+    )
+    return quarantine(
+        named, is_valid_url("website_url"), F.col("website_url"), "invalid website URL"
+    )
+
+
 def discover_agents(
     sites: DataFrame, pages: DataFrame, done: DataFrame, known: DataFrame, ordinal: str,
     run_at: Column | None = None, max_pages: int = MAX_PAGES,
@@ -121,12 +131,7 @@ def discover_agents(
     ``sites`` has ``website_url`` and a unique ``ordinal``; ``pages`` has ``website_url``, ``page`` and
     ``html``; ``done`` has ``website_url`` and ``known`` has ``agent_url``.
     """
-    named = sites.filter(not_blank("website_url")).withColumn(
-        "website_url", ensure_scheme("website_url")
-    )
-    good, bad = quarantine(
-        named, is_valid_url("website_url"), F.col("website_url"), "invalid website URL"
-    )
+    good, bad = usable_sites(sites)
     first_seen = good.groupBy("website_url").agg(F.min(ordinal).alias("site_ord"))
     order = materialize(resume(first_seen, done, "website_url"), "sites")
     in_reach = pages.filter(F.col("page").between(1, max_pages)).join(order, "website_url")

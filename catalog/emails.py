@@ -12,6 +12,7 @@ _LISTED = "[lower(trim(x)) for x in regexp_split_to_array({0}, '[;,]') if trim(x
 _AT = "[lower(trim(x)) for x in regexp_split_to_array({0}, '[;, ]+') if contains(x, '@')]"
 _CELLS = _LISTED.format('"Emails"')
 _AT_CELLS = _AT.format('"Emails"')
+# Fixed value: an address in running text as one pattern.
 _EMAIL = r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}"
 
 

@@ -165,27 +165,38 @@ _AGENTS = f"""{_FOUND} SELECT label AS agent_name, url AS agent_url, website_url
     norm AS normalized_url, '2024-01-31 10:20:30' AS timestamp FROM f{_ROUNDS}"""
 
 
-def _discover(spark, sf):
+def _site(key):
+    return F.concat(F.lit("https://site"), key, F.lit(".example.com"))
+
+
+def _sites(spark, sf):
     n = F.col("s_suppkey")
-    site = F.concat(F.lit("https://site"), n, F.lit(".example.com"))
-    supplier = table(spark, sf, "supplier")
-    sites = supplier.select(
+    return table(spark, sf, "supplier").select(
         "s_suppkey",
         F.when(n % 7 == 0, F.concat(F.lit("site"), n, F.lit(".example.com")))
-        .when(n % 7 == 1, F.concat(site, F.lit("/brochure.pdf")))
+        .when(n % 7 == 1, F.concat(_site(n), F.lit("/brochure.pdf")))
         .when(n % 7 == 2, "  ")
-        .otherwise(site)
+        .otherwise(_site(n))
         .alias("website_url"),
     )
-    done = supplier.filter("s_acctbal < 0").select(site.alias("website_url"))
+
+
+def _discover(spark, sf):
+    done = table(spark, sf, "supplier").filter("s_acctbal < 0")
     known = table(spark, sf, "customer").filter("c_mktsegment = 'BUILDING'").select(
         F.concat(
             F.lit("https://SITE"), F.floor(F.col("c_custkey") / 15), F.lit(".example.com/agent/"),
             F.col("c_custkey") % 40, F.lit("#known"),
         ).alias("agent_url")
     )
-    run_at = F.lit("2024-01-31 10:20:30").cast("timestamp")
-    return jobs.discover_agents(sites, listing_pages(spark, sf), done, known, "s_suppkey", run_at)
+    return jobs.discover_agents(
+        _sites(spark, sf),
+        listing_pages(spark, sf),
+        done.select(_site(F.col("s_suppkey")).alias("website_url")),
+        known,
+        "s_suppkey",
+        F.lit("2024-01-31 10:20:30").cast("timestamp"),
+    )
 
 
 @query("discover_agents", _AGENTS)
@@ -208,4 +219,4 @@ def discovery_counts(spark, sf):
         FROM {_SITES} WHERE website_url LIKE '%.pdf'""",
 )
 def rejected_sites(spark, sf):
-    return _discover(spark, sf)["rejected"]
+    return jobs.usable_sites(_sites(spark, sf))[1]

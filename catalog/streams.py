@@ -2,11 +2,12 @@
 
 from pyspark.sql import functions as F
 
+from cardfile.functions.shred import with_nodes
 from cardfile.operators import links
 from cardfile.session import fresh_path
 from cardfile.streaming import incremental as inc
 
-from .pages import PROFILE, PROFILE_SQL
+from .pages import PROFILE, PROFILE_SQL, profile_pages
 from .registry import query, table
 
 
@@ -82,10 +83,6 @@ def failure_rows(spark, sf):
     attempted = table(spark, sf, "orders").select(
         F.concat(F.lit("https://agents.example.com/"), "o_custkey").alias("url")
     ).distinct()
-    from cardfile.functions.shred import with_nodes
-
-    from .pages import profile_pages
-
     extracted = links.profile_fields(
         with_nodes(profile_pages(spark, sf)), links.OVERVIEW_PROFILE, "url"
     ).filter("phone <> ''").select("url", "business_name", "name")

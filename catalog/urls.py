@@ -23,6 +23,7 @@ _RAW = {
         ELSE url END""",
 }
 _RAW_SQL = "(SELECT " + ", ".join(f"{e} AS {n}" for n, e in _RAW.items()) + " FROM pages)"
+# Fixed value: the shape of a usable address as one pattern, and what rules one out.
 _VALID = (
     r"^https?://(?:(?:[A-Z0-9](?:[A-Z0-9-]{0,61}[A-Z0-9])?\.)+[A-Z]{2,6}\.?|localhost"
     r"|\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3})(?::\d+)?(?:/?|[/?]\S+)$"

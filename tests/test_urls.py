@@ -37,6 +37,7 @@ def test_valid(values, url, shaped, valid):
 
 def test_shape_equals_one_pattern(values):
     """The label tests together accept what a single pattern for the whole address accepts."""
+    # Fixed value: the shape of a usable address.
     whole = re.compile(
         r"https?://(?:(?:[A-Z0-9](?:[A-Z0-9-]{0,61}[A-Z0-9])?\.)+[A-Z]{2,6}\.?|localhost"
         r"|\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3})(?::\d+)?(?:/?|[/?]\S+)$",
