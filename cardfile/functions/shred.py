@@ -77,115 +77,130 @@ _ENDS |= {
 }
 
 
+_IN_TABLE = frozenset("table caption thead tbody tfoot tr td th body html".split())
+_CELL = frozenset(("table", "td", "th"))
+_DEEPEST = 512  # elements deeper than this become siblings, as in browsers
+
+
 class _Page:
-    """Node lists of the pages of one Arrow batch; columns, not objects."""
+    """Node lists of some pages; columns, not objects."""
 
     def __init__(self) -> None:
-        self.ids, self.parent, self.last, self.tag, self.nth = [], [], [], [], []
-        self.text, self.gap, self.inner_from, self.inner_to = [], [], [], []
-        self.keys, self.values, self.attr_offsets, self.offsets = [], [], [0], [0]
+        # id, parent, tag, nth, text, gap, inner_from, number of attributes so far
+        self.rows: list[tuple] = []
+        self.last: list[int] = []
+        self.inner_to: list[int] = []
+        self.keys: list[str] = []
+        self.values: list[str] = []
+        self.offsets = [0]
 
     def add(self, html: str | None) -> None:
-        base = len(self.ids)
+        rows, last, inner_to, keys = self.rows, self.last, self.inner_to, self.keys
+        html = html or ""
+        base, size = len(rows), len(html)
         stack = [(0, "", {})]  # node number, tag, tags of its children so far
         open_tags: dict[str, int] = {}
-        gap = False
-
-        def node(tag, attrs, text, at):
-            number = len(self.ids) - base + 1
-            seen = stack[-1][2]
-            seen[tag] = seen.get(tag, 0) + 1
-            self.ids.append(number)
-            self.parent.append(stack[-1][0])
-            self.last.append(number)
-            self.tag.append(tag)
-            self.nth.append(seen[tag])
-            self.text.append(text)
-            self.gap.append(gap)
-            self.inner_from.append(at)
-            self.inner_to.append(at)
-            self.keys.extend(attrs)
-            self.values.extend(attrs.values())
-            self.attr_offsets.append(len(self.keys))
-            return number
+        gap = False  # a block has begun or ended since the last words
+        pos = 0
 
         def pop(at):
             number, tag, _ = stack.pop()
             open_tags[tag] -= 1
-            self.last[base + number - 1] = len(self.ids) - base
-            self.inner_to[base + number - 1] = at
+            last[base + number - 1] = len(rows) - base
+            inner_to[base + number - 1] = at
 
-        def words(piece):
+        def words(start, stop):
             nonlocal gap
-            if piece:
-                node("#text", {}, unescape(piece) if "&" in piece else piece, 0)
-                if not piece.isspace():
-                    gap = False
+            text = html[start:stop]
+            number = len(rows) - base + 1
+            parent, _, seen = stack[-1]
+            seen["#text"] = nth = seen.get("#text", 0) + 1
+            if "&" in text:
+                text = unescape(text)
+            rows.append((number, parent, "#text", nth, text, gap, 0, len(keys)))
+            last.append(number)
+            inner_to.append(0)
+            if gap and not text.isspace():
+                gap = False
 
-        html = html or ""
-        pos, size = 0, len(html)
         while pos < size:
             hit = _TOKEN.search(html, pos)
             if hit is None:
-                words(html[pos:])
+                words(pos, size)
                 break
-            words(html[pos : hit.start()])
-            pos = hit.end()
-            if hit.group(1):
-                tag = hit.group(1).lower()
-                gap = gap or tag in _BLOCK
-                if open_tags.get(tag):
-                    while stack[-1][1] != tag:
-                        pop(hit.start())
-                    pop(hit.start())
-            elif hit.group(2):
-                tag = hit.group(2).lower()
-                closes, until = _ENDS.get(tag, ((), ()))
-                if any(open_tags.get(t) for t in closes):
+            begin, end = hit.span()
+            if begin > pos:
+                words(pos, begin)
+            pos = end
+            closing, tag, inside = hit.groups()
+            if closing:
+                closing = closing.lower()
+                gap = gap or closing in _BLOCK
+                if open_tags.get(closing):
                     depth = len(stack) - 1
+                    while stack[depth][1] != closing:
+                        if stack[depth][1] in _CELL and closing not in _IN_TABLE:
+                            depth = 0
+                            break
+                        depth -= 1
+                    while depth and len(stack) > depth:
+                        pop(begin)
+            elif tag:
+                tag = tag.lower()
+                gap = gap or tag in _BLOCK or tag == "br"
+                if tag in _ENDS:
+                    closes, until = _ENDS[tag]
+                    depth = len(stack) - 1 if any(map(open_tags.get, closes)) else 0
                     while depth and stack[depth][1] not in until:
                         if stack[depth][1] in closes:
                             while len(stack) > depth:
-                                pop(hit.start())
+                                pop(begin)
                             break
                         depth -= 1
-                gap = gap or tag in _BLOCK or tag == "br"
-                attrs: dict[str, str] = {}
-                for a in _ATTR.finditer(hit.group(3)) if hit.group(3) else ():
-                    value = a.group(2) or a.group(3) or a.group(4) or ""
-                    attrs.setdefault(a.group(1).lower(), unescape(value) if "&" in value else value)
-                number = node(tag, attrs, None, pos)
-                if tag in _VOID:
+                if inside:
+                    attrs: dict[str, str] = {}
+                    for name, quoted, single, bare in _ATTR.findall(inside):
+                        value = quoted or single or bare
+                        attrs.setdefault(name.lower(), unescape(value) if "&" in value else value)
+                    keys.extend(attrs)
+                    self.values.extend(attrs.values())
+                number = len(rows) - base + 1
+                parent, _, seen = stack[-1]
+                seen[tag] = nth = seen.get(tag, 0) + 1
+                rows.append((number, parent, tag, nth, None, gap, end, len(keys)))
+                last.append(number)
+                inner_to.append(end)
+                if tag in _VOID or len(stack) > _DEEPEST:
                     continue
                 stack.append((number, tag, {}))
                 open_tags[tag] = open_tags.get(tag, 0) + 1
                 if tag in _RAW:
-                    end = _RAW[tag].search(html, pos)
-                    stop = end.start() if end else size
-                    if tag not in _NO_TEXT:
-                        words(html[pos:stop])
+                    close = _RAW[tag].search(html, end)
+                    stop, pos = close.span() if close else (size, size)
+                    if tag not in _NO_TEXT and stop > end:
+                        words(end, stop)
                     pop(stop)
-                    pos = end.end() if end else size
         while len(stack) > 1:
             pop(size)
-        self.offsets.append(len(self.ids))
+        self.offsets.append(len(rows))
 
     def array(self) -> pa.Array:
+        ids, parent, tag, nth, text, gap, inner_from, attr_ends = zip(*self.rows) if self.rows else [()] * 8
         attrs = pa.MapArray.from_arrays(
-            pa.array(self.attr_offsets, pa.int32()),
+            pa.array((0, *attr_ends), pa.int32()),
             pa.array(self.keys, pa.string()),
             pa.array(self.values, pa.string()),
         )
         fields = {
-            "id": pa.array(self.ids, pa.int32()),
-            "parent": pa.array(self.parent, pa.int32()),
+            "id": pa.array(ids, pa.int32()),
+            "parent": pa.array(parent, pa.int32()),
             "last": pa.array(self.last, pa.int32()),
-            "tag": pa.array(self.tag, pa.string()),
-            "nth": pa.array(self.nth, pa.int32()),
+            "tag": pa.array(tag, pa.string()),
+            "nth": pa.array(nth, pa.int32()),
             "attrs": attrs,
-            "text": pa.array(self.text, pa.string()),
-            "gap": pa.array(self.gap, pa.bool_()),
-            "inner_from": pa.array(self.inner_from, pa.int32()),
+            "text": pa.array(text, pa.string()),
+            "gap": pa.array(gap, pa.bool_()),
+            "inner_from": pa.array(inner_from, pa.int32()),
             "inner_to": pa.array(self.inner_to, pa.int32()),
         }
         nodes = pa.StructArray.from_arrays(list(fields.values()), names=list(fields))
@@ -202,7 +217,7 @@ def _shred(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         out = _Page()
         for html in batch:
             out.add(html.as_py())
-            if len(out.ids) >= _NODES_PER_ARRAY:
+            if len(out.rows) >= _NODES_PER_ARRAY:
                 yield out.array()
                 out = _Page()
         yield out.array()

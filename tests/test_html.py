@@ -36,6 +36,22 @@ def test_tree(spark):
     assert [t[1] for t in nested if t[3] == "td"] == [2, 6, 2, 11]
 
 
+def test_end_tags_stay_in_their_cell(spark):
+    got = tree(spark, "<p><table><tr><td>a</p>b</b><td>c</table>d</p>e")
+    parent = {i: p for i, p, _, _ in got}
+    tags = [t for *_, t in got]
+    assert tags == ["p", "table", "tr", "td", "#text", "#text", "td", "#text", "#text", "#text"]
+    # the table ends the paragraph, so the closing tag in the cell has nothing to close
+    assert parent == {1: 0, 2: 0, 3: 2, 4: 3, 5: 4, 6: 4, 7: 3, 8: 7, 9: 0, 10: 0}
+    got = tree(spark, "<b>x<table><tr><td>a</b>c</table>d</b>e")
+    assert [p for _, p, _, t in got if t == "#text"] == [1, 5, 5, 1, 0]
+
+
+def test_deep_nesting_is_flattened(spark):
+    rows = shredded(spark, "<i>" * 5000 + "x" + "</i>" * 5000 + "<b>y</b>").select("nodes").first()[0]
+    assert len(rows) == 5003 and rows[-2].tag == "b" and rows[-2].parent == 0
+
+
 def test_intervals_hold_on_junk(spark):
     rng = random.Random(2)
     parts = ["<div>", "</div>", "<p>", "</p>", "<b>", "</b>", "<li>", "<br>", "text ", "<", ">", '"', "<!--", "-->",
