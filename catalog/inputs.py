@@ -58,6 +58,15 @@ def derived(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.select(*[F.expr(e).alias(n) for n, e in columns.items()])
 
 
+def made_pages(df: DataFrame, key: str, columns: dict[str, str]) -> DataFrame:
+    """HTML pages made from short rows, spread over all tasks before they grow.
+
+    A split of short rows would otherwise become one task with far more HTML than a split of pages.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return derived(df.repartition(tasks, key), columns)
+
+
 def strip_sql(x: str) -> str:
     return rf"regexp_replace({x}, '^\s+|\s+$', '', 'g')"
 

@@ -8,7 +8,7 @@ from cardfile.functions.urls import followable, is_agent_link, page_link_hrefs,
 from cardfile.operators import links, reports
 from cardfile.sources.tables import scan_pages
 
-from .inputs import derived
+from .inputs import made_pages
 from .registry import query, table
 
 
@@ -162,7 +162,7 @@ LISTED_LINKS = "(" + " UNION ALL ".join(
 
 
 def listing_pages(spark, sf):
-    return derived(table(spark, sf, "customer"), LISTING)
+    return made_pages(table(spark, sf, "customer"), "c_custkey", LISTING)
 
 
 @query(
@@ -203,7 +203,7 @@ _NEXT = {
         FROM customer""",
 )
 def next_links(spark, sf):
-    return links.next_link(with_nodes(derived(table(spark, sf, "customer"), _NEXT)), "c_custkey")
+    return links.next_link(with_nodes(made_pages(table(spark, sf, "customer"), "c_custkey", _NEXT)), "c_custkey")
 
 
 PROFILE = {
@@ -226,7 +226,7 @@ PROFILE_SQL = """(SELECT c_custkey, concat('https://agents.example.com/', c_cust
 
 
 def profile_pages(spark, sf):
-    return derived(table(spark, sf, "customer"), PROFILE)
+    return made_pages(table(spark, sf, "customer"), "c_custkey", PROFILE)
 
 
 @query("overview_profiles", f"SELECT * FROM {PROFILE_SQL}")
@@ -252,7 +252,7 @@ _CONTACT = {
         concat('s', s_suppkey, '@example.com ') AS email FROM supplier""",
 )
 def contact_profiles(spark, sf):
-    pages = derived(table(spark, sf, "supplier"), _CONTACT)
+    pages = made_pages(table(spark, sf, "supplier"), "s_suppkey", _CONTACT)
     return links.profile_fields(with_nodes(pages), links.CONTACT_PROFILE, "s_suppkey")
 
 

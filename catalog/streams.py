@@ -7,6 +7,7 @@ from cardfile.operators import links
 from cardfile.session import fresh_path
 from cardfile.streaming import incremental as inc
 
+from .inputs import made_pages
 from .pages import PROFILE, PROFILE_SQL, profile_pages
 from .registry import query, table
 
@@ -23,7 +24,7 @@ def stream(spark, sf, name):
 )
 def stream_extract(spark, sf):
     out = fresh_path(spark, "profiles")
-    pages = stream(spark, sf, "customer").select(*[F.expr(e).alias(n) for n, e in PROFILE.items()])
+    pages = made_pages(stream(spark, sf, "customer"), "c_custkey", PROFILE)
     done = table(spark, sf, "orders").filter("o_orderstatus = 'P'").select(
         F.concat(F.lit("https://agents.example.com/"), "o_custkey").alias("url")
     )

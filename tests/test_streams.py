@@ -96,6 +96,15 @@ def test_state_store_dedup(spark, tmp_path, event_time):
     assert sorted(r.k for r in spark.read.parquet(out).collect()) == ["a", "b"]
 
 
+def test_state_store_dedup_over_batches(spark, tmp_path):
+    source, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    for batch in ([("a",), ("b",)], [("a",), ("c",)], [("a",), ("a",)]):
+        spark.createDataFrame(batch * 20, "k string").repartition(4).write.mode("append").parquet(source)
+        stream = inc.file_stream(spark, source, schema("k string"))
+        inc.run_available(inc.stream_dedup(stream, ["k"], salts=3), check, out)
+    assert sorted(r.k for r in spark.read.parquet(out).collect()) == ["a", "b", "c"]
+
+
 def test_failures_get_blank_rows(spark):
     tried = spark.createDataFrame([("a",), ("b",), ("b",)], "url string")
     found = spark.createDataFrame([("a", "Ann")], "url string, name string")
