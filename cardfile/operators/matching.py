@@ -30,9 +30,8 @@ def resume(
     rows: DataFrame, done: DataFrame, key: str, done_key: str | None = None, distinct: bool = False
 ) -> DataFrame:
     """Rows whose key is not in the finished table; repeated input rows stay unless ``distinct``."""
-    finished = key_table(
-        done.select(strip(quoted(done_key or key)).alias(key)).filter(not_blank(key)), key
-    )
+    stripped = done.select(strip(quoted(done_key or key)).alias(key))
+    finished = key_table(stripped.filter(not_blank(quoted(key))), key)
     left = rows.dropDuplicates([key]) if distinct else rows
     return left.join(finished, key, "left_anti").select(*[quoted(c) for c in rows.columns])
 

@@ -113,7 +113,12 @@ def extract_profiles(
 
 
 def usable_sites(sites: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(sites with a usable address, now with a scheme; sites with an unusable one and why)."""
+    """(sites with a usable address, now with a scheme; sites with an unusable one and why).
+
+    A table without the column ``website_url`` has no usable rows.
+    """
+    if "website_url" not in sites.columns:
+        sites = sites.withColumn("website_url", F.lit(""))
     named = sites.filter(not_blank("website_url")).withColumn(
         "website_url", ensure_scheme("website_url")
     )

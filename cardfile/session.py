@@ -76,4 +76,4 @@ def key_table(df: DataFrame, *keys: str) -> DataFrame:
     from a scan, not out of an aggregate, which adaptive execution needs to split a hot key of the
     other side.
     """
-    return materialize(df.select(*keys).distinct(), "keys")
+    return materialize(df.select(*[f"`{k}`" for k in keys]).distinct(), "keys")

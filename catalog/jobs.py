@@ -72,9 +72,6 @@ def match_deliverable(spark, sf):
     return jobs.match_deliverable(leads(spark, sf), statuses, "ord")
 
 
-_KNOWN = "(SELECT concat(' ', upper(n_name), ' homes ') AS n FROM nation UNION ALL SELECT 'Undefined')"
-
-
 @query(
     "flag_known_businesses",
     f"""SELECT *, "Business Name" IN (SELECT concat('  ', c_mktsegment, '   Homes  ') FROM customer WHERE c_acctbal < 0)
@@ -137,8 +134,9 @@ _SITES = """(SELECT s_suppkey, CASE s_suppkey % 7 WHEN 0 THEN concat('site', s_s
     WHEN 1 THEN concat('https://site', s_suppkey, '.example.com/brochure.pdf') WHEN 2 THEN '  '
     ELSE concat('https://site', s_suppkey, '.example.com') END AS website_url FROM supplier)"""
 _URL = "(CASE WHEN href LIKE '/%' THEN l.website_url || href ELSE href END)"
-_START = f"""WITH s AS (SELECT s_suppkey, concat('https://site', s_suppkey, '.example.com') AS website_url FROM supplier
-        WHERE s_suppkey % 7 NOT IN (1, 2) AND s_acctbal >= 0),
+_START = f"""WITH s AS (SELECT s_suppkey, concat('https://site', s_suppkey, '.example.com') AS website_url
+        FROM {_SITES} JOIN supplier USING (s_suppkey)
+        WHERE trim(website_url) <> '' AND website_url NOT LIKE '%.pdf' AND s_acctbal >= 0),
     l AS (SELECT l.*, s_suppkey, {_URL} AS url, {norm_sql(_URL)} AS norm FROM {LISTED_LINKS} l
         JOIN s ON l.website_url = s.website_url WHERE place IN (1, 2, 3, 6)),
     c AS (SELECT * FROM l WHERE norm NOT IN (
