@@ -89,15 +89,17 @@ def text_content(nodes: Column, n: Column) -> Column:
 def inner_text(nodes: Column, n: Column) -> Column:
     """Text as shown: gaps collapse to one space, blocks and ``<br>`` start a new line, no
     white space at the ends."""
-    pieces = F.transform(
-        F.filter(inside_of(nodes, n), _is_text),
-        lambda t: F.concat(
-            F.when(t["gap"], "\n").otherwise(""),
-            F.regexp_replace(t["text"], r"[ \t\r\n\f]+", " "),
-        ),
-    )
-    lines = F.regexp_replace(F.array_join(pieces, ""), r" *\n[ \n]*", "\n")
-    return strip(F.regexp_replace(lines, " {2,}", " "))
+
+    def shown(t: Column) -> Column:
+        words = F.regexp_replace(t["text"], r"[ \t\r\n\f]+", " ")
+        new_line = F.when(words == " ", "").otherwise(F.concat(F.lit("\n"), F.ltrim(words)))
+        return F.when(t["gap"], new_line).otherwise(words)
+
+    def one_space(line: Column) -> Column:
+        return F.when(line.contains("  "), F.regexp_replace(line, " {2,}", " ")).otherwise(line)
+
+    pieces = F.transform(F.filter(inside_of(nodes, n), _is_text), shown)
+    return strip(F.replace(let(F.array_join(pieces, ""), one_space), F.lit(" \n"), F.lit("\n")))
 
 
 @dataclass(frozen=True)
