@@ -131,7 +131,8 @@ def discover_agents(
     sites: DataFrame, pages: DataFrame, done: DataFrame, known: DataFrame, ordinal: str,
     run_at: Column | None = None, max_pages: int = MAX_PAGES,
 ) -> dict[str, DataFrame]:
-    """New agent links of the listed sites, counts per site and page, and the unusable addresses.
+    """New agent links of the listed sites, counts per site and page, sites without a captured page
+    (as blank link rows, so that they count as done), and the unusable addresses.
 
     ``sites`` has ``website_url`` and a unique ``ordinal``; ``pages`` has ``website_url``, ``page`` and
     ``html``; ``done`` has ``website_url`` and ``known`` has ``agent_url``.
@@ -154,8 +155,17 @@ def discover_agents(
         normalize_url("agent_url").alias("normalized_url"),
         run_timestamp(run_at).alias("timestamp"),
     )
+    blank = F.lit("")
+    failed = order.join(every_page.select("site_ord").distinct(), "site_ord", "left_anti").select(
+        blank.alias("agent_name"),
+        blank.alias("agent_url"),
+        "website_url",
+        F.lit(0).cast(out.schema["page_number"].dataType).alias("page_number"),
+        blank.alias("normalized_url"),
+        run_timestamp(run_at).alias("timestamp"),
+    )
     counts = site_page_counts(out, "website_url", "page_number")
-    return {"links": out, "counts": counts, "rejected": bad}
+    return {"links": out, "counts": counts, "failed": failed, "rejected": bad}
 
 
 def _links_of_crawl(candidates: DataFrame, every_page: DataFrame, max_pages: int) -> DataFrame:

@@ -130,13 +130,16 @@ def extract_profiles(spark, sf):
     return jobs.extract_profiles(queue, captured, done, links.OVERVIEW_PROFILE, "c_custkey")
 
 
-_SITES = """(SELECT s_suppkey, CASE s_suppkey % 7 WHEN 0 THEN concat('site', s_suppkey, '.example.com')
-    WHEN 1 THEN concat('https://site', s_suppkey, '.example.com/brochure.pdf') WHEN 2 THEN '  '
+_SITES = """(SELECT s_suppkey, CASE WHEN s_nationkey = 3 THEN concat('https://gone', s_suppkey, '.example.com')
+    WHEN s_suppkey % 7 = 0 THEN concat('site', s_suppkey, '.example.com')
+    WHEN s_suppkey % 7 = 1 THEN concat('https://site', s_suppkey, '.example.com/brochure.pdf')
+    WHEN s_suppkey % 7 = 2 THEN '  '
     ELSE concat('https://site', s_suppkey, '.example.com') END AS website_url FROM supplier)"""
 _URL = "(CASE WHEN href LIKE '/%' THEN l.website_url || href ELSE href END)"
-_START = f"""WITH s AS (SELECT s_suppkey, concat('https://site', s_suppkey, '.example.com') AS website_url
-        FROM {_SITES} JOIN supplier USING (s_suppkey)
-        WHERE trim(website_url) <> '' AND website_url NOT LIKE '%.pdf' AND s_acctbal >= 0),
+_START = f"""WITH s AS (SELECT s_suppkey, website_url FROM (
+            SELECT s_suppkey, CASE WHEN website_url LIKE 'site%' THEN 'https://' || website_url ELSE website_url END AS website_url
+            FROM {_SITES} WHERE trim(website_url) <> '' AND website_url NOT LIKE '%.pdf')
+        WHERE website_url NOT IN (SELECT concat('https://site', s_suppkey, '.example.com') FROM supplier WHERE s_acctbal < 0)),
     l AS (SELECT l.*, s_suppkey, {_URL} AS url, {norm_sql(_URL)} AS norm FROM {LISTED_LINKS} l
         JOIN s ON l.website_url = s.website_url WHERE place IN (1, 2, 3, 6)),
     c AS (SELECT * FROM l WHERE norm NOT IN (
@@ -171,7 +174,8 @@ def _sites(spark, sf):
     n = F.col("s_suppkey")
     return table(spark, sf, "supplier").select(
         "s_suppkey",
-        F.when(n % 7 == 0, F.concat(F.lit("site"), n, F.lit(".example.com")))
+        F.when(F.col("s_nationkey") == 3, F.concat(F.lit("https://gone"), n, F.lit(".example.com")))
+        .when(n % 7 == 0, F.concat(F.lit("site"), n, F.lit(".example.com")))
         .when(n % 7 == 1, F.concat(_site(n), F.lit("/brochure.pdf")))
         .when(n % 7 == 2, "  ")
         .otherwise(_site(n))
@@ -211,6 +215,15 @@ def discovery_counts(spark, sf):
     return _discover(spark, sf)["counts"]
 
 
+@query(
+    "failed_sites",
+    f"""{_START} SELECT '' AS agent_name, '' AS agent_url, website_url, CAST(0 AS BIGINT) AS page_number,
+        '' AS normalized_url, '2024-01-31 10:20:30' AS timestamp FROM s WHERE s_suppkey NOT IN (SELECT s_suppkey FROM r0)""",
+)
+def failed_sites(spark, sf):
+    return _discover(spark, sf)["failed"]
+
+
 @query(
     "rejected_sites",
     f"""SELECT s_suppkey, website_url, website_url AS value, 'invalid website URL' AS reason

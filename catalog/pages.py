@@ -40,7 +40,7 @@ _A = r'<a\b[^>]*?href="([^"]*)"'
 
 @query(
     "page_hrefs",
-    f"""SELECT page_id, generate_subscripts(h, 1) - 1 AS pos, unnest(h) AS href
+    f"""SELECT page_id, CAST(generate_subscripts(h, 1) - 1 AS INTEGER) AS pos, unnest(h) AS href
         FROM (SELECT page_id, regexp_extract_all(html, '{_A}', 1) AS h FROM pages)""",
 )
 def page_hrefs(spark, sf):

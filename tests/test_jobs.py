@@ -121,7 +121,10 @@ def test_discover_agents(spark, seed):
     )
     assert got == crawl(sites, known)
     assert [(r.ord, r.value) for r in out["rejected"].collect()] == [(98, "https://nothing")]
+    assert out["failed"].count() == 0
     total = out["counts"].filter("level = 3").first()
     assert total.links == len(got)
+    nowhere = jobs.discover_agents(listed, pages.filter("website_url = 'https://s0.com'"), nothing, old, "ord")["failed"]
+    assert sorted(r.website_url for r in nowhere.collect()) == sorted(f"https://s{i}.com" for i in range(1, 25))
     finished = pages.select("website_url").distinct()
     assert jobs.discover_agents(listed, pages, finished, old, "ord")["links"].count() == 0
