@@ -80,8 +80,12 @@ def micros(df: DataFrame, ts: str) -> Column:
     return seconds.cast("bigint") * 1_000_000 + fraction.cast("bigint")
 
 
+_SLOTS = 60  # a window is this many slots long
+_STRETCH = 3600  # slots that are summed up in one group
+
+
 def quota_audit(
-    events: DataFrame, key: str, ts: str, limit: int = 60, window_s: int = 60, chunks: int = 10
+    events: DataFrame, key: str, ts: str, limit: int = 60, window_s: int = 60
 ) -> DataFrame:
     """Requests against a quota per trailing window, one row per key and request time.
 
@@ -89,53 +93,74 @@ def quota_audit(
     ``remaining`` is the quota left once the requests of this time are added; ``wait_us`` is how long
     a full quota would have made them wait (until the oldest is out, and a second more).
 
-    Requests of one time are counted together first. Then time is cut into stretches of ``chunks``
-    windows, so a busy key is spread over many tasks: requests from the last window of a stretch
-    also go to the next one as context. A request adds one at its time and takes it away when it
-    leaves the window, so both results come from running aggregates that look at each row once.
+    Requests of one time are counted together first, and time is cut into slots of a 60th of the
+    window. What lies in the slots between comes from sums per slot. Rows meet in one group only
+    within a slot, where also the requests of the slot one window earlier leave: at most two rows
+    per microsecond of a slot (two million for a window of a minute), however busy the key is.
     """
-    span, stretch = window_s * 1_000_000, window_s * 1_000_000 * chunks
+    span = window_s * 1_000_000
+    at = F.col("at")
+    # Whole numbers throughout: a request leaves in the slot that is exactly 60 after its own.
+    number = f"(at * {_SLOTS} - pmod(at * {_SLOTS}, {span})) div {span}"
     counted = (
         events.select(F.col(key).alias(key), micros(events, ts).alias("at"))
         .groupBy(key, "at")
         .agg(F.count("*").alias("requests"))
+        .withColumn("slot", F.expr(number))
     )
-    home = F.floor(F.col("at") / stretch)
-    leaves = F.col("at") + span - 1
-
-    def mark(chunk: Column, at: Column, delta: Column, leave: Column, asked: Column) -> Column:
-        return F.struct(
-            chunk.alias("chunk"), at.alias("at"), delta.alias("delta"),
-            leave.alias("leave"), asked.alias("requests"),
-        )
-
-    nothing = F.lit(None).cast("bigint")
-    n = F.col("requests")
-    own = F.array(
-        mark(home, F.col("at"), n, nothing, n), mark(home, leaves, -n, leaves, nothing)
-    )
-    context = F.array(
-        mark(home + 1, F.col("at"), n, nothing, nothing),
-        mark(home + 1, leaves, -n, leaves, nothing),
+    none = F.lit(None).cast("bigint")
+    comes = F.struct(F.col("slot"), at, F.col("requests"), none.alias("gone"))
+    leaves = F.struct(
+        (F.col("slot") + _SLOTS).alias("slot"), (at + span).alias("at"), none.alias("requests"),
+        F.col("requests").alias("gone"),
     )
-    crosses = F.floor(leaves / stretch) > home
-    marks = counted.select(
-        key, F.inline(F.when(crosses, F.concat(own, context)).otherwise(own))
-    )
-    group = W.partitionBy(key, "chunk")
-    before = group.orderBy("at").rangeBetween(W.unboundedPreceding, -1)
-    ahead = group.orderBy(F.col("at").desc()).rangeBetween(W.unboundedPreceding, W.currentRow)
+    rows = counted.select(key, F.inline(F.array(comes, leaves)))
+    slot = W.partitionBy(key, "slot")
+    until = slot.orderBy("at").rangeBetween(W.unboundedPreceding, 0)
+    before = slot.orderBy("at").rangeBetween(W.unboundedPreceding, -1)
+    after = slot.orderBy(at.desc()).rangeBetween(W.unboundedPreceding, -1)
+    asked = F.col("requests").isNotNull()
     swept = (
-        marks.withColumn("in_window", F.coalesce(F.sum("delta").over(before), F.lit(0)))
-        .withColumn("_next", F.min("leave").over(ahead))
-        .filter("requests is not null")
+        rows.join(_slots_before(counted, key), [key, "slot"])
+        .withColumn("_earlier", F.coalesce(F.sum("requests").over(before), F.lit(0)))
+        .withColumn("_first", F.min(F.when(asked, at)).over(before))
+        .withColumn("_left", F.coalesce(F.sum("gone").over(until), F.lit(0)))
+        .withColumn("_next", F.min(F.when(~asked, at)).over(after))
+        .filter(asked)
     )
-    wait = F.col("_next") + 1 - F.col("at") + 1_000_000
-    return swept.select(
+    in_window = F.col("_earlier") + F.col("_between") + F.col("_last_slot") - F.col("_left")
+    oldest_leaves = F.coalesce("_next", F.col("_between_first") + span, F.col("_first") + span)
+    return swept.withColumn("in_window", in_window).select(
         key,
-        F.col("at").alias("at_us"),
+        at.alias("at_us"),
         "requests",
         "in_window",
         F.greatest(F.lit(0), F.lit(limit) - F.col("in_window") - F.col("requests")).alias("remaining"),
-        F.when(F.col("in_window") >= limit, wait).otherwise(F.lit(0)).alias("wait_us"),
+        F.when(F.col("in_window") >= limit, oldest_leaves - at + 1_000_000)
+        .otherwise(F.lit(0)).alias("wait_us"),
+    )
+
+
+def _slots_before(counted: DataFrame, key: str) -> DataFrame:
+    """Per slot with requests: number and first time of those in the slots between it and the slot
+    one window earlier, and number in that slot.
+
+    Slots are summed up in stretches; the last slots of a stretch also go to the next as context.
+    """
+    per_slot = counted.groupBy(key, "slot").agg(
+        F.sum("requests").alias("n"), F.min("at").alias("first")
+    )
+    home = F.floor(F.col("slot") / _STRETCH).cast("bigint")
+    reach = F.floor((F.col("slot") + _SLOTS) / _STRETCH).cast("bigint")
+    spread = per_slot.withColumn("home", home).withColumn(
+        "stretch", F.explode(F.array_distinct(F.array(home, reach)))
+    )
+    order = W.partitionBy(key, "stretch").orderBy("slot")
+    between, last = order.rangeBetween(-(_SLOTS - 1), -1), order.rangeBetween(-_SLOTS, -_SLOTS)
+    return (
+        spread.withColumn("_between", F.coalesce(F.sum("n").over(between), F.lit(0)))
+        .withColumn("_between_first", F.min("first").over(between))
+        .withColumn("_last_slot", F.coalesce(F.sum("n").over(last), F.lit(0)))
+        .filter("home = stretch")
+        .select(key, "slot", "_between", "_between_first", "_last_slot")
     )
