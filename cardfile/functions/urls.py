@@ -24,6 +24,9 @@ AGENT_TEXT_WORDS = [
 ]
 AGENT_EXCLUDED_WORDS = ["login", "signin", "register", "signup", "admin", "dashboard", "logout"]
 
+# Control characters and the blank, which URL parsers drop at the start.
+LEADING_JUNK = "".join(map(chr, range(33)))
+
 # Query parameters that carry a page number, in order of preference.
 PAGE_PARAMS = ["page", "p", "pagenum", "pg", "pagination"]
 MAX_PAGES = 20
@@ -66,7 +69,10 @@ def ensure_scheme(c: Column | str) -> Column:
 
 
 def normalize_url(c: Column | str) -> Column:
-    """Scheme and host in lower case, no fragment, no empty query."""
+    """Scheme and host in lower case, no fragment, no empty query.
+
+    As in Python's URL parser, leading blanks and control characters and inner line breaks go.
+    """
 
     def lower_head(u: Column) -> Column:
         head = F.regexp_extract(u, r"^((?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?]*)?)", 1)
@@ -75,7 +81,10 @@ def normalize_url(c: Column | str) -> Column:
     def without_empty_query(u: Column) -> Column:
         return F.when(F.instr(u, "?") == F.length(u), F.substring_index(u, "?", 1)).otherwise(u)
 
-    return let(without_empty_query(F.substring_index(col(c), "#", 1)), lower_head)
+    tidy = F.ltrim(col(c), F.lit(LEADING_JUNK))
+    for char in ("\t", "\r", "\n"):
+        tidy = F.replace(tidy, F.lit(char), F.lit(""))
+    return let(F.substring_index(tidy, "#", 1), lambda u: let(without_empty_query(u), lower_head))
 
 
 def site_of(c: Column | str) -> Column:

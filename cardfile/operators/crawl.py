@@ -93,7 +93,7 @@ def quota_audit(
     ``remaining`` is the quota left once the requests of this time are added; ``wait_us`` is how long
     a full quota would have made them wait (until the oldest is out, and a second more).
 
-    Requests of one time are counted together first, and time is cut into slots of a 60th of the
+    Events without a time are left out. Requests of one time are counted together first, and time is cut into slots of a 60th of the
     window. What lies in the slots between comes from sums per slot. Rows meet in one group only
     within a slot, where also the requests of the slot one window earlier leave: at most two rows
     per microsecond of a slot (two million for a window of a minute), however busy the key is.
@@ -104,6 +104,7 @@ def quota_audit(
     number = f"(at * {_SLOTS} - pmod(at * {_SLOTS}, {span})) div {span}"
     counted = (
         events.select(F.col(key).alias(key), micros(events, ts).alias("at"))
+        .filter("at is not null")
         .groupBy(key, "at")
         .agg(F.count("*").alias("requests"))
         .withColumn("slot", F.expr(number))
@@ -120,8 +121,10 @@ def quota_audit(
     before = slot.orderBy("at").rangeBetween(W.unboundedPreceding, -1)
     after = slot.orderBy(at.desc()).rangeBetween(W.unboundedPreceding, -1)
     asked = F.col("requests").isNotNull()
+    slots = _slots_before(counted, key).withColumnsRenamed({key: "_key", "slot": "_slot"})
+    same = rows[key].eqNullSafe(slots["_key"]) & (rows["slot"] == slots["_slot"])
     swept = (
-        rows.join(_slots_before(counted, key), [key, "slot"])
+        rows.join(slots, same)
         .withColumn("_earlier", F.coalesce(F.sum("requests").over(before), F.lit(0)))
         .withColumn("_first", F.min(F.when(asked, at)).over(before))
         .withColumn("_left", F.coalesce(F.sum("gone").over(until), F.lit(0)))

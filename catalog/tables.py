@@ -13,13 +13,13 @@ from .registry import query, table
 
 @query(
     "csv_round_trip",
-    """SELECT CAST(doc_id AS VARCHAR) AS doc_id, coalesce(text, '') AS "text [body].#", coalesce(lang, '') AS lang
+    """SELECT CAST(doc_id AS VARCHAR) AS doc_id, coalesce(text, '') AS "Body Text", coalesce(lang, '') AS lang
        FROM documents""",
 )
 def csv_round_trip(spark, sf):
     path = fresh_path(spark, "csv")
     docs = table(spark, sf, "documents").select(
-        F.col("doc_id").cast("string"), F.col("text").alias("text [body].#"), "lang"
+        F.col("doc_id").cast("string"), F.col("text").alias("Body Text"), "lang"
     )
     t.write_csv(docs, path, quote_all=True)
     return t.read_contacts(spark, path)

@@ -52,7 +52,7 @@ def valid_urls(spark, sf):
 
 
 def norm_sql(u: str) -> str:
-    bare = rf"regexp_replace(regexp_replace({u}, '#.*', ''), '^([^?]*)\?$', '\1')"
+    bare = rf"regexp_replace(regexp_replace(ltrim({u}), '#.*', ''), '^([^?]*)\?$', '\1')"
     head = rf"regexp_extract({bare}, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?]*)?')"
     return f"(lower({head}) || substring({bare}, length({head}) + 1))"
 

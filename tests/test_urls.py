@@ -70,6 +70,8 @@ def test_rewrites(values):
         "MAILTO:Me@X.com": "mailto:Me@X.com",
         "//Host/P": "//host/P",
         "Plain": "Plain",
+        " \t\x01HTTP://X.com/a\nb c ": "http://x.com/ab c ",
+        "": "",
     }
     assert values(urls.normalize_url, list(cases)) == list(cases.values())
     resolved = {"/x": "https://ex.com/x", "//h/x": "https://h/x", "x": "x", "#a": "#a"}
