@@ -51,9 +51,9 @@ def crawl_frontier(seeds: DataFrame, links: DataFrame, max_hops: int) -> DataFra
     nothing new. A round keeps links of the frontier by a semi join, so a page with very many links
     can be split, and a page linked to very often is one key after the map side.
     """
-    links = materialize(links.select("src", "dst"), "links")
+    links = materialize(links.select("src", "dst").dropna(), "links")
     frontier = materialize(
-        seeds.select("url").distinct().withColumn("hop", F.lit(0)), "frontier"
+        seeds.select("url").dropna().distinct().withColumn("hop", F.lit(0)), "frontier"
     )
     visited = frontier
     for hop in range(1, max_hops + 1):

@@ -178,9 +178,9 @@ def test_crawl_cutoff(spark):
 
 def test_frontier_on_a_cycle(spark):
     links = [("a", "b"), ("b", "c"), ("c", "a"), ("c", "d"), ("d", "e"), ("hub", "x")]
-    links += [(f"p{i}", "hub") for i in range(500)] + [("d", f"p{i}") for i in range(500)]
+    links += [("a", None), (None, "z")] + [(f"p{i}", "hub") for i in range(500)] + [("d", f"p{i}") for i in range(500)]
     df = spark.createDataFrame(links, "src string, dst string")
-    seeds = spark.createDataFrame([("a",), ("a",)], "url string")
+    seeds = spark.createDataFrame([("a",), ("a",), (None,)], "url string")
     got = {r.url: r.hop for r in crawl.crawl_frontier(seeds, df, 5).collect()}
     want = {"a": 0, "b": 1, "c": 2, "d": 3, "e": 4, **{f"p{i}": 4 for i in range(500)}, "hub": 5}
     assert got == want
