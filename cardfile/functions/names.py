@@ -22,7 +22,8 @@ def _has_any(lowered: Column, words: list[str]) -> Column:
 def is_invalid_business(name: Column | str) -> Column:
     """Blank, mentions years of experience, or holds one of the invalid words."""
     low = strip(F.lower(text(name)))
-    return (low == "") | low.rlike("(?U)" + INVALID_PATTERN) | _has_any(low, INVALID_WORDS)
+    years = low.contains("year") & low.rlike("(?U)" + INVALID_PATTERN)
+    return (low == "") | _has_any(low, INVALID_WORDS) | years
 
 
 def has_bad_phrase(name: Column | str, phrases: list[str] = BAD_PHRASES) -> Column:

@@ -92,7 +92,8 @@ def page_links(shredded: DataFrame, *keep: str, rules: list[Selector] | None = N
         )
 
     records = let(
-        F.array(*hits).cast("array<array<int>>"), lambda h: F.transform(links.select("nodes"), lambda n: record(n, h))
+        F.array(*hits).cast("array<array<int>>"),
+        lambda h: F.transform(links.select("nodes"), lambda n: record(n, h)),
     )
     return shredded.select(*keep, F.inline(records))
 
@@ -101,7 +102,7 @@ def next_link(shredded: DataFrame, *keep: str, rules: list[Selector] | None = No
     """First hit of the first rule with hits; buttons have no href, so theirs is blank."""
 
     def ranked(rank: int, sel: Selector) -> Column:
-        return F.transform(
+        hit = F.transform(
             F.slice(sel.select("nodes"), 1, 1),
             lambda n: F.struct(
                 F.lit(rank).alias("rule_rank"),
@@ -109,8 +110,9 @@ def next_link(shredded: DataFrame, *keep: str, rules: list[Selector] | None = No
                 F.coalesce(F.element_at(n["attrs"], "href"), F.lit("")).alias("href"),
             ),
         )
+        return F.get(hit, 0)
 
-    best = F.get(F.concat(*[ranked(i, r) for i, r in enumerate(rules or NEXT_PAGE_RULES, 1)]), 0)
+    best = F.coalesce(*[ranked(i, r) for i, r in enumerate(rules or NEXT_PAGE_RULES, 1)])
     return shredded.select(*keep, best.alias("_best")).select(*keep, "_best.*")
 
 

@@ -25,9 +25,6 @@ def duplicate_documents(spark, sf):
     return dedup.dedup_text(table(spark, sf, "documents"), "text", "doc_id", long_text=True)[1]
 
 
-_FIRST_LINE = "substring(text, 1, 60)"
-
-
 @query(
     "document_text_rules",
     f"""SELECT doc_id, {strip_sql('text')} AS stripped, {strip_sql('lower(text)')} AS folded,
@@ -49,20 +46,19 @@ def document_text_rules(spark, sf):
 
 @query(
     "document_titles",
-    f"""SELECT doc_id, {invalid_sql(_FIRST_LINE)} AS invalid, {bad_sql(_FIRST_LINE)} AS bad_phrase,
-        CASE WHEN {invalid_sql(_FIRST_LINE)} AND {strip_sql('source')} <> ''
-             THEN {strip_sql('source')} ELSE {_FIRST_LINE} END AS title,
-        {realtors_sql(_FIRST_LINE, 'source')} AS short_title
+    f"""SELECT doc_id, {invalid_sql('text')} AS invalid, {bad_sql('text')} AS bad_phrase,
+        CASE WHEN {invalid_sql('text')} AND {strip_sql('source')} <> ''
+             THEN {strip_sql('source')} ELSE text END AS title,
+        {realtors_sql('text', 'source')} AS short_title
         FROM documents""",
 )
 def document_titles(spark, sf):
-    line = F.substring("text", 1, 60)
     return table(spark, sf, "documents").select(
         "doc_id",
-        names.is_invalid_business(line).alias("invalid"),
-        names.has_bad_phrase(line).alias("bad_phrase"),
-        names.business_or_agent(line, "source").alias("title"),
-        names.business_or_realtors(line, "source").alias("short_title"),
+        names.is_invalid_business("text").alias("invalid"),
+        names.has_bad_phrase("text").alias("bad_phrase"),
+        names.business_or_agent("text", "source").alias("title"),
+        names.business_or_realtors("text", "source").alias("short_title"),
     )
 
 

@@ -143,3 +143,38 @@ def test_shredder_runs_once_per_page(spark):
     df = links.profile_fields(shredded(spark, "<h1>x</h1>"), {"Name": sel.one("h1")}, "page_id").filter("name <> ''")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
+
+
+def test_offsets_count_characters(spark):
+    page = "<p>😀é</p><main> 😀<b>x</b>é </main>😀"
+    got = shredded(spark, page).select(F.inline(F.array(sel.area("nodes", "html", sel.one("main"))))).first()
+    assert (got.area_html, got.area_text, got.element_count) == ("😀<b>x</b>é", "😀xé", 1)
+
+
+def test_same_tags_and_words_as_the_standard_parser(spark):
+    """Tags, attributes and words of whole captured pages, in document order."""
+    from html.parser import HTMLParser
+
+    class Standard(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.tags, self.words, self.quiet = [], [], False
+
+        def handle_starttag(self, tag, attrs):
+            self.tags.append((tag, {k: v or "" for k, v in attrs}))
+            self.quiet = tag in ("script", "style")
+
+        def handle_endtag(self, tag):
+            self.quiet = False
+
+        def handle_data(self, data):
+            if not self.quiet:
+                self.words.append(data)
+
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    for html, nodes in with_nodes(pages).select("html", "nodes").collect():
+        standard = Standard()
+        standard.feed(html)
+        standard.close()
+        assert [(n.tag, n.attrs) for n in nodes if n.tag != "#text"] == standard.tags
+        assert "".join(n.text for n in nodes if n.tag == "#text") == "".join(standard.words)
