@@ -1,7 +1,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from cardfile.functions import selectors as sel
 from cardfile.plans import jobs

@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 
@@ -126,8 +127,6 @@ def test_email_cells_differ(values):
 
 
 def test_extract_emails(values):
-    import re
-
     plain = re.compile(emails.EMAIL_LOCAL + "+@" + emails.EMAIL_DOMAIN)
     rng = random.Random(3)
     inputs = ["".join(rng.choices("ab.@_- com", k=rng.randrange(40))) for _ in range(800)]
