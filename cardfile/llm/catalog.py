@@ -66,7 +66,9 @@ def op2_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents").select("doc_id", "text")
     order = [x["rule"] for x in quality.measure(docs, quality.RULES)]
     judged = quality.with_base(docs)
-    passes = quality.rejected_by(whole_text("text"), order).isNull()
+    known = ("n_words", "word_chars", "n_symbols", "n_dup_lines")
+    facts = quality.Facts(whole_text("text"), **{c: F.col(c) for c in known})
+    passes = quality.rejected_by(facts, order).isNull()
     return judged.withColumn("kept", F.when(F.col("base_failed"), F.lit(False)).otherwise(passes)).drop("text")
 
 

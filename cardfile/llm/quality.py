@@ -1,6 +1,6 @@
 """Quality rules as a short-circuit cascade.
 
-Every rule is a boolean column over the text. On a bounded sample the cost of each rule (seconds) and what it
+Every rule is a boolean column over facts of the text. On a bounded sample the cost of each rule (seconds) and what it
 rejects are measured; rules then run in the order of rejections per cost, counted on what the rules before them
 leave. One ``CASE`` evaluates them, so a rule runs only on texts that no earlier rule has rejected. The order
 changes the cost alone: a text is kept if no rule rejects it, whatever the order.
@@ -24,22 +24,33 @@ SYMBOLS = "#*$%&|<>"
 SAMPLE_ROWS = 1_000
 
 
+class Facts:
+    """What rules ask of a text, as columns: computed from the text, or taken from columns that hold it already."""
+
+    def __init__(self, text: Column, **known: Column):
+        self.text, self._known = text, known
+
+    def __getattr__(self, name: str) -> Column:
+        return self._known[name] if name in self._known else _FACTS[name](self.text)
+
+
 @dataclass(frozen=True)
 class Rule:
-    """A name and a function from the text column to a boolean column that is true for a rejected text."""
+    """A name and a function from the facts of a text to a boolean column that is true for a rejected text."""
 
     name: str
-    rejects: Callable[[Column], Column]
+    rejects: Callable[[Facts], Column]
 
 
 def n_duplicate_lines(text: Column) -> Column:
     """Lines with a word that equal an earlier line of the text."""
-    lines = F.filter(F.split(text, "\n", -1), lambda x: F.length(F.translate(x, " \t\x0b\x0c\r", "")) > 0)
+    lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     return let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long")
 
 
 def n_lines(text: Column) -> Column:
-    return F.size(F.filter(F.split(text, "\n", -1), lambda x: F.length(F.translate(x, " \t\x0b\x0c\r", "")) > 0))
+    """Lines with a word: each is one match from its first word on."""
+    return F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D][^\n]*+")).cast("long")
 
 
 def n_repeated_words(tokens: Column, k: int = 3) -> Column:
@@ -53,10 +64,12 @@ def n_repeated_words(tokens: Column, k: int = 3) -> Column:
         starts = F.transform(F.filter(keyed, lambda x, j: same(x, j - 1) | same(x, j + 1)), lambda x: x["p"])
         return F.size(F.array_distinct(F.flatten(F.transform(starts, lambda p: F.sequence(p, p + (k - 1))))))
 
-    keyed = F.sort_array(
-        F.transform(windows(tokens, k), lambda h, p: F.struct(h.alias("h"), p.alias("p")))
-    )
-    return let(keyed, covered).cast("long")
+    def counted(hashes):
+        keyed = F.sort_array(F.transform(hashes, lambda h, p: F.struct(h.alias("h"), p.alias("p"))))
+        # Most texts repeat no run: their hashes need no sorting.
+        return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), 0).otherwise(let(keyed, covered))
+
+    return let(windows(tokens, k), counted).cast("long")
 
 
 def with_base(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -75,24 +88,34 @@ def with_base(docs: DataFrame, text: str = "text") -> DataFrame:
     return out.withColumn("base_failed", failed)
 
 
-def base_fails(text: Column) -> Column:
-    """The base check from the text alone; the windows are only compared if there are enough words."""
+def _base_fails(text: Column) -> Column:
     return let(words(text), lambda w: (F.size(w) < 50) | (100 * n_repeated_words(w) > 50 * F.size(w)))
 
 
-def _letters(text: Column) -> Column:
-    return F.length(F.regexp_replace(text, r"[^\p{L}]+", ""))
+def _without(text: Column, pattern: str) -> Column:
+    return (F.length(text) - F.length(F.regexp_replace(text, pattern, ""))).cast("long")
+
 
+_FACTS = {
+    "n_words": n_words,
+    "word_chars": word_chars,
+    "n_symbols": lambda t: count_of(t, SYMBOLS),
+    "n_lines": n_lines,
+    "n_dup_lines": n_duplicate_lines,
+    "n_letters": lambda t: _without(t, r"\p{L}+"),
+    "n_capitals": lambda t: _without(t, r"\p{Lu}+"),
+    "base_failed": _base_fails,
+}
 
 #: Thresholds are far from what prose in any of the languages shows; see the tests for clean texts.
 RULES = (
-    Rule("symbols", lambda t: 10 * count_of(t, SYMBOLS) > n_words(t)),
-    Rule("word_length", lambda t: (word_chars(t) < 2 * n_words(t)) | (word_chars(t) > 20 * n_words(t))),
-    Rule("repeated_lines", lambda t: 2 * n_duplicate_lines(t) > n_lines(t)),
-    Rule("few_letters", lambda t: 2 * _letters(t) < word_chars(t)),
-    Rule("capitals", lambda t: 2 * F.length(F.regexp_replace(t, r"[^\p{Lu}]+", "")) > _letters(t)),
+    Rule("symbols", lambda f: 10 * f.n_symbols > f.n_words),
+    Rule("word_length", lambda f: (f.word_chars < 2 * f.n_words) | (f.word_chars > 20 * f.n_words)),
+    Rule("repeated_lines", lambda f: 2 * f.n_dup_lines > f.n_lines),
+    Rule("few_letters", lambda f: 2 * f.n_letters < f.word_chars),
+    Rule("capitals", lambda f: 2 * f.n_capitals > f.n_letters),
 )
-BASE = Rule("base", base_fails)
+BASE = Rule("base", lambda f: f.base_failed)
 
 
 def measure(docs: DataFrame, rules, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> list[dict]:
@@ -106,11 +129,11 @@ def measure(docs: DataFrame, rules, text: str = "text", sample_rows: int = SAMPL
         times = []
         for _ in range(2):  # the first run compiles
             start = time.perf_counter()
-            sample.agg(F.count_if(rule.rejects(F.col("t")))).collect()
+            sample.agg(F.count_if(rule.rejects(Facts(F.col("t"))))).collect()
             times.append(time.perf_counter() - start)
         seconds[rule.name] = min(times)
     # One row for each pattern of verdicts: at most 2 to the number of rules, however many rows.
-    flags = [F.coalesce(r.rejects(F.col("t")), F.lit(False)).alias(f"r{i}") for i, r in enumerate(rules)]
+    flags = [F.coalesce(r.rejects(Facts(F.col("t"))), F.lit(False)).alias(f"r{i}") for i, r in enumerate(rules)]
     patterns = [tuple(x) for x in sample.select(*flags).groupBy(*[f"r{i}" for i in range(len(rules))]).count().collect()]
     left, order = list(range(len(rules))), []
     while left:
@@ -122,11 +145,11 @@ def measure(docs: DataFrame, rules, text: str = "text", sample_rows: int = SAMPL
     return order
 
 
-def rejected_by(text: Column, ordered) -> Column:
+def rejected_by(facts: Facts, ordered) -> Column:
     """The first rule, in the given order, that rejects the text; null for a text that is kept."""
     out = F
     for rule in ordered:
-        out = out.when(rule.rejects(text), F.lit(rule.name))
+        out = out.when(rule.rejects(facts), F.lit(rule.name))
     return out
 
 
@@ -139,7 +162,7 @@ def quality_cascade(
     other columns (also one called ``name``, which is replaced) do not matter.
     """
     order = [x["rule"] for x in measure(docs, rules, text, sample_rows)]
-    return docs.withColumn(name, rejected_by(whole_text(text), order))
+    return docs.withColumn(name, rejected_by(Facts(whole_text(text)), order))
 
 
 def keep_good(docs: DataFrame, rules=(BASE, *RULES), text: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
