@@ -22,12 +22,12 @@ from pyspark.sql import types as T
 from cardfile.session import materialize
 
 from .components import components
-from .words import WORD, free_name, let
+from .words import WORD, free_name, is_empty, let
 
 #: Fingerprints in a block, and children of a node of the index inside it.
-BLOCK, FAN = 16_384, 8
-#: Blocks that one pass over the fingerprints is held against; more blocks take more passes.
-BLOCKS_A_PASS = 4_096
+BLOCK, FAN = 2_048, 8
+#: Blocks of which the driver and a task hold the patterns at a time. Beyond it blocks are grouped once more.
+BLOCKS_AT_ONCE = 4_096
 #: Visitors that one task takes for a block.
 VISITORS = 65_536
 LOWER = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -86,9 +86,11 @@ def gray_rank(bits: Column) -> Column:
     return bits.bitwiseXOR(F.lit(-(2**63)))
 
 
-def _levels(prints: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(mask, pattern) of each node, the fingerprints themselves first; a node holds FAN neighbours of the level below."""
-    ones, zeros = prints, ~prints
+def _levels(ones: np.ndarray, zeros: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(mask, pattern) of each node, the lowest ones first; a node holds FAN neighbours of the level below.
+
+    ``ones`` and ``zeros`` are the bits that all members of a lowest node have set and have not.
+    """
     out = [(ones | zeros, ones)]
     while len(ones) > 1:
         starts = np.arange(0, len(ones), FAN)
@@ -98,7 +100,7 @@ def _levels(prints: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
 
 
 def _within(visitors: np.ndarray, levels: list, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions (visitor, member) of all pairs that differ in at most ``max_bits`` bits."""
+    """(visitor, lowest node) of all pairs that differ in at most ``max_bits`` bits of the node's mask."""
     who = np.arange(len(visitors))
     node, met = np.zeros(len(who), dtype=np.int64), np.zeros(len(who), dtype=np.uint8)
     known = np.zeros(len(who), dtype=np.uint64)  # the bits that the levels above have compared
@@ -131,7 +133,7 @@ def _forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
 
 def search_block(prints: np.ndarray, visitors: np.ndarray, max_bits: int, step: int = 2_048) -> tuple[np.ndarray, np.ndarray]:
     """Edges of a forest that joins what is linked among visitors and members (all uint64, members in Gray order)."""
-    every, levels = np.concatenate([prints, visitors]), _levels(prints)
+    every, levels = np.concatenate([prints, visitors]), _levels(prints, ~prints)
     root = np.arange(len(every))
     for at in range(0, len(visitors), step):
         who, node = _within(visitors[at : at + step], levels, max_bits)
@@ -140,6 +142,53 @@ def search_block(prints: np.ndarray, visitors: np.ndarray, max_bits: int, step:
     return every[linked], every[root[linked]]
 
 
+def _near(frame: pd.DataFrame, fps: np.ndarray, max_bits: int, step: int = 8_192):
+    """(block, fp) for all blocks of ``frame`` (in Gray order) that can hold a fingerprint near one of ``fps``."""
+    ids, ones, some = (frame[c].to_numpy(np.int64) for c in ("block", "ones", "some"))
+    levels, fps = _levels(ones.view(np.uint64), ~some.view(np.uint64)), fps.view(np.uint64)
+    for at in range(0, len(fps), step):
+        who, node = _within(fps[at : at + step], levels, max_bits)
+        yield pd.DataFrame({"block": ids[node], "fp": fps[at : at + step][who].view(np.int64)})
+
+
+def _meet(inside: DataFrame, coming: DataFrame, key: str, order: str, work, schema: str) -> DataFrame:
+    """``work`` (members in order, visitors) for each ``key``; a group with many visitors becomes several tasks."""
+    shares = coming.groupBy(key).agg(F.ceil(F.count("*") / float(VISITORS)).cast("bigint").alias("shares"))
+    shares = materialize(shares, "shares")
+    here = inside.join(shares, key).select(
+        *inside.columns, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("shares") - 1)).alias("share")
+    )
+    there = coming.join(shares, key).select(key, F.pmod(F.xxhash64("fp"), "shares").alias("share"), "fp")
+
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        return work(left.sort_values(order), right["fp"].to_numpy(np.int64))
+
+    return here.groupBy(key, "share").cogroup(there.groupBy(key, "share")).applyInPandas(run, schema)
+
+
+def _visits(fps: DataFrame, blocks: DataFrame, max_bits: int) -> DataFrame:
+    """``block``, ``fp``: which blocks each fingerprint has to be compared with."""
+    if blocks.agg(F.max("block")).first()[0] < BLOCKS_AT_ONCE:
+        held = blocks.orderBy("block").toPandas()  # BLOCKS_AT_ONCE rows of three numbers at most
+
+        def near(batches):
+            for frame in batches:
+                yield from _near(held, frame["fp"].to_numpy(np.int64), max_bits)
+
+        return fps.mapInPandas(near, "block bigint, fp bigint")
+    grouped = blocks.withColumn("up", F.floor(F.col("block") / BLOCKS_AT_ONCE))
+    above = materialize(
+        grouped.groupBy(F.col("up").alias("block")).agg(F.bit_and("ones").alias("ones"), F.bit_or("some").alias("some")),
+        "blocks",
+    )
+    coming = materialize(_visits(fps, above, max_bits).withColumnRenamed("block", "up"), "visits")
+
+    def below(members: pd.DataFrame, visitors: np.ndarray) -> pd.DataFrame:
+        return pd.concat(_near(members, visitors, max_bits))
+
+    return _meet(grouped, coming, "up", "block", below, "block bigint, fp bigint")
+
+
 def links(prints: DataFrame, max_bits: int = 2, block: int = BLOCK) -> DataFrame:
     """Edges (``a``, ``b``) that join all fingerprints within ``max_bits`` of each other.
 
@@ -147,7 +196,6 @@ def links(prints: DataFrame, max_bits: int = 2, block: int = BLOCK) -> DataFrame
     those of all links. A block with many visitors is searched by several tasks, so a dense cluster of fingerprints
     does not meet one.
     """
-    spark = prints.sparkSession
     n_blocks = max(1, math.ceil(prints.count() / block))
     placed = prints.select("fp", gray_rank(F.col("fp")).alias("rank"))
     # The bounds of a range partitioning are sampled; written once, the blocks stay as they are.
@@ -157,46 +205,18 @@ def links(prints: DataFrame, max_bits: int = 2, block: int = BLOCK) -> DataFrame
         ),
         "gray",
     )
-    tops = materialize(
+    if is_empty(members):
+        return members.select(F.col("fp").alias("a"), F.col("fp").alias("b"))
+    blocks = materialize(
         members.groupBy("block").agg(F.bit_and("fp").alias("ones"), F.bit_or("fp").alias("some")), "blocks"
     )
-    last = tops.agg(F.max("block")).first()[0]
-    if last is None:
-        return spark.createDataFrame([], "a bigint, b bigint")
-    visits = None
-    for at in range(0, last + 1, BLOCKS_A_PASS):
-        # At most BLOCKS_A_PASS rows of three numbers, whatever the size of the table.
-        part = tops.where(F.col("block").between(at, at + BLOCKS_A_PASS - 1)).collect()
-        ids, ones, some = (np.array([r[c] for r in part], dtype=np.int64) for c in ("block", "ones", "some"))
-
-        def near(batches, ids=ids, ones=ones, mask=~(ones ^ some)):
-            step = max(1, 2**20 // max(1, len(ids)))
-            for frame in batches:
-                fp = frame["fp"].to_numpy()
-                for s in range(0, len(fp), step):
-                    cut = fp[s : s + step]
-                    far = np.bitwise_count(((cut[:, None] ^ ones) & mask).view(np.uint64))
-                    i, j = np.nonzero(far <= max_bits)
-                    yield pd.DataFrame({"block": ids[j], "fp": cut[i]})
-
-        one = members.select("fp").mapInPandas(near, "block bigint, fp bigint")
-        visits = one if visits is None else visits.union(one)
-    visits = materialize(visits, "visits")
-    shares = visits.groupBy("block").agg(F.ceil(F.count("*") / (VISITORS * 1.0)).cast("bigint").alias("shares"))
-    shares = materialize(shares, "shares")
-    coming = visits.join(shares, "block").select("block", F.pmod(F.xxhash64("fp"), "shares").alias("share"), "fp")
-    inside = members.join(shares, "block").select(
-        "block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("shares") - 1)).alias("share"), "fp", "rank"
-    )
+    visits = materialize(_visits(members.select("fp"), blocks, max_bits), "visits")
 
-    def search(inside: pd.DataFrame, coming: pd.DataFrame) -> pd.DataFrame:
-        own = inside.sort_values("rank")["fp"].to_numpy().view(np.uint64)
-        a, b = search_block(own, coming["fp"].to_numpy().view(np.uint64), max_bits)
+    def search(inside: pd.DataFrame, coming: np.ndarray) -> pd.DataFrame:
+        a, b = search_block(inside["fp"].to_numpy(np.int64).view(np.uint64), coming.view(np.uint64), max_bits)
         return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    return (
-        inside.groupBy("block", "share").cogroup(coming.groupBy("block", "share")).applyInPandas(search, "a bigint, b bigint")
-    )
+    return _meet(members, visits, "block", "rank", search, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, k: int = 3, max_bits: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
