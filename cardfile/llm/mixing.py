@@ -98,7 +98,7 @@ def _round_up_the_tree(rows: DataFrame, seed: int) -> DataFrame:
         # Large documents first, so that what stays open is a small one.
         group = group.sort_values(["size", "draw", "row"], ascending=[False, True, True])
         due, held = pivot(group["size"].to_numpy(float), group["due"].to_numpy(), group["turn"].to_numpy())
-        out = group[["source", "row", "size"]].assign(due=due, open=False)
+        out = group[["source", "row", "size"]].astype({"source": object, "row": object}).assign(due=due, open=False)
         if held >= 0:
             out.iloc[held, out.columns.get_loc("open")] = True
         return out

@@ -241,8 +241,8 @@ def site_templates(
     def hashes(batches):
         for frame in batches:
             for host, source in zip(frame["host"], frame["html"], strict=True):
-                found = subtree_hashes(source)
-                yield pd.DataFrame({"host": [host] * len(found), "subtree": found})
+                if found := subtree_hashes(source):
+                    yield pd.DataFrame({"host": pd.Series([host] * len(found), dtype=object), "subtree": found})
 
     sites = pages.select(host_of(F.col(f"`{url}`")).alias("host"), F.coalesce(F.col(f"`{html}`"), F.lit("")).alias("html"))
     sites = sites.where("host <> ''")
@@ -273,7 +273,8 @@ def extract(
 
     @F.pandas_udf("string")
     def text(sources: pd.Series, known: pd.Series) -> pd.Series:
-        return pd.Series([main_text(s, frozenset(() if k is None else k)) for s, k in zip(sources, known, strict=True)])
+        out = [main_text(s, frozenset(() if k is None else k)) for s, k in zip(sources, known, strict=True)]
+        return pd.Series(out, dtype=object)
 
     out = joined.select(F.col(key), F.col(url), text("_html", "templates").alias("text"))
     return out.withColumn("n_chars", F.length("text").cast("bigint"))

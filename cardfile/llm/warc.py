@@ -224,7 +224,7 @@ def read_captures(spark, path: str) -> DataFrame:
     @F.pandas_udf("payload binary, digest string, problem string")
     def decoded(blocks: pd.Series, said: pd.Series) -> pd.DataFrame:
         out = [_decode(b, s) for b, s in zip(blocks, said, strict=True)]
-        return pd.DataFrame(out, columns=["payload", "digest", "problem"])
+        return pd.DataFrame(out, columns=["payload", "digest", "problem"], dtype=object)
 
     rows = reassembled(read_records(spark, path))
     plain = (F.col("type") != "revisit") & F.col("problem").isNull()
