@@ -137,11 +137,11 @@ def test_personal_data(spark, odd, empty):
 def test_trees_find_what_the_patterns_miss(spark):
     """Held-out: proposals without a label that look like the positive rows are added, checks that fail are not."""
     cards = ["4111111111111111", "5500005555555559", "340000000000009", "4012 8888 8888 1881"]
-    texts = [f"my card {c} thanks {i}" for i, c in enumerate(cards * 30)] + [f"order {4111111111111112 + 10 * i} sent" for i in range(100)]
+    texts = [f"my card {c} thanks {i}" for i, c in enumerate(cards * 60)] + [f"order {4111111111111112 + 10 * i} sent" for i in range(100)]
     texts += ["my card 4012  8888  8888  1881 it is", "number 4012  8888  8888  1882 it is"]
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
-    got = {r.doc_id: [(s.kind, s.base) for s in r.spans] for r in pii.find_spans(rows).where("doc_id >= 220").collect()}
-    assert got == {220: [(2, False)], 221: []}
+    got = {r.doc_id: [(s.kind, s.base) for s in r.spans] for r in pii.find_spans(rows).where("doc_id >= 340").collect()}
+    assert got == {340: [(2, False)], 341: []}
 
 
 def test_mix(spark, odd, empty):
