@@ -28,12 +28,12 @@ LEAF, FAN_IN = 1_024, 256
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
-    """``source``, ``source_size``, ``target`` for the rows (``source``, ``size``), written.
+    """``source``, ``source_size``, ``target`` for the rows (``source``, ``size``, ``n_rows`` times each), written.
 
     Sources in code-point order, null last, take the weights in turn and share all words by them. A target stops at
     ``most`` times the source's size; what is over is shared again by weight until none is above.
     """
-    by_source = materialize(sizes.groupBy("source").agg(F.sum("size").alias("source_size")), "sources")
+    by_source = materialize(sizes.groupBy("source").agg(F.sum(F.col("size") * F.col("n_rows")).alias("source_size")), "sources")
     blank = by_source.withColumn("last", F.col("source").isNull())
     placed = with_ordinal(blank, "last", "source", name="place")
     w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), (F.pmod(F.col("place") - 1, len(weights)) + 1).cast("int"))
@@ -137,9 +137,9 @@ def mixed(
     one; a null key is a key. Rows that share key, source and size are taken together or left together; an empty
     table gives no row. Other columns are not read.
     """
-    sizes = materialize(_sizes(docs, key, text, source), "sizes")
-    targets = source_targets(sizes, weights, most)
-    grouped = sizes.groupBy("key", "source", "size").agg(F.count("*").alias("n_rows"))
+    sizes = _sizes(docs, key, text, source).groupBy("key", "source", "size").agg(F.count("*").alias("n_rows"))
+    grouped = materialize(sizes, "sizes")
+    targets = source_targets(grouped, weights, most)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     due = materialize(
         grouped.join(targets, grouped["source"].eqNullSafe(targets["source"]))
@@ -188,4 +188,5 @@ def mix(
         & F.col(f"`{source}`").cast("string").eqNullSafe(F.col("_s"))
         & (F.col(size) == F.col("_n"))
     )
-    return sized.join(each, same).withColumn(name, F.col("_copies")).drop("_k", "_s", "_n", "_copies", size)
+    # The list of copies grows with the documents, so it is never sent to all tasks, however small it is here.
+    return sized.join(each.hint("merge"), same).withColumn(name, F.col("_copies")).drop("_k", "_s", "_n", "_copies", size)
