@@ -9,18 +9,18 @@ from cardfile.session import materialize
 
 
 def _largest_down(edges: DataFrame) -> DataFrame:
-    """Every larger neighbour of a node is linked to the node's smallest neighbour."""
-    both = materialize(edges.union(edges.select("b", "a")), "edges")
+    """Every larger neighbour of a node is linked to the node's smallest neighbour. ``edges`` is a written table."""
+    both = edges.union(edges.select("b", "a"))
     low = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low")), "low")
-    return both.join(low, "a").where(F.col("b") > F.col("a")).select("b", F.col("low").alias("a")).select("a", "b")
+    return both.join(low, "a").where(F.col("b") > F.col("a")).select(F.col("low").alias("a"), "b")
 
 
 def _smaller_down(edges: DataFrame) -> DataFrame:
-    """A node and its smaller neighbours are linked to the smallest of them."""
-    down = materialize(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), "edges")
-    low = materialize(down.groupBy("a").agg(F.min("b").alias("low")), "low")
-    moved = down.join(low, "a").where(F.col("b") != F.col("low")).select(F.col("low").alias("a"), "b")
-    return moved.union(low.select(F.col("low").alias("a"), F.col("a").alias("b")))
+    """A node and its smaller neighbours are linked to the smallest of them; ``a`` is the smaller end of each edge."""
+    edges = materialize(edges, "edges")
+    low = materialize(edges.groupBy("b").agg(F.min("a").alias("low")), "low")
+    moved = edges.join(low, "b").where(F.col("a") != F.col("low")).select(F.col("low").alias("a"), F.col("a").alias("b"))
+    return moved.union(low.select(F.col("low").alias("a"), "b"))
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -25,9 +25,11 @@ from .components import components
 from .words import WORD, free_name, is_empty, let
 
 #: Fingerprints in a block, and children of a node of the index inside it.
-BLOCK, FAN = 2_048, 8
+BLOCK, FAN = 1_024, 8
 #: Blocks of which the driver and a task hold the patterns at a time. Beyond it blocks are grouped once more.
 BLOCKS_AT_ONCE = 4_096
+#: Blocks that are written into one file.
+BLOCKS_A_FILE = 16
 #: Visitors that one task takes for a block.
 VISITORS = 65_536
 LOWER = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -142,19 +144,30 @@ def search_block(prints: np.ndarray, visitors: np.ndarray, max_bits: int, step:
     return every[linked], every[root[linked]]
 
 
+def _ranks(fps: np.ndarray) -> np.ndarray:
+    """``gray_rank`` of uint64 fingerprints."""
+    for shift in (1, 2, 4, 8, 16, 32):
+        fps = fps ^ (fps >> np.uint64(shift))
+    return (fps ^ np.uint64(1 << 63)).view(np.int64)
+
+
 def _near(frame: pd.DataFrame, fps: np.ndarray, max_bits: int, step: int = 8_192):
-    """(block, fp) for all blocks of ``frame`` (in Gray order) that can hold a fingerprint near one of ``fps``."""
-    ids, ones, some = (frame[c].to_numpy(np.int64) for c in ("block", "ones", "some"))
+    """(block, fp) for the blocks of ``frame`` that can hold a fingerprint near one of ``fps`` and not only smaller ones.
+
+    Blocks are in Gray order, so a pair from two blocks is met once: by the smaller one in the block of the larger.
+    """
+    ids, ones, some, last = (frame[c].to_numpy(np.int64) for c in ("block", "ones", "some", "last"))
     levels, fps = _levels(ones.view(np.uint64), ~some.view(np.uint64)), fps.view(np.uint64)
     for at in range(0, len(fps), step):
-        who, node = _within(fps[at : at + step], levels, max_bits)
-        yield pd.DataFrame({"block": ids[node], "fp": fps[at : at + step][who].view(np.int64)})
+        cut = fps[at : at + step]
+        who, node = _within(cut, levels, max_bits)
+        ahead = last[node] >= _ranks(cut)[who]
+        yield pd.DataFrame({"block": ids[node[ahead]], "fp": cut[who[ahead]].view(np.int64)})
 
 
 def _meet(inside: DataFrame, coming: DataFrame, key: str, order: str, work, schema: str) -> DataFrame:
     """``work`` (members in order, visitors) for each ``key``; a group with many visitors becomes several tasks."""
     shares = coming.groupBy(key).agg(F.ceil(F.count("*") / float(VISITORS)).cast("bigint").alias("shares"))
-    shares = materialize(shares, "shares")
     here = inside.join(shares, key).select(
         *inside.columns, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("shares") - 1)).alias("share")
     )
@@ -169,7 +182,7 @@ def _meet(inside: DataFrame, coming: DataFrame, key: str, order: str, work, sche
 def _visits(fps: DataFrame, blocks: DataFrame, max_bits: int) -> DataFrame:
     """``block``, ``fp``: which blocks each fingerprint has to be compared with."""
     if blocks.agg(F.max("block")).first()[0] < BLOCKS_AT_ONCE:
-        held = blocks.orderBy("block").toPandas()  # BLOCKS_AT_ONCE rows of three numbers at most
+        held = blocks.orderBy("block").toPandas()  # BLOCKS_AT_ONCE rows of four numbers at most
 
         def near(batches):
             for frame in batches:
@@ -178,7 +191,9 @@ def _visits(fps: DataFrame, blocks: DataFrame, max_bits: int) -> DataFrame:
         return fps.mapInPandas(near, "block bigint, fp bigint")
     grouped = blocks.withColumn("up", F.floor(F.col("block") / BLOCKS_AT_ONCE))
     above = materialize(
-        grouped.groupBy(F.col("up").alias("block")).agg(F.bit_and("ones").alias("ones"), F.bit_or("some").alias("some")),
+        grouped.groupBy(F.col("up").alias("block")).agg(
+            F.bit_and("ones").alias("ones"), F.bit_or("some").alias("some"), F.max("last").alias("last")
+        ),
         "blocks",
     )
     coming = materialize(_visits(fps, above, max_bits).withColumnRenamed("block", "up"), "visits")
@@ -199,16 +214,14 @@ def links(prints: DataFrame, max_bits: int = 2, block: int = BLOCK) -> DataFrame
     n_blocks = max(1, math.ceil(prints.count() / block))
     placed = prints.select("fp", gray_rank(F.col("fp")).alias("rank"))
     # The bounds of a range partitioning are sampled; written once, the blocks stay as they are.
-    members = materialize(
-        placed.repartitionByRange(n_blocks, "rank").select(
-            F.spark_partition_id().cast("bigint").alias("block"), "fp", "rank"
-        ),
-        "gray",
+    placed = placed.repartitionByRange(n_blocks, "rank").select(
+        F.spark_partition_id().cast("bigint").alias("block"), "fp", "rank"
     )
+    members = materialize(placed.coalesce(math.ceil(n_blocks / BLOCKS_A_FILE)), "gray")
     if is_empty(members):
         return members.select(F.col("fp").alias("a"), F.col("fp").alias("b"))
-    blocks = materialize(
-        members.groupBy("block").agg(F.bit_and("fp").alias("ones"), F.bit_or("fp").alias("some")), "blocks"
+    blocks = members.groupBy("block").agg(
+        F.bit_and("fp").alias("ones"), F.bit_or("fp").alias("some"), F.max("rank").alias("last")
     )
     visits = materialize(_visits(members.select("fp"), blocks, max_bits), "visits")
 
@@ -245,7 +258,7 @@ def _fingerprinted(docs: DataFrame, k: int, key: str, text: str) -> DataFrame:
 
 
 def _classes(rows: DataFrame, max_bits: int) -> DataFrame:
-    """``fp``, ``root`` (a fingerprint that names the component), ``component_id`` (its smallest key), written."""
+    """``fp``, ``root`` (a fingerprint that names the component), ``component_id`` (its smallest key)."""
     prints = materialize(rows.groupBy("fp").agg(F.min("key").alias("first")), "distinct")
     roots = components(links(prints.select("fp"), max_bits))
     named = materialize(
@@ -255,7 +268,7 @@ def _classes(rows: DataFrame, max_bits: int) -> DataFrame:
         "named",
     )
     low = materialize(named.groupBy("root").agg(F.min("first").alias("component_id")), "low")
-    return materialize(named.join(low, "root").select("fp", "root", "component_id"), "classes")
+    return named.join(low, "root").select("fp", "root", "component_id")
 
 
 def drop_near_duplicates(
@@ -269,7 +282,7 @@ def drop_near_duplicates(
     rows = materialize(_fingerprinted(docs, k, key, text), "prints")
     classes = _classes(rows, max_bits)
     best = F.min(F.struct(F.col("key").isNull().alias("last"), "key", "row"))
-    keep = materialize(rows.join(classes, "fp").groupBy("root").agg(best.alias("best")).select("best.row"), "keep")
+    keep = rows.join(classes, "fp").groupBy("root").agg(best.alias("best")).select("best.row")
     mark, place = free_name(docs, "_row"), free_name(docs, "_place")
     marked = docs.withColumn(mark, _row_digest(key, text))
     kept = marked.join(keep.withColumnRenamed("row", mark), mark, "left_semi")
