@@ -60,11 +60,14 @@ _BLOCK = frozenset(
     "figure footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section table tbody "
     "td tfoot th thead tr ul".split()
 )
-_RAW = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in ("script", "style", "textarea", "title")}
+_RAW = {t: re.compile(rf"</{t}(?=[\s/>])", re.I) for t in ("script", "style", "textarea", "title")}
 _NO_TEXT = frozenset(("script", "style"))
 # An opening tag ends the open elements named first, looking no further up than those named second.
 _ENDS = {t: (frozenset("p"), frozenset(("td", "th", "table", "button"))) for t in _BLOCK}
+_HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
+_ENDS |= {t: (_HEADINGS | {"p"}, _ENDS[t][1]) for t in _HEADINGS}
 _ENDS |= {
+    "a": (frozenset("a"), frozenset(("td", "th", "table", "button"))),
     "li": (frozenset(("li", "p")), frozenset(("ul", "ol"))),
     "dt": (frozenset(("dt", "dd", "p")), frozenset(("dl",))),
     "dd": (frozenset(("dt", "dd", "p")), frozenset(("dl",))),
@@ -170,13 +173,14 @@ class _Page:
                 rows.append((number, parent, tag, nth, None, gap, end, len(keys)))
                 last.append(number)
                 inner_to.append(end)
-                if tag in _VOID or len(stack) > _DEEPEST:
+                if tag in _VOID or tag not in _RAW and len(stack) > _DEEPEST:
                     continue
                 stack.append((number, tag, {}))
                 open_tags[tag] = open_tags.get(tag, 0) + 1
                 if tag in _RAW:
                     close = _RAW[tag].search(html, end)
-                    stop, pos = close.span() if close else (size, size)
+                    stop = close.start() if close else size
+                    pos = html.find(">", stop) + 1 or size
                     if tag not in _NO_TEXT and stop > end:
                         words(end, stop)
                     pop(stop)

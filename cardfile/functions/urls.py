@@ -29,7 +29,6 @@ LEADING_JUNK = "".join(map(chr, range(33)))
 
 # Query parameters that carry a page number, in order of preference.
 PAGE_PARAMS = ["page", "p", "pagenum", "pg", "pagination"]
-MAX_PAGES = 20
 
 
 def _any(tests: list[Column]) -> Column:
@@ -92,13 +91,34 @@ def site_of(c: Column | str) -> Column:
     return F.regexp_extract(col(c), r"^((?i:https?)://[^/?#]+)", 1)
 
 
+def _without_dots(path: Column) -> Column:
+    """A path that starts with a slash, its segments ``.`` and ``..`` worked off."""
+
+    def step(kept: Column, part: Column) -> Column:
+        up = F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0)))
+        return F.when(part == ".", kept).when(part == "..", up).otherwise(F.concat(kept, F.array(part)))
+
+    def joined(parts: Column) -> Column:
+        kept = F.aggregate(F.slice(parts, 2, F.size(parts)), F.array().cast("array<string>"), step)
+        end = F.when(F.element_at(parts, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+        return F.concat(F.lit("/"), F.array_join(F.concat(kept, end), "/"))
+
+    plain = F.when(path.rlike(r"/\.\.?(/|$)"), let(F.split(path, "/", -1), joined))
+    return plain.otherwise(path)
+
+
 def resolve(base: Column | str, href: Column | str) -> Column:
-    """Absolute form of hrefs that start with a slash; all others stay as they are."""
+    """Absolute form of hrefs that start with a slash; all others stay as they are.
+
+    Dot segments are worked off in paths of the same host.
+    """
     h = col(href)
     scheme = F.regexp_extract(col(base), r"^((?i:https?):)", 1)
+    path = F.regexp_extract(h, r"^([^?#]*)", 1)
+    rest = F.substring(h, F.length(path) + 1, F.length(h))
     return (
         F.when(h.startswith("//"), F.concat(scheme, h))
-        .when(h.startswith("/"), F.concat(site_of(base), h))
+        .when(h.startswith("/"), F.concat(site_of(base), _without_dots(path), rest))
         .otherwise(h)
     )
 
@@ -120,6 +140,25 @@ def is_agent_link(
     return wanted & ~_any([h.contains(w) for w in excluded])
 
 
+def _with_param(u: Column, name: str, value: Column) -> Column:
+    """The address with one ``name=value`` where the query has ``name`` first; repeats of it go."""
+    whole = F.substring_index(u, "#", 1)
+    path = F.substring_index(whole, "?", 1)
+    parts = F.split(F.substring(whole, F.length(path) + 2, F.length(whole)), "&", -1)
+    given = lambda p: p.startswith(f"{name}=")
+
+    def swapped(parts: Column) -> Column:
+        first = F.array_position(F.transform(parts, given), True)
+        each = F.transform(
+            parts,
+            lambda p, i: F.when(~given(p), p).when(i + 1 == first, F.concat(F.lit(f"{name}="), value)),
+        )
+        query = F.array_join(F.filter(each, lambda p: p.isNotNull()), "&")
+        return F.concat(path, F.lit("?"), query, F.substring(u, F.length(whole) + 1, F.length(u)))
+
+    return let(parts, swapped)
+
+
 def page_url(c: Column | str, page: Column | int) -> Column:
     """Address of another page of a listing; null when there is no rule for it."""
     u = col(c)
@@ -127,16 +166,14 @@ def page_url(c: Column | str, page: Column | int) -> Column:
     out = None
     for name in PAGE_PARAMS:
         holds = u.rlike(rf"^[^?#]*\?(?:[^#]*&)?{name}=[^&#]")
-        swap = F.regexp_replace(
-            u, F.lit(rf"(\?[^#]*?(?<=[?&])){name}=[^&#]*"), F.concat(F.lit(f"$1{name}="), n)
-        )
+        swap = _with_param(u, name, n)
         out = F.when(holds, swap) if out is None else out.when(holds, swap)
     slash = F.when(u.endswith("/"), "").otherwise("/")
     appended = F.concat(u, slash, F.lit("page/"), n, F.lit("/"))
     return out.when(~u.contains("page"), appended)
 
 
-def page_urls(c: Column | str, last: int = MAX_PAGES) -> Column:
+def page_urls(c: Column | str, last: int) -> Column:
     """Candidate pages 2 to ``last`` as an array of (page, url)."""
     return F.transform(
         F.sequence(F.lit(2), F.lit(last)),

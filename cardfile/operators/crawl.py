@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
-from ..functions.urls import MAX_PAGES
 from ..session import materialize
 
 
 def crawl_cutoff(
-    attempts: DataFrame, site: str, page: str, found: str, attempt: str | None = None,
-    max_pages: int = MAX_PAGES, max_failures: int = 2,
+    attempts: DataFrame, site: str, page: str, found: str, attempt: str | None = None, *,
+    max_pages: int, max_failures: int = 2,
 ) -> DataFrame:
     """Attempts a crawl would have made: up to ``max_pages`` per site, ending with the
     ``max_failures``-th failure in a row.
@@ -43,8 +44,8 @@ def crawl_cutoff(
     )
 
 
-def crawl_frontier(seeds: DataFrame, links: DataFrame, max_hops: int) -> DataFrame:
-    """Addresses reachable from the seeds in at most ``max_hops`` links, with the fewest hops.
+def crawl_frontier(seeds: DataFrame, links: DataFrame, max_hops: int | None = None) -> DataFrame:
+    """Addresses reachable from the seeds, in at most ``max_hops`` links if given, with the fewest hops.
 
     ``seeds`` has ``url``, ``links`` has ``src`` and ``dst``. Links and each round are written once,
     so the plan of a round starts from tables; the loop ends with the first round that finds
@@ -56,7 +57,7 @@ def crawl_frontier(seeds: DataFrame, links: DataFrame, max_hops: int) -> DataFra
         seeds.select("url").dropna().distinct().withColumn("hop", F.lit(0)), "frontier"
     )
     visited = frontier
-    for hop in range(1, max_hops + 1):
+    for hop in count(1) if max_hops is None else range(1, max_hops + 1):
         reached = (
             links.join(frontier, links["src"] == frontier["url"], "left_semi")
             .select(F.col("dst").alias("url"))
@@ -93,8 +94,8 @@ def quota_audit(
     ``remaining`` is the quota left once the requests of this time are added; ``wait_us`` is how long
     a full quota would have made them wait (until the oldest is out, and a second more).
 
-    Events without a time are left out. Requests of one time are counted together first, and time is cut into slots of a 60th of the
-    window. What lies in the slots between comes from sums per slot. Rows meet in one group only
+    Events without a time are one row per key with their number and nulls. Requests of one time are
+    counted together first, and time is cut into slots of a 60th of the window. What lies in the slots between comes from sums per slot. Rows meet in one group only
     within a slot, where also the requests of the slot one window earlier leave: at most two rows
     per microsecond of a slot (two million for a window of a minute), however busy the key is.
     """
@@ -133,7 +134,7 @@ def quota_audit(
     )
     in_window = F.col("_earlier") + F.col("_between") + F.col("_last_slot") - F.col("_left")
     oldest_leaves = F.coalesce("_next", F.col("_between_first") + span, F.col("_first") + span)
-    return swept.withColumn("in_window", in_window).select(
+    audited = swept.withColumn("in_window", in_window).select(
         key,
         at.alias("at_us"),
         "requests",
@@ -142,6 +143,8 @@ def quota_audit(
         F.when(F.col("in_window") >= limit, oldest_leaves - at + 1_000_000)
         .otherwise(F.lit(0)).alias("wait_us"),
     )
+    timeless = events.filter(F.col(ts).isNull()).groupBy(F.col(key).alias(key)).agg(F.count("*").alias("requests"))
+    return audited.unionByName(timeless, allowMissingColumns=True)
 
 
 def _slots_before(counted: DataFrame, key: str) -> DataFrame:

@@ -12,12 +12,11 @@ from ..functions.selectors import Selector
 from ..functions.shred import with_nodes
 from ..functions.text import not_blank, run_timestamp
 from ..functions.urls import (
-    MAX_PAGES, ensure_scheme, followable, is_agent_link, is_valid_url, normalize_url, resolve,
+    ensure_scheme, followable, is_agent_link, is_valid_url, normalize_url, resolve,
 )
 from ..operators.columns import (
     URL_COLUMNS, coalesce_columns, find_first, find_last_any, quoted, replace_col, require,
 )
-from ..operators.crawl import crawl_cutoff
 from ..operators.dedup import dedup_phone, dedup_text
 from ..operators.links import dedup_links, link_label, page_links, profile_fields
 from ..operators.matching import all_unique, flag_exact, flag_normalized, match_first, new_only, resume
@@ -127,27 +126,37 @@ def usable_sites(sites: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
 
 
+def _listed(sites: DataFrame, done: DataFrame, ordinal: str) -> DataFrame:
+    """Usable sites that are not done, each with its first place in the list, written."""
+    first_seen = usable_sites(sites)[0].groupBy("website_url").agg(F.min(ordinal).alias("site_ord"))
+    return materialize(resume(first_seen, done, "website_url"), "sites")
+
+
 def discover_agents(
     sites: DataFrame, pages: DataFrame, done: DataFrame, known: DataFrame, ordinal: str,
-    run_at: Column | None = None, max_pages: int = MAX_PAGES,
+    run_at: Column | None = None, max_pages: int | None = None,
 ) -> dict[str, DataFrame]:
-    """New agent links of the listed sites, counts per site and page, sites without a captured page
-    (as blank link rows, so that they count as done), and the unusable addresses.
+    """New agent links of all captured pages of the listed sites, and counts per site and page.
 
     ``sites`` has ``website_url`` and a unique ``ordinal``; ``pages`` has ``website_url``, ``page`` and
-    ``html``; ``done`` has ``website_url`` and ``known`` has ``agent_url``.
+    ``html``; ``done`` has ``website_url`` and ``known`` has ``agent_url``. A link counts where it comes
+    first by site, page, rule and place. Pages beyond ``max_pages`` are left out if it is given.
     """
-    good, bad = usable_sites(sites)
-    first_seen = good.groupBy("website_url").agg(F.min(ordinal).alias("site_ord"))
-    order = materialize(resume(first_seen, done, "website_url"), "sites")
-    in_reach = pages.filter(F.col("page").between(1, max_pages)).join(order, "website_url")
-    every_page = key_table(in_reach, "site_ord", "page")
-    links = page_links(with_nodes(in_reach), "website_url", "site_ord", "page").filter(
+    near = pages if max_pages is None else pages.filter(F.col("page") <= max_pages)
+    captured = near.join(_listed(sites, done, ordinal), "website_url")
+    links = page_links(with_nodes(captured), "website_url", "site_ord", "page").filter(
         F.col("rule_rank").isNotNull() & is_agent_link("href", "label") & followable("href")
     )
     absolute = links.withColumn("agent_url", resolve("website_url", "href"))
-    candidates = materialize(new_only(absolute, known, "agent_url"), "links")
-    out = _links_of_crawl(candidates, every_page, max_pages).select(
+    # Both results read the links; pages are shredded once.
+    firsts = materialize(
+        dedup_links(
+            new_only(absolute, known, "agent_url"),
+            "agent_url", "site_ord", "page", "rule_rank", "position",
+        ),
+        "links",
+    )
+    out = firsts.select(
         link_label("label").alias("agent_name"),
         "agent_url",
         "website_url",
@@ -155,45 +164,20 @@ def discover_agents(
         normalize_url("agent_url").alias("normalized_url"),
         run_timestamp(run_at).alias("timestamp"),
     )
+    return {"links": out, "counts": site_page_counts(out, "website_url", "page_number")}
+
+
+def failed_sites(
+    sites: DataFrame, pages: DataFrame, done: DataFrame, ordinal: str, run_at: Column | None = None
+) -> DataFrame:
+    """Listed sites without a captured page, as blank link rows, so that they count as done."""
     blank = F.lit("")
-    failed = order.join(every_page.select("site_ord").distinct(), "site_ord", "left_anti").select(
+    seen = pages.select("website_url").filter("website_url is not null").distinct()
+    return _listed(sites, done, ordinal).join(seen, "website_url", "left_anti").select(
         blank.alias("agent_name"),
         blank.alias("agent_url"),
         "website_url",
-        F.lit(0).cast(out.schema["page_number"].dataType).alias("page_number"),
+        F.lit(0).cast(pages.schema["page"].dataType).alias("page_number"),
         blank.alias("normalized_url"),
         run_timestamp(run_at).alias("timestamp"),
     )
-    counts = site_page_counts(out, "website_url", "page_number")
-    return {"links": out, "counts": counts, "failed": failed, "rejected": bad}
-
-
-def _links_of_crawl(candidates: DataFrame, every_page: DataFrame, max_pages: int) -> DataFrame:
-    """First occurrence of each link on the pages that a crawl site by site reaches.
-
-    A site is left after two pages in a row without new links, and a link is new if no page before
-    has it, pages never reached not counting. So the pages of a site depend on the sites before it.
-    Starting from all pages, links and reached pages are computed in turn until the pages stay the
-    same. Each round makes at least one more site final, and the pages that stay the same are those
-    of the crawl: the first site depends on no other, and each further one only on those before.
-    """
-    place = ["site_ord", "page"]
-    reached = every_page
-    while True:
-        links = materialize(
-            dedup_links(
-                candidates.join(reached, place, "left_semi"),
-                "agent_url", "site_ord", "page", "rule_rank", "position",
-            ),
-            "firsts",
-        )
-        found = links.groupBy(*place).agg(F.count("*").alias("found"))
-        visits = every_page.join(found, place, "left").fillna(0, ["found"])
-        now = materialize(
-            crawl_cutoff(visits, "site_ord", "page", "found", max_pages=max_pages).select(*place),
-            "reached",
-        )
-        gone, come = reached.join(now, place, "left_anti"), now.join(reached, place, "left_anti")
-        if gone.unionByName(come).isEmpty():
-            return links
-        reached = now

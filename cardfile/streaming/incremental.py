@@ -91,16 +91,19 @@ def stream_keep_first(
 
 
 def stream_dedup(
-    stream: DataFrame, keys: list[str], event_time: str | None = None, delay: str = "1 day",
+    stream: DataFrame, keys: list[str], event_time: str | None = None, delay: str | None = None,
     salts: int = 32,
 ) -> DataFrame:
     """Any one row per key, kept by Spark's state store.
 
     Without an event time the state grows with the number of keys, and a first round per key and
     salt lets at most ``salts`` rows of a hot key through to the round per key. With an event time
-    a key is forgotten ``delay`` after its row; there a first round would change which rows pass.
+    a key is forgotten ``delay`` after its row, and rows later than that are dropped, so the caller
+    must say how long; there a first round would change which rows pass.
     """
     if event_time is not None:
+        if delay is None:
+            raise ValueError("an event time needs a delay")
         return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
     salted = stream.withColumn("_salt", F.spark_partition_id() % salts)
     return salted.dropDuplicates([*keys, "_salt"]).drop("_salt").dropDuplicates(keys)

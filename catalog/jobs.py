@@ -145,25 +145,11 @@ _START = f"""WITH s AS (SELECT s_suppkey, website_url FROM (
     c AS (SELECT * FROM l WHERE norm NOT IN (
         SELECT concat('https://site', CAST(floor(c_custkey / 15) AS BIGINT), '.example.com/agent/', c_custkey % 40)
             FROM customer WHERE c_mktsegment = 'BUILDING')),
-    r0 AS (SELECT DISTINCT s_suppkey, page FROM l)"""
-
-
-def _round(i: int) -> str:
-    """Links that are new on the pages reached so far, and the pages reached with those links."""
-    return f"""f{i} AS (SELECT * FROM (SELECT c.*, row_number() OVER (
-            PARTITION BY norm ORDER BY c.s_suppkey, c.page, rule, place) AS rn
-            FROM c JOIN r{i - 1} r ON c.s_suppkey = r.s_suppkey AND c.page = r.page) WHERE rn = 1),
-        n{i} AS (SELECT p.s_suppkey, p.page, p.page > 1 AND f.page IS NULL AS empty FROM r0 p
-            LEFT JOIN (SELECT DISTINCT s_suppkey, page FROM f{i}) f ON p.s_suppkey = f.s_suppkey AND p.page = f.page),
-        e{i} AS (SELECT *, empty AND lag(empty, 1, false) OVER (PARTITION BY s_suppkey ORDER BY page) AS ends FROM n{i}),
-        r{i} AS (SELECT s_suppkey, page FROM (SELECT *, coalesce(bool_or(ends) OVER (PARTITION BY s_suppkey ORDER BY page
-            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS ended FROM e{i}) WHERE NOT ended)"""
-
-
-_ROUNDS = 6  # more than the test data needs
-_FOUND = ",\n".join([_START, *[_round(i) for i in range(1, _ROUNDS + 1)]])
+    r0 AS (SELECT DISTINCT s_suppkey FROM l)"""
+_FOUND = f"""{_START}, f AS (SELECT * FROM (SELECT c.*, row_number() OVER (
+    PARTITION BY norm ORDER BY s_suppkey, page, rule, place) AS rn FROM c) WHERE rn = 1)"""
 _AGENTS = f"""{_FOUND} SELECT label AS agent_name, url AS agent_url, website_url, page AS page_number,
-    norm AS normalized_url, '2024-01-31 10:20:30' AS timestamp FROM f{_ROUNDS}"""
+    norm AS normalized_url, '2024-01-31 10:20:30' AS timestamp FROM f"""
 
 
 def _site(key):
@@ -183,8 +169,17 @@ def _sites(spark, sf):
     )
 
 
+def _done(spark, sf):
+    return table(spark, sf, "supplier").filter("s_acctbal < 0").select(
+        _site(F.col("s_suppkey")).alias("website_url")
+    )
+
+
+def _run_at():
+    return F.lit("2024-01-31 10:20:30").cast("timestamp")
+
+
 def _discover(spark, sf):
-    done = table(spark, sf, "supplier").filter("s_acctbal < 0")
     known = table(spark, sf, "customer").filter("c_mktsegment = 'BUILDING'").select(
         F.concat(
             F.lit("https://SITE"), F.floor(F.col("c_custkey") / 15), F.lit(".example.com/agent/"),
@@ -194,10 +189,10 @@ def _discover(spark, sf):
     return jobs.discover_agents(
         _sites(spark, sf),
         listing_pages(spark, sf),
-        done.select(_site(F.col("s_suppkey")).alias("website_url")),
+        _done(spark, sf),
         known,
         "s_suppkey",
-        F.lit("2024-01-31 10:20:30").cast("timestamp"),
+        _run_at(),
     )
 
 
@@ -209,7 +204,7 @@ def discover_agents(spark, sf):
 @query(
     "discovery_counts",
     f"""{_FOUND} SELECT website_url, page AS page_number, count(*) AS links,
-        CAST(grouping(website_url, page) AS BIGINT) AS level FROM f{_ROUNDS} GROUP BY ROLLUP (website_url, page)""",
+        CAST(grouping(website_url, page) AS BIGINT) AS level FROM f GROUP BY ROLLUP (website_url, page)""",
 )
 def discovery_counts(spark, sf):
     return _discover(spark, sf)["counts"]
@@ -221,7 +216,9 @@ def discovery_counts(spark, sf):
         '' AS normalized_url, '2024-01-31 10:20:30' AS timestamp FROM s WHERE s_suppkey NOT IN (SELECT s_suppkey FROM r0)""",
 )
 def failed_sites(spark, sf):
-    return _discover(spark, sf)["failed"]
+    return jobs.failed_sites(
+        _sites(spark, sf), listing_pages(spark, sf), _done(spark, sf), "s_suppkey", _run_at()
+    )
 
 
 @query(

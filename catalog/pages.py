@@ -240,14 +240,14 @@ _CONTACT = {
     "s_suppkey": "s_suppkey",
     "html": """concat('<body id=inner-page-wrapper><div><div>top</div><div><div><div>l</div><div><div><h1>', s_name,
         '</h1></div></div></div></div></div><div class="ip-agent-det-con-info"><ul><li><a href="mailto:s', s_suppkey,
-        '@example.com ">mail<li><a id="agents-phone" href="#">866.502.', s_suppkey,
+        '@example.com ">mail<li><a id="agents-phone" href="#">555.010.', s_suppkey,
         '</a><li><a href="https://no.example.com">n</a><a href="http://s', s_suppkey, '.example.com/">web</a></ul></div>')""",
 }
 
 
 @query(
     "contact_profiles",
-    """SELECT s_suppkey, s_name AS business_name, s_name AS name, '866.502.' || s_suppkey AS phone,
+    """SELECT s_suppkey, s_name AS business_name, s_name AS name, '555.010.' || s_suppkey AS phone,
         '' AS address, concat('http://s', s_suppkey, '.example.com/') AS website,
         concat('s', s_suppkey, '@example.com ') AS email FROM supplier""",
 )

@@ -96,7 +96,7 @@ def crawl_cutoff(spark, sf):
         F.when(kind.isin("click", "view"), 0).when(kind != "error", 1).alias("found"),
     )
     pages = links.numbered_pages(events, "user_id", "event_id", limit=20)
-    return crawl.crawl_cutoff(pages, "user_id", "page", "found")
+    return crawl.crawl_cutoff(pages, "user_id", "page", "found", max_pages=20)
 
 
 _US = "epoch_us(ts)"
@@ -128,7 +128,8 @@ _SEEDS = "(SELECT 'c' || c_custkey AS url FROM customer WHERE c_acctbal < -900)"
     "crawl_frontier",
     f"""WITH RECURSIVE e AS (SELECT DISTINCT src, dst FROM {_EDGES}),
         r(url, hop) AS (SELECT url, 0 FROM {_SEEDS} UNION
-            SELECT e.dst, r.hop + 1 FROM r JOIN e ON e.src = r.url WHERE r.hop < 4)
+            SELECT e.dst, r.hop + 1 FROM r JOIN e ON e.src = r.url WHERE r.hop < 64 AND NOT EXISTS (
+                SELECT 1 FROM recurring.r AS seen WHERE seen.url = e.dst))
         SELECT url, min(hop) AS hop FROM r GROUP BY url""",
 )
 def crawl_frontier(spark, sf):
@@ -141,7 +142,7 @@ def crawl_frontier(spark, sf):
         key = {"o": "l_orderkey", "p": "l_partkey", "s": "l_suppkey"}
         edges = edges.unionByName(lines.select(node(a, key[a]).alias("src"), node(b, key[b]).alias("dst")))
     seeds = table(spark, sf, "customer").filter("c_acctbal < -900").select(node("c", "c_custkey").alias("url"))
-    return crawl.crawl_frontier(seeds, edges, max_hops=4)
+    return crawl.crawl_frontier(seeds, edges)
 
 
 @query(

@@ -81,7 +81,7 @@ def next_page_urls(spark, sf):
         FROM (SELECT page_id, url, unnest(range(2, 21)) AS n FROM pages)""",
 )
 def candidate_page_urls(spark, sf):
-    return table(spark, sf, "pages").select("page_id", F.inline(rules.page_urls("url")))
+    return table(spark, sf, "pages").select("page_id", F.inline(rules.page_urls("url", 20)))
 
 
 _HREFS = {

@@ -80,24 +80,20 @@ def test_extract_profiles(spark):
     ]
 
 
-def crawl(sites, known, max_pages=20):
-    """Visit the sites one after the other; ``sites`` is a list of {page: [target, ...]}."""
+def first_places(sites, known):
+    """Where each new target comes first; ``sites`` is a list of {page: [target, ...]}."""
     seen, found = set(known), []
     for site, pages in enumerate(sites):
-        in_a_row = 0
         for page in sorted(pages):
-            if page > max_pages or in_a_row == 2:
-                break
             new = [t for t in dict.fromkeys(pages[page]) if t not in seen]
             seen.update(new)
             found += [(site, page, t) for t in new]
-            in_a_row = in_a_row + 1 if not new and page > 1 else 0
     return sorted(found)
 
 
 @pytest.mark.parametrize("seed", range(3))
 def test_discover_agents(spark, seed):
-    """Which pages a site gives depends on what the sites before it had."""
+    """All captured pages give links, each where it comes first."""
     rng = random.Random(seed)
     sites = [
         {p: [f"agent{rng.randrange(70)}" for _ in range(rng.randrange(3))] for p in range(1, rng.randrange(3, 25))}
@@ -118,12 +114,14 @@ def test_discover_agents(spark, seed):
     got = sorted(
         (int(r.website_url[9:-4]), r.page_number, r.normalized_url[14:]) for r in out["links"].collect()
     )
-    assert got == crawl(sites, known)
-    assert [(r.ord, r.value) for r in out["rejected"].collect()] == [(98, "https://nothing")]
-    assert out["failed"].count() == 0
+    assert got == first_places(sites, known)
+    assert [(r.ord, r.value) for r in jobs.usable_sites(listed)[1].collect()] == [(98, "https://nothing")]
+    assert jobs.failed_sites(listed, pages, nothing, "ord").count() == 0
+    near = jobs.discover_agents(listed, pages, nothing, old, "ord", max_pages=1)["links"]
+    assert {r.page_number for r in near.collect()} == {1}
     total = out["counts"].filter("level = 3").first()
     assert total.links == len(got)
-    nowhere = jobs.discover_agents(listed, pages.filter("website_url = 'https://s0.com'"), nothing, old, "ord")["failed"]
+    nowhere = jobs.failed_sites(listed, pages.filter("website_url = 'https://s0.com'"), nothing, "ord")
     assert sorted(r.website_url for r in nowhere.collect()) == sorted(f"https://s{i}.com" for i in range(1, 25))
     finished = pages.select("website_url").distinct()
     assert jobs.discover_agents(listed, pages, finished, old, "ord")["links"].count() == 0

@@ -170,7 +170,7 @@ def test_crawl_cutoff(spark):
                     break
     df = spark.createDataFrame(rows, "site int, page int, attempt int, found int")
     got = {}
-    for r in crawl.crawl_cutoff(df, "site", "page", "found", "attempt").collect():
+    for r in crawl.crawl_cutoff(df, "site", "page", "found", "attempt", max_pages=20).collect():
         got.setdefault(r.site, []).append((r.page, r.attempt))
     want = {s: crawl_by_hand([r[1:] for r in rows if r[0] == s]) for s in range(200)}
     assert {s: sorted(v) for s, v in got.items()} == want

@@ -90,7 +90,7 @@ def test_state_store_dedup(spark, tmp_path, event_time):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     ddl = "k string, ts timestamp"
     spark.sql("select * from values ('a', timestamp'2024-01-01'), ('a', timestamp'2024-01-01'), ('b', timestamp'2024-01-02') as t(k, ts)").write.parquet(source)
-    stream = inc.stream_dedup(inc.file_stream(spark, source, schema(ddl)), ["k"], event_time)
+    stream = inc.stream_dedup(inc.file_stream(spark, source, schema(ddl)), ["k"], event_time, event_time and "1 day")
     inc.run_available(stream, str(tmp_path / "check"), out)
     assert sorted(r.k for r in spark.read.parquet(out).collect()) == ["a", "b"]
 

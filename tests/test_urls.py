@@ -91,7 +91,7 @@ def test_page_url(values):
         "http://a.com/l?page=": None,
     }
     assert values(lambda c: urls.page_url(c, 7), list(cases)) == list(cases.values())
-    pages = values(urls.page_urls, ["http://a.com/"])[0]
+    pages = values(lambda c: urls.page_urls(c, 20), ["http://a.com/"])[0]
     assert [p["page"] for p in pages] == list(range(2, 21))
 
 
@@ -102,3 +102,23 @@ def test_agent_links(spark):
     ]
     df = spark.createDataFrame(rows, "h string, t string, want boolean")
     assert df.filter(urls.is_agent_link("h", "t") != df["want"]).count() == 0
+
+
+def test_dot_segments(spark):
+    from urllib.parse import urljoin
+
+    from pyspark.sql import functions as F
+
+    hrefs = ["/p/../q", "/./a/./b", "/../../x", "/a/b/..", "/a/.", "/a//b/../c?x=/../y#/../z", "//h.com/p/../q", "//h.com", "/..a/.b", "/"]
+    rows = spark.createDataFrame([(i, h) for i, h in enumerate(hrefs)], "i int, h string")
+    got = rows.select("i", urls.resolve(F.lit("https://x.com/a"), "h").alias("u")).orderBy("i").collect()
+    assert [r.u for r in got] == [urljoin("https://x.com/a", h) for h in hrefs]
+
+
+def test_repeated_page_parameters(values):
+    cases = {
+        "http://a.com/l?page=1&page=2": "http://a.com/l?page=3",
+        "http://a.com/l?x=1&page=1&y&page=&z=&page=9#page=4": "http://a.com/l?x=1&page=3&y&z=#page=4",
+        "http://a.com/l?pages=1&p=2": "http://a.com/l?pages=1&p=3",
+    }
+    assert values(lambda c: urls.page_url(c, 3), list(cases)) == list(cases.values())
