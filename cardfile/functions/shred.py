@@ -82,7 +82,6 @@ _ENDS |= {
 
 _IN_TABLE = frozenset("table caption thead tbody tfoot tr td th body html".split())
 _CELL = frozenset(("table", "td", "th"))
-_DEEPEST = 512  # elements deeper than this become siblings, as in browsers
 
 
 class _Page:
@@ -102,16 +101,20 @@ class _Page:
         html = html or ""
         base, size = len(rows), len(html)
         stack = [(0, "", {})]  # node number, tag, tags of its children so far
-        open_tags: dict[str, int] = {}
+        open_tags: dict[str, list[int]] = {}  # places in the stack, so that closing needs no walk
         gap = False  # a block has begun or ended since the last words
         pos = 0
 
         def pop(at):
             number, tag, _ = stack.pop()
-            open_tags[tag] -= 1
+            open_tags[tag].pop()
             last[base + number - 1] = len(rows) - base
             inner_to[base + number - 1] = at
 
+        def highest(tags):
+            """Place of the innermost open element with one of the tags; 0 if there is none."""
+            return max((open_tags[t][-1] for t in tags if open_tags.get(t)), default=0)
+
         def words(start, stop):
             nonlocal gap
             text = html[start:stop]
@@ -139,27 +142,19 @@ class _Page:
             if closing:
                 closing = closing.lower()
                 gap = gap or closing in _BLOCK
-                if open_tags.get(closing):
-                    depth = len(stack) - 1
-                    while stack[depth][1] != closing:
-                        if stack[depth][1] in _CELL and closing not in _IN_TABLE:
-                            depth = 0
-                            break
-                        depth -= 1
-                    while depth and len(stack) > depth:
+                depth = highest((closing,))
+                if depth and (closing in _IN_TABLE or highest(_CELL) <= depth):
+                    while len(stack) > depth:
                         pop(begin)
             elif tag:
                 tag = tag.lower()
                 gap = gap or tag in _BLOCK or tag == "br"
                 if tag in _ENDS:
                     closes, until = _ENDS[tag]
-                    depth = len(stack) - 1 if any(map(open_tags.get, closes)) else 0
-                    while depth and stack[depth][1] not in until:
-                        if stack[depth][1] in closes:
-                            while len(stack) > depth:
-                                pop(begin)
-                            break
-                        depth -= 1
+                    depth = highest(closes)
+                    if depth > highest(until):
+                        while len(stack) > depth:
+                            pop(begin)
                 if inside:
                     attrs: dict[str, str] = {}
                     for name, quoted, single, bare in _ATTR.findall(inside):
@@ -173,10 +168,10 @@ class _Page:
                 rows.append((number, parent, tag, nth, None, gap, end, len(keys)))
                 last.append(number)
                 inner_to.append(end)
-                if tag in _VOID or tag not in _RAW and len(stack) > _DEEPEST:
+                if tag in _VOID:
                     continue
+                open_tags.setdefault(tag, []).append(len(stack))
                 stack.append((number, tag, {}))
-                open_tags[tag] = open_tags.get(tag, 0) + 1
                 if tag in _RAW:
                     close = _RAW[tag].search(html, end)
                     stop = close.start() if close else size

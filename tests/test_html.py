@@ -47,11 +47,30 @@ def test_end_tags_stay_in_their_cell(spark):
     assert [p for _, p, _, t in got if t == "#text"] == [1, 5, 5, 1, 0]
 
 
-def test_deep_nesting_is_flattened(spark):
+def test_deep_nesting(spark):
     rows = shredded(spark, "<i>" * 5000 + "x" + "</i>" * 5000 + "<b>y</b>").select("nodes").first()[0]
     assert len(rows) == 5003 and rows[-2].tag == "b" and rows[-2].parent == 0
 
 
+def test_anchors_and_headings_do_not_nest(spark):
+    got = tree(spark, "<a href=/1>Ann<a href=/2>Bob</a><h1>x<h2>y</h2>z")
+    assert [(t, p) for _, p, _, t in got] == [("a", 0), ("#text", 1), ("a", 0), ("#text", 3), ("h1", 0), ("#text", 5), ("h2", 0), ("#text", 7), ("#text", 0)]
+
+
+def test_deep_scripts_have_no_text(spark):
+    got = tree(spark, "<i>" * 600 + "<script>'<a href=/agent/9>x</a>'</script-x></script >end")
+    assert [t for *_, t in got[600:]] == ["script", "#text"]
+
+
+def test_junk_is_linear(spark):
+    import time
+
+    junk = ["<script>" + "</script" * 600_000, "<p><table><td>" + "<i>" * 200_000 + "<div>" * 200_000 + "</b>" * 200_000]
+    start = time.perf_counter()
+    assert all(r.n > 0 for r in shredded(spark, *junk).selectExpr("size(nodes) AS n").collect())
+    assert time.perf_counter() - start < 60
+
+
 def test_intervals_hold_on_junk(spark):
     rng = random.Random(2)
     parts = ["<div>", "</div>", "<p>", "</p>", "<b>", "</b>", "<li>", "<br>", "text ", "<", ">", '"', "<!--", "-->",
