@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.columns import update_cells
+from ..operators.columns import quoted, require, update_cells
 
 _NEVER = "\u0000"
 
@@ -17,15 +19,22 @@ def string_schema(*names: str) -> T.StructType:
 
 
 def read_contacts(
-    spark: SparkSession, path: str, names: list[str] | None = None, header: bool = True,
+    spark: SparkSession, path: str | list[str], names: list[str] | None = None, header: bool = True,
     multi_line: bool = True,
 ) -> DataFrame:
-    """A CSV file or folder as strings, with blank cells as ``''``.
+    """A CSV file or folder as strings, with blank cells as ``''``; columns go by their header.
+
+    Several paths may differ in columns and order: each is read by its own header, and what a path
+    lacks is blank. Files of one folder must have one header, else reading them is an error. With a
+    header ``names`` picks columns; files without one need ``names``, which then go by place.
 
-    Quoted fields may hold commas, doubled quotes and line breaks. Line breaks need whole-file
-    tasks (``multi_line``), so read a large file once and keep it as Parquet. Files without header
-    need ``names``.
+    Quoted fields may hold commas, doubled quotes and line breaks. Line breaks need whole-file tasks;
+    without them set ``multi_line`` to false, so that large files are split.
     """
+    if isinstance(path, list):
+        parts = [read_contacts(spark, p, None if header else names, header, multi_line) for p in path]
+        df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).na.fill("")
+        return _picked(df, names) if header and names else df
     reader = (
         spark.read.option("header", header)
         .option("multiLine", multi_line)
@@ -33,8 +42,9 @@ def read_contacts(
         .option("nullValue", _NEVER)
         .option("emptyValue", "")
         .option("encoding", "UTF-8")
+        .option("enforceSchema", False)
     )
-    if names:
+    if not header and names:
         reader = reader.schema(string_schema(*names))
     elif header and spark.conf.get("spark.sql.caseSensitive") != "true":
         top = (
@@ -43,8 +53,13 @@ def read_contacts(
         lowered = [str(n).lower() for n in top] if top else []
         if len(set(lowered)) < len(lowered):
             raise ValueError(f"set spark.sql.caseSensitive=true before reading this header: {top}")
-    df = reader.csv(path)
-    return df.na.fill("")
+    df = reader.csv(path).na.fill("")
+    return _picked(df, names) if header and names else df
+
+
+def _picked(df: DataFrame, names: list[str]) -> DataFrame:
+    require(df, *names)
+    return df.select(*[quoted(n) for n in names])
 
 
 def write_csv(

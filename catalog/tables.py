@@ -36,6 +36,21 @@ def headerless_csv(spark, sf):
     return t.read_contacts(spark, path, ["Business_Name", "Phone", "Emails"], header=False)
 
 
+@query(
+    "csv_layouts",
+    """SELECT c_name AS name, CAST(c_nationkey AS VARCHAR) AS nation, '' AS site FROM customer
+       UNION ALL SELECT s_name, CAST(s_nationkey AS VARCHAR), 'https://s' || s_suppkey || '.example.com' FROM supplier""",
+)
+def csv_layouts(spark, sf):
+    customers, suppliers = fresh_path(spark, "csv"), fresh_path(spark, "csv")
+    t.write_csv(table(spark, sf, "customer").select(F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation")), customers)
+    site = F.concat(F.lit("https://s"), "s_suppkey", F.lit(".example.com")).alias("site")
+    t.write_csv(
+        table(spark, sf, "supplier").select(site, F.col("s_nationkey").alias("nation"), F.col("s_name").alias("name")), suppliers
+    )
+    return t.read_contacts(spark, [customers, suppliers], ["name", "nation", "site"])
+
+
 _RESULT = T.StructType(
     [T.StructField("name", T.StringType()), T.StructField("nation", T.IntegerType())]
 )

@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry_points
+from catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
 # Single-task steps that only see counts: one row per partition, chunk or task.
@@ -14,10 +14,10 @@ OVER_COUNTS = {
 }
 
 
-@pytest.mark.parametrize("name", list(entry_points.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_plan(spark, conf, name):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
-    plan = entry_points.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("CartesianProduct|BroadcastNestedLoopJoin|BatchEvalPython|MapInPandas", plan)
     assert "SinglePartition" not in plan or name in OVER_COUNTS
     assert plan.count("ArrowEvalPython") <= 1
@@ -26,7 +26,7 @@ def test_plan(spark, conf, name):
 
 
 def test_only_needed_columns_are_read(spark):
-    plan = entry_points.queries()["dedup_phones"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES["dedup_phones"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<c_custkey:bigint,c_name:string,c_nationkey:int,c_mktsegment:string>" in plan
-    plan = entry_points.queries()["order_batches"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES["order_batches"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "o_totalprice" not in plan

@@ -6,9 +6,9 @@ import pytest
 
 import __spark_entry__ as entry_points
 import compare
+from catalog import QUERIES, SQL
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
-SQL = entry_points.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -16,9 +16,9 @@ def con():
     return compare.connect(SF)
 
 
-@pytest.mark.parametrize("name", list(entry_points.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
-    rows = compare.spark_rows(entry_points.queries()[name](spark, SF))
+    rows = compare.spark_rows(QUERIES[name](spark, SF))
     assert not compare.difference(rows, compare.sql_rows(con, SQL[name]))
 
 
@@ -27,4 +27,9 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(SQL)
+    assert set(QUERIES) == set(SQL)
+
+
+def test_entry_points_hold_the_catalogue():
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert {k: entry_points.oracle_sql()[k] for k in SQL} == SQL

@@ -185,3 +185,10 @@ def test_frontier_on_a_cycle(spark):
     want = {"a": 0, "b": 1, "c": 2, "d": 3, "e": 4, **{f"p{i}": 4 for i in range(500)}, "hub": 5}
     assert got == want
     assert len(crawl.crawl_frontier(seeds, df.filter("src = 'a'"), 50).collect()) == 2
+
+
+def test_events_without_a_time_stay_in_the_audit(spark):
+    df = spark.sql("select * from values ('a', null), ('a', null), ('a', timestamp'2024-01-01'), (null, null) as t(key, ts)")
+    got = crawl.quota_audit(df, "key", "ts").collect()
+    assert sorted((r.key or "", r.at_us is None, r.requests) for r in got) == [("", True, 1), ("a", False, 1), ("a", True, 2)]
+    assert [r.in_window for r in got if r.at_us is None] == [None, None]

@@ -103,3 +103,19 @@ def test_blank_fields_count_as_present(spark):
     df = spark.createDataFrame([("a", "1"), ("", "1"), ("a", None), (" ", "1")], "business_name string, phone string")
     sides = routing.split_complete(df)
     assert (sides["clean"].count(), sides["missing"].count()) == (2, 2)
+
+
+def test_columns_go_by_their_header(spark, tmp_path):
+    one, two = tmp_path / "one", tmp_path / "two"
+    for folder, name, text in ((one, "a.csv", "name,url\nAnn,u1\n"), (two, "b.csv", "url,name,note\nu2,Bob,n\n")):
+        folder.mkdir()
+        (folder / name).write_text(text)
+    both = t.read_contacts(spark, [str(one), str(two)])
+    assert both.columns == ["name", "url", "note"]
+    assert sorted(tuple(r) for r in both.collect()) == [("Ann", "u1", ""), ("Bob", "u2", "n")]
+    assert [tuple(r) for r in t.read_contacts(spark, str(two), ["name", "url"]).collect()] == [("Bob", "u2")]
+    with pytest.raises(ValueError):
+        t.read_contacts(spark, str(one), ["note"])
+    (one / "c.csv").write_text("url,name\nu3,Cid\n")
+    with pytest.raises(Exception, match="header"):
+        t.read_contacts(spark, str(one)).collect()
