@@ -134,6 +134,13 @@ def test_personal_data(spark, odd, empty):
     assert [r.doc_id for r in pii.redact(odd).exceptAll(odd).collect()] == [8]
 
 
+def test_prose_is_not_proposed(spark):
+    texts = ["She looked at that. The end", "meet at noon.Then go", "jane (at) example.org", "jane at example dot org", "a @ b.co"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    proposed = rows.select("doc_id", F.explode(pii.spans_of(F.col("text"))).alias("s")).where("s.kind = 0 and s.label is null")
+    assert {r.doc_id for r in proposed.collect()} == {2, 3, 4}
+
+
 def test_trees_find_what_the_patterns_miss(spark):
     """Held-out: proposals without a label that look like the positive rows are added, checks that fail are not."""
     cards = ["4111111111111111", "5500005555555559", "340000000000009", "4012 8888 8888 1881"]
