@@ -335,6 +335,25 @@ def test_passages(spark, odd, empty):
     assert {(r.doc_id, r.other_id) for r in passages.shared_passages(odd).collect()} == {(5, 4), (6, 4)}
 
 
+def test_passage_between_the_ends_of_its_seeds(spark):
+    """Texts in the middle share a passage whose halves many other texts have, with the last word of a half edited too."""
+    for n, edited in ((2, {}), (12, {}), (12, {29: "x"})):
+        passage = [f"p{i}" for i in range(60)]
+        rows = [(i, passage[:30] if i % 2 else passage[30:]) for i in [*range(n), *range(1000 - n, 1000)]]
+        rows += [(500, passage), (600, [edited.get(i, w) for i, w in enumerate(passage)])]
+        own = lambda i: [f"t{i}w{j}" for j in range(50)]
+        docs = rows_of(spark, [(i, " ".join(own(i) + w + own(-i - 1)), "", "", 0) for i, w in rows])
+        got = {(r.doc_id, r.start_word, r.end_word, r.other_id) for r in passages.shared_passages(docs).collect()}
+        assert got == {(600, 50, 110, 500)}
+
+
+def test_passage_of_many_texts_has_one_row_each(spark):
+    rows = [(i, " ".join([f"t{i}w{j}" for j in range(20)] + [f"p{j}" for j in range(60)]), "", "", 0) for i in range(40)]
+    got = passages.shared_passages(rows_of(spark, rows)).collect()
+    assert {r.doc_id for r in got} == set(range(1, 40))
+    assert len(got) < 120
+
+
 def test_chains():
     x, y = list(range(0, 60, 4)) + [5, 9], list(range(100, 160, 4)) + [3, 500]
     found = [[(x[i], y[i]) for i in c] for c in passages.chains(x, y, 5)]
