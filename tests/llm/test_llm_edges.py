@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing column names, for all operators."""
 
+import random
 import re
 from datetime import datetime
 
@@ -354,6 +355,19 @@ def test_passage_of_many_texts_has_one_row_each(spark):
     assert len(got) < 120
 
 
+def test_edited_passages_are_found(spark):
+    rng, rows, planted = random.Random(5), [], 0
+    for i, (words, changed) in enumerate([(60, 0.1), (60, 0.15), (100, 0.15), (100, 0.18)] * 50):
+        passage = [f"p{i}_{j}" for j in range(words)]
+        places = set(rng.sample(range(words), int(changed * words)))
+        for doc, text in ((2 * i, passage), (2 * i + 1, [f"e{j}" if j in places else w for j, w in enumerate(passage)])):
+            rows.append((doc, " ".join([f"a{doc}_{j}" for j in range(30)] + text + [f"b{doc}_{j}" for j in range(30)]), "", "", 0))
+        planted += 1
+    got = {r.doc_id for r in passages.shared_passages(rows_of(spark, rows)).collect()}
+    assert got <= {2 * i + 1 for i in range(planted)}
+    assert len(got) >= 0.97 * planted
+
+
 def test_chains():
     x, y = list(range(0, 60, 4)) + [5, 9], list(range(100, 160, 4)) + [3, 500]
     found = [[(x[i], y[i]) for i in c] for c in passages.chains(x, y, 5)]
