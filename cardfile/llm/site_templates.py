@@ -3,7 +3,8 @@
 A page becomes a tree of elements. Every element that holds text gets a hash of its whole subtree. Spark counts on how
 many pages of a host a subtree occurs; what recurs on many of them is the site's, not the page's, and is deleted.
 Elements that say what they are (navigation, adverts, comments and so on, by tag, role, class or id) are left out on
-every page, also on hosts with a single one. A page with an article or a main element is read inside it.
+every page, also on hosts with a single one. A class or id counts as a whole (sidebar, not has-sidebar), and not where an
+article, a main or most of the page's text is inside. A page with an article or a main element is read inside it.
 """
 
 from __future__ import annotations
@@ -52,6 +53,12 @@ _SAYS = _SAYS_REACTION | frozenset(
     "masthead menu modal nav navbar navigation newsletter notice notices overlay pager pagination popup promo related "
     "share sharing sidebar sidenav signup skip social sponsor sponsored subscribe subscription toolbar topbar".split()
 )
+#: Words that may stand beside these in a name without changing what it says. A name with any other word says nothing.
+_BESIDE = frozenset(
+    "area bar block body bottom box button buttons container content desktop dropdown entry footer global header icons inner "
+    "item items left link links list main mobile outer panel post posts article articles primary right secondary "
+    "section site slot small top unit widget widgets wrap wrapper".split()
+)
 #: Which open elements a start tag ends, up to the nearest of the limits.
 _CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -66,10 +73,10 @@ _ENDS_P = _BLOCKS - {"body", "html", "td", "th", "tr", "li", "dd", "dt", "option
 
 
 class _Element:
-    __slots__ = ("tag", "out", "scope", "parent", "parts", "digest")
+    __slots__ = ("tag", "out", "named", "scope", "parent", "parts", "digest")
 
-    def __init__(self, tag: str, parent, out: bool, scope: str):
-        self.tag, self.parent, self.out, self.scope = tag, parent, out, scope
+    def __init__(self, tag: str, parent, out: bool, named: bool, scope: str):
+        self.tag, self.parent, self.out, self.named, self.scope = tag, parent, out, named, scope
         self.parts, self.digest = [], None
 
 
@@ -80,24 +87,48 @@ def _attrs(source: str) -> dict[str, str]:
     return found
 
 
-def _is_left_out(tag: str, source: str, scope: str) -> bool:
-    """Whether an element is not part of the main text by what it says of itself."""
+def _says(names: str, known: frozenset) -> bool:
+    """Whether a class or id, as a whole, is one of the known words or made of them and words that change nothing."""
+    for name in names.lower().split():
+        words = set(_WORD.findall(name))
+        if words & known and words <= known | _BESIDE:
+            return True
+    return False
+
+
+def _is_left_out(tag: str, source: str, scope: str) -> tuple[bool, bool]:
+    """Whether an element is not part of the main text by what it is, and whether its class or id says so."""
     if tag in _LEFT_OUT or tag == "header" and not scope:
-        return True
+        return True, False
     if tag in ("html", "body") or len(source) < 4:
-        return False
+        return False, False
     a = _attrs(source)
     if "hidden" in a or a.get("aria-hidden", "").lower() == "true" or "display:none" in a.get("style", "").replace(" ", "").lower():
-        return True
+        return True, False
     if a.get("role", "").lower() in _ROLES:
-        return True
-    words = set(_WORD.findall(f"{a.get('class', '')} {a.get('id', '')}".lower()))
-    return bool(words & (_SAYS_REACTION if tag in ("article", "main") else _SAYS))
+        return True, False
+    known = _SAYS_REACTION if tag in ("article", "main") else _SAYS
+    return False, _says(f"{a.get('class', '')} {a.get('id', '')}", known)
+
+
+def _leave_out_named(order: list[_Element]) -> None:
+    """Sets ``out`` where a name says so, but not where there is an article, a main or most of the page's text inside."""
+    if any(e.named for e in order):
+        size, holds = {}, set()
+        for e in reversed(order):
+            size[e] = sum(len(p.strip()) if isinstance(p, str) else 0 if p.out else size[p] for p in e.parts)
+            if any(p in holds or p.tag in ("article", "main") and not p.named for p in e.parts if not isinstance(p, str) and not p.out):
+                holds.add(e)
+        for e in order:
+            if e.named and e not in holds and (e.tag in ("article", "main") or 2 * size[e] <= size[order[0]]):
+                e.out = True
+    for e in order[1:]:
+        e.out = e.out or e.parent.out
 
 
 def tree(html: str) -> tuple[_Element, list[_Element]]:
     """The root and all elements in page order. ``parts`` of an element are texts and elements."""
-    root = _Element("", None, False, "")
+    root = _Element("", None, False, False, "")
     stack, open_, order, at = [root], {}, [root], 0
 
     def close(to: int) -> None:
@@ -139,7 +170,7 @@ def tree(html: str) -> tuple[_Element, list[_Element]]:
         scope = over.scope or (tag if tag in ("article", "main") else "")
         if over.scope == "main" and tag == "article":
             scope = "article"
-        element = _Element(tag, over, over.out or _is_left_out(tag, m["attrs"], over.scope), scope)
+        element = _Element(tag, over, *_is_left_out(tag, m["attrs"], over.scope), scope)
         order.append(element)
         over.parts.append(element)
         if tag in _VOID:
@@ -160,6 +191,7 @@ def tree(html: str) -> tuple[_Element, list[_Element]]:
         open_[tag] = open_.get(tag, 0) + 1
     if at < len(html):
         stack[-1].parts.append(unescape(html[at:]))
+    _leave_out_named(order)
     return root, order
 
 

@@ -239,6 +239,17 @@ def test_main_text():
     assert site_templates.main_text("<i>" * 5_000 + "deep") == "deep"
 
 
+def test_layout_names_drop_nothing():
+    said = "<article><p>story</p></article>"
+    for mark in ("class='content has-sidebar'", "class=no-sidebar", "id=page class=header-fixed", "class=sidebar", "class='related-work'"):
+        assert site_templates.main_text(f"<body><div {mark}>{said}</div></body>") == "story"
+    text = site_templates.main_text("<section class=related-work><p>a b c</p></section><div class='site-sidebar'>x</div><p>d e f</p>")
+    assert text == "a b c\nd e f"
+    assert site_templates.main_text("<div id=notice><p>most of the page</p></div><p>rest</p>") == "most of the page\nrest"
+    comments = "<div id=comments><article class=comment-body><p>reader</p></article></div>"
+    assert site_templates.main_text(f"<article><p>a longer story</p></article>{comments}") == "a longer story"
+
+
 def test_recurring_subtrees_go(spark):
     page = lambda host, i: f"<body><div><p>Welcome to {host}<p>always</div><p>text {i}</p><p>often</p></body>"
     rows = [(i, f"http://U@Big.example:80/{i}", page("big", i)) for i in range(12)]
