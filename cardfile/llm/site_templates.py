@@ -4,7 +4,7 @@ A page becomes a tree of elements. Every element that holds text gets a hash of
 many pages of a host a subtree occurs; what recurs on many of them is the site's, not the page's, and is deleted.
 Elements that say what they are (navigation, adverts, comments and so on, by tag, role, class or id) are left out on
 every page, also on hosts with a single one. A class or id counts as a whole (sidebar, not has-sidebar), and not where an
-article, a main or most of the page's text is inside. A page with an article or a main element is read inside it.
+article or a main is inside, nor for most of the text of a page without these. Everything else on the page is read, inside an article or not.
 """
 
 from __future__ import annotations
@@ -112,15 +112,20 @@ def _is_left_out(tag: str, source: str, scope: str) -> tuple[bool, bool]:
 
 
 def _leave_out_named(order: list[_Element]) -> None:
-    """Sets ``out`` where a name says so, but not where there is an article, a main or most of the page's text inside."""
+    """Sets ``out`` where a name says so, but not where there is an article or a main with text inside.
+
+    If there is none on the whole page, what holds most of its text stays, too.
+    """
     if any(e.named for e in order):
         size, holds = {}, set()
         for e in reversed(order):
             size[e] = sum(len(p.strip()) if isinstance(p, str) else 0 if p.out else size[p] for p in e.parts)
-            if any(p in holds or p.tag in ("article", "main") and not p.named for p in e.parts if not isinstance(p, str) and not p.out):
+            inside = [p for p in e.parts if not isinstance(p, str) and not p.out and size[p]]
+            if any(p in holds or p.tag in ("article", "main") and not p.named for p in inside):
                 holds.add(e)
+        marked = order[0] in holds
         for e in order:
-            if e.named and e not in holds and (e.tag in ("article", "main") or 2 * size[e] <= size[order[0]]):
+            if e.named and e not in holds and (marked or e.tag in ("article", "main") or 2 * size[e] <= size[order[0]]):
                 e.out = True
     for e in order[1:]:
         e.out = e.out or e.parent.out
@@ -168,8 +173,6 @@ def tree(html: str) -> tuple[_Element, list[_Element]]:
                 close(lowest)
         over = stack[-1]
         scope = over.scope or (tag if tag in ("article", "main") else "")
-        if over.scope == "main" and tag == "article":
-            scope = "article"
         element = _Element(tag, over, *_is_left_out(tag, m["attrs"], over.scope), scope)
         order.append(element)
         over.parts.append(element)
@@ -195,15 +198,10 @@ def tree(html: str) -> tuple[_Element, list[_Element]]:
     return root, order
 
 
-def _scope(order: list[_Element]) -> str:
-    scopes = {e.scope for e in order if not e.out and any(isinstance(p, str) and p.strip() for p in e.parts)}
-    return "article" if "article" in scopes else "main" if "main" in scopes else ""
-
-
-def _hash(order: list[_Element], scope: str) -> None:
-    """``digest`` (64 bits) for each element that holds text of the scope, children before parents."""
+def _hash(order: list[_Element]) -> None:
+    """``digest`` (64 bits) for each element that holds text, children before parents."""
     for e in reversed(order):
-        if e.out or scope and e.scope != scope:
+        if e.out:
             continue
         parts = [x for p in e.parts if (x := _SPACE.sub(" ", p).strip() if isinstance(p, str) else p.digest)]
         if parts:
@@ -214,16 +212,15 @@ def _hash(order: list[_Element], scope: str) -> None:
 def subtree_hashes(html: str) -> list[int]:
     """Different hashes of the page's elements that hold main text."""
     _, order = tree(html)
-    _hash(order, _scope(order))
+    _hash(order)
     return list({e.digest for e in order[1:] if e.digest is not None})
 
 
 def main_text(html: str, templates=frozenset()) -> str:
     """The blocks of the page outside what is left out and outside subtrees whose hash is a template."""
     root, order = tree(html)
-    scope = _scope(order)
     if templates:
-        _hash(order, scope)
+        _hash(order)
     blocks, line = [], []
 
     def end_block() -> None:
@@ -248,8 +245,7 @@ def main_text(html: str, templates=frozenset()) -> str:
                 end_block()
             if part.out or part.digest in templates:
                 continue
-            inside = part.parts if not scope or part.scope == scope else [p for p in part.parts if not isinstance(p, str)]
-            stack.append(iter(inside))
+            stack.append(iter(part.parts))
             names.append(part.tag)
     end_block()
     return "\n".join(blocks)

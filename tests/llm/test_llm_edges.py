@@ -250,6 +250,13 @@ def test_layout_names_drop_nothing():
     assert site_templates.main_text(f"<article><p>a longer story</p></article>{comments}") == "a longer story"
 
 
+def test_text_outside_articles_is_read(spark):
+    assert site_templates.main_text("<main><h1>Title</h1><p>text</p><article>card</article></main>") == "Title\ntext\ncard"
+    page = "<div id=content><p>story {0}</p></div><p>menu</p><article>teaser {0}</article>"
+    pages = spark.createDataFrame([(i, f"http://a.b/{i}", page.format(i)) for i in range(12)], "page_id int, url string, html string")
+    assert {r.text for r in site_templates.extract(pages).collect()} == {f"story {i}\nteaser {i}" for i in range(12)}
+
+
 def test_recurring_subtrees_go(spark):
     page = lambda host, i: f"<body><div><p>Welcome to {host}<p>always</div><p>text {i}</p><p>often</p></body>"
     rows = [(i, f"http://U@Big.example:80/{i}", page("big", i)) for i in range(12)]
