@@ -1,7 +1,7 @@
 """HTML extraction with removal of site templates.
 
 A page becomes a tree of elements. Every element that holds text gets a hash of its whole subtree. Spark counts on how
-many pages of a host a subtree occurs; what recurs on many of them is the site's, not the page's, and is deleted.
+many different pages of a host a subtree occurs; what recurs is the site's, not the page's, and is deleted.
 Elements that say what they are (navigation, adverts, comments and so on, by tag, role, class or id) are left out on
 every page, also on hosts with a single one. A class or id counts as a whole (sidebar, not has-sidebar), and not where an
 article or a main is inside, nor for most of the text of a page without these. Everything else on the page is read, inside an article or not.
@@ -13,14 +13,15 @@ import hashlib
 import re
 from html import unescape
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardfile.session import materialize
 
-#: A subtree is a template if it occurs on so many pages of a host, and on such a share of them.
-LEAST_PAGES, SHARE = 10, 0.5
+#: A subtree is a template if it occurs on so many different pages of a host, and on such a share of them.
+LEAST_PAGES, SHARE = 4, 0.2
 
 _TOKEN = re.compile(
     r"<!--(?:.*?--\s*+>|.*+\Z)"
@@ -209,11 +210,11 @@ def _hash(order: list[_Element]) -> None:
             e.digest = int.from_bytes(hashlib.blake2b(body.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
-def subtree_hashes(html: str) -> list[int]:
-    """Different hashes of the page's elements that hold main text."""
-    _, order = tree(html)
+def subtree_hashes(html: str) -> tuple[int | None, list[int]]:
+    """Hash of the page's main text as a whole, and the different hashes of its elements that hold main text."""
+    root, order = tree(html)
     _hash(order)
-    return list({e.digest for e in order[1:] if e.digest is not None})
+    return root.digest, list({e.digest for e in order[1:] if e.digest is not None})
 
 
 def main_text(html: str, templates=frozenset()) -> str:
@@ -260,26 +261,34 @@ def host_of(url: Column) -> Column:
 def site_templates(
     pages: DataFrame, least_pages: int = LEAST_PAGES, share: float = SHARE, url: str = "url", html: str = "html"
 ) -> DataFrame:
-    """``host`` and ``templates`` (hashes), written. Pages without a host give none.
+    """``host``, ``page`` (hash of the html) and ``templates`` (hashes of the page's subtrees), written.
 
-    Each template is on ``share`` of a host's pages, so a host has at most 1 / ``share`` times as many as a page has
-    elements: the list does not grow with the number of pages.
+    Pages without a host and pages without a template have no row. Captures of one address are one page, and so are
+    pages whose main text is the same: as many pages count as there are different ones of either.
     """
 
     def hashes(batches):
         for frame in batches:
-            for host, source in zip(frame["host"], frame["html"], strict=True):
-                if found := subtree_hashes(source):
-                    yield pd.DataFrame({"host": pd.Series([host] * len(found), dtype=object), "subtree": found})
-
-    sites = pages.select(host_of(F.col(f"`{url}`")).alias("host"), F.coalesce(F.col(f"`{html}`"), F.lit("")).alias("html"))
-    sites = sites.where("host <> ''")
-    n_pages = sites.groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= least_pages)
-    large = materialize(n_pages, "hosts")
-    seen = sites.mapInPandas(hashes, "host string, subtree bigint").groupBy("host", "subtree").agg(F.count("*").alias("n"))
-    often = materialize(seen.where(F.col("n") >= least_pages), "subtrees")
-    recurring = often.join(large, "host").where(F.col("n") >= share * F.col("pages"))
-    return materialize(recurring.groupBy("host").agg(F.collect_list("subtree").alias("templates")), "templates")
+            for at in range(0, len(frame), 64):
+                part = frame.iloc[at : at + 64].drop(columns="html")
+                found = [subtree_hashes(source) for source in frame["html"].iloc[at : at + 64]]
+                rows = part.iloc[np.repeat(np.arange(len(part)), [len(x) for _, x in found])]
+                content = [c for c, x in found for _ in x]
+                yield rows.assign(content=np.array(content, dtype=np.int64), subtree=np.array([y for _, x in found for y in x], dtype=np.int64))
+
+    html = F.coalesce(F.col(f"`{html}`").cast("string"), F.lit(""))
+    site, address = host_of(F.col(f"`{url}`")).alias("host"), F.xxhash64(F.col(f"`{url}`").cast("string")).alias("address")
+    sites = pages.select(site, F.xxhash64(html).alias("page"), address, html.alias("html")).where("host <> ''")
+    kinds = "host string, page bigint, address bigint, content bigint, subtree bigint"
+    seen = materialize(sites.mapInPandas(hashes, kinds), "seen")
+    different = F.least(F.count_distinct("content"), F.count_distinct("address"))
+    hosts = seen.groupBy("host").agg(different.alias("pages")).where(F.col("pages") >= least_pages)
+    often = seen.groupBy("host", "subtree").agg(different.alias("n")).where(F.col("n") >= least_pages)
+    recurring = often.join(materialize(hosts, "hosts"), "host").where(F.col("n") >= share * F.col("pages"))
+    recurring = materialize(recurring.select("host", "subtree"), "subtrees")
+    # A page takes along its own templates only, however many its host has.
+    own = seen.join(recurring, ["host", "subtree"]).groupBy("host", "page").agg(F.collect_set("subtree").alias("templates"))
+    return materialize(own, "templates")
 
 
 def extract(
@@ -289,20 +298,22 @@ def extract(
     """``key``, ``url``, ``text``, ``n_chars`` for each row.
 
     A null html is an empty one; a page without main text has an empty text. A null or odd address has no host, so
-    only the page's own marks count. Repeated rows are pages of their own, also in the counts; a null key is kept;
-    an empty table gives no row; other columns are not read.
+    only the page's own marks count. Repeated rows are rows of their own, but one page in the counts; a null key is
+    kept; an empty table gives no row; other columns are not read.
     """
     templates = site_templates(pages, least_pages, share, url, html)
     own = pages.select(
         F.col(f"`{key}`").alias(key), F.col(f"`{url}`").alias(url), host_of(F.col(f"`{url}`")).alias("_host"),
         F.coalesce(F.col(f"`{html}`").cast("string"), F.lit("")).alias("_html"),
     )
-    joined = own.join(templates.withColumnRenamed("host", "_host"), "_host", "left")
+    own = own.withColumn("_page", F.xxhash64("_html"))
+    known = templates.select(F.col("host").alias("_host"), F.col("page").alias("_page"), F.col("templates").alias("_known"))
+    joined = own.join(known, ["_host", "_page"], "left")
 
     @F.pandas_udf("string")
     def text(sources: pd.Series, known: pd.Series) -> pd.Series:
         out = [main_text(s, frozenset(() if k is None else k)) for s, k in zip(sources, known, strict=True)]
         return pd.Series(out, dtype=object)
 
-    out = joined.select(F.col(key), F.col(url), text("_html", "templates").alias("text"))
+    out = joined.select(F.col(key), F.col(url), text("_html", "_known").alias("text"))
     return out.withColumn("n_chars", F.length("text").cast("bigint"))

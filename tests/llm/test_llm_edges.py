@@ -272,6 +272,20 @@ def test_recurring_subtrees_go(spark):
     assert site_templates.extract(pages.limit(0)).count() == 0
 
 
+def test_different_pages_are_counted(spark):
+    story = lambda i: f"<body><h1>Title {i}</h1><p>story {i}</p></body>"
+    copies = [(i, f"http://copies.example/{i}", story(0)) for i in range(12)]
+    again = [(20 + i, "http://again.example/x", story(0) + f"<p>seen {i} times</p>") for i in range(12)]
+    some = [(40 + i, f"http://some.example/{i}", story(i) + "<p>section notice</p>" * (i < 8)) for i in range(20)]
+    few = [(70 + i, f"http://few.example/{i}", story(i) + "<p>always</p>") for i in range(5)]
+    pages = spark.createDataFrame(copies + again + some + few, "page_id int, url string, html string")
+    got = {r.page_id: r.text for r in site_templates.extract(pages).collect()}
+    assert {got[i] for i, _, _ in copies} == {"Title 0\nstory 0"}
+    assert [got[i] for i, _, _ in again] == [f"Title 0\nstory 0\nseen {i} times" for i in range(12)]
+    assert [got[i] for i, _, _ in some] == [f"Title {i}\nstory {i}" for i in range(20)]
+    assert [got[i] for i, _, _ in few] == [f"Title {i}\nstory {i}" for i in range(5)]
+
+
 def test_url_lists(spark):
     at = lambda m, d: datetime(2024, m, d, 12)
     entries = spark.createDataFrame(
