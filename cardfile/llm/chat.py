@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -102,19 +103,43 @@ MAPPINGS = (
 )
 
 
+def _field(df: DataFrame, path: str) -> tuple[Column, T.DataType] | None:
+    """A column by its name, or a field inside structs by names with dots between; null if the table has none."""
+    kinds = {f.name: f.dataType for f in df.schema}
+    if path in kinds:
+        return F.col(f"`{path}`"), kinds[path]
+    top, *rest = path.split(".")
+    if top not in kinds:
+        return None
+    column, kind = F.col(f"`{top}`"), kinds[top]
+    for name in rest:
+        if not isinstance(kind, T.StructType) or name not in kind.fieldNames():
+            return None
+        column, kind = column[name], kind[name].dataType
+    return column, kind
+
+
 def _leaf(df: DataFrame, path: str) -> Column | None:
     """Whether a row fills the path; null if the table has no such field."""
     top, _, rest = path.partition("[].")
-    kinds = {f.name: f.dataType for f in df.schema}
-    if top not in kinds:
+    if (found := _field(df, top)) is None:
         return None
-    column = F.col(f"`{top}`")
+    column, kind = found
     if not rest:
-        return None if isinstance(kinds[top], (T.ArrayType, T.StructType, T.MapType)) else column.isNotNull()
-    element = kinds[top].elementType if isinstance(kinds[top], T.ArrayType) else None
-    if not isinstance(element, T.StructType) or rest not in element.fieldNames():
-        return None
-    return F.coalesce(F.exists(column, lambda m: m[rest].isNotNull()), F.lit(False))
+        return None if isinstance(kind, (T.ArrayType, T.StructType, T.MapType)) else column.isNotNull()
+    element = kind.elementType if isinstance(kind, T.ArrayType) else None
+    names = rest.split(".")
+    for name in names:
+        if not isinstance(element, T.StructType) or name not in element.fieldNames():
+            return None
+        element = element[name].dataType
+
+    def inside(m: Column) -> Column:
+        for name in names:
+            m = m[name]
+        return m.isNotNull()
+
+    return F.coalesce(F.exists(column, inside), F.lit(False))
 
 
 def with_fingerprint(df: DataFrame, name: str = "layout", mappings=MAPPINGS) -> DataFrame:
@@ -130,26 +155,37 @@ def with_fingerprint(df: DataFrame, name: str = "layout", mappings=MAPPINGS) ->
 def with_turns(df: DataFrame, name: str = "turns", mappings=MAPPINGS) -> DataFrame:
     """``df`` with the canonical turns of each row, null if no mapping fits its layout.
 
-    A null text or role is an empty one. Repeated rows are mapped alike; an empty table stays empty; columns that no
-    mapping names do not matter, one called ``name`` is replaced.
+    A mapping whose paths are those that the row fills comes first. If there is none, the first one takes the row whose
+    needed paths the row fills; one that needs none takes rows with any of its paths, after the others. A null text or role is an
+    empty one. Repeated rows are mapped alike; an empty table stays empty; columns that no mapping names do not
+    matter, one called ``name`` is replaced.
     """
     layout = free_name(df, "_layout")
-    marked, fields = with_fingerprint(df, layout, mappings), set(df.columns)
+    marked = with_fingerprint(df, layout, mappings)
+
+    def get(n: str) -> Column:
+        found = _field(df, n)
+        return F.lit(None).cast("string") if found is None else found[0]
 
     def one(m: Mapping) -> Column | None:
-        if not {p.partition("[].")[0] for p in m.needs} <= fields:
-            return None
         if any(_leaf(df, p) is None for p in m.needs) or not any(_leaf(df, p) is not None for p in m.paths()):
             return None
-        get = lambda n: F.col(f"`{n}`") if n in fields else F.lit(None).cast("string")
         return m.turns(get).cast(TURNS)
 
+    def fits(m: Mapping) -> Column:
+        if m.needs:
+            return reduce(Column.__and__, [_leaf(df, p) for p in m.needs])
+        return reduce(Column.__or__, [c for p in m.may if (c := _leaf(df, p)) is not None])
+
     turns, seen = F.when(F.lit(False), F.lit(None).cast(TURNS)), set()
     for m in mappings:
         known = [p for p in m.fingerprints() if p not in seen]
         seen.update(known)
         if known and (made := one(m)) is not None:
             turns = turns.when(F.col(layout).isin(known), made)
+    for m in sorted(mappings, key=lambda m: not m.needs):
+        if (made := one(m)) is not None:
+            turns = turns.when(fits(m), made)
     return marked.withColumn(name, turns).drop(layout)
 
 
@@ -211,11 +247,18 @@ def format_turns(df: DataFrame, turns: str = "turns") -> DataFrame:
     return df.withColumn("segments", segments(made)).withColumn("formatted", formatted(F.col("segments")))
 
 
+def unmapped(rows: DataFrame, name: str = "layout", mappings=MAPPINGS) -> DataFrame:
+    """The rows that no mapping fits, with the hash of the paths they fill: what ``collect_turns`` does not have."""
+    turns = free_name(rows, "_turns")
+    return with_fingerprint(with_turns(rows, turns, mappings).where(F.col(turns).isNull()).drop(turns), name, mappings)
+
+
 def collect_turns(rows: DataFrame, conversation: str, order: str, mappings=MAPPINGS) -> DataFrame:
     """``conversation``, ``turns`` from rows that each hold one turn or more, in the order of ``order`` (null first).
 
     Rows of equal order are put by role and text; repeated rows are repeated turns; a null conversation is one. A
-    conversation is one row of the result and so must fit into memory; nothing else is gathered.
+    conversation is one row of the result and so must fit into memory; nothing else is gathered. Rows that no mapping
+    fits are in ``unmapped``.
     """
     each = with_turns(rows, "_turns", mappings).select(
         F.col(f"`{conversation}`").alias(conversation), F.col(f"`{order}`").alias("at"), F.col("_turns").alias("turns")

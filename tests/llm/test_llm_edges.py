@@ -221,6 +221,22 @@ def test_layouts(spark):
     assert chat.with_fingerprint(rows).select("layout").distinct().count() == 7
 
 
+def test_rows_with_more_fields_are_mapped(spark):
+    kinds = "id int, text string, prompt string, completion string, messages array<struct<role:string,content:string>>"
+    said = [("user", "u"), ("assistant", "a")]
+    rows = spark.createDataFrame([(1, "extra", None, None, said), (2, None, "p", None, None), (3, "t", "p", "c", None), (4, None, None, None, None)], kinds)
+    got = {r.id: r.turns and [tuple(t) for t in r.turns] for r in chat.with_turns(rows).collect()}
+    assert got == {1: said, 2: None, 3: [("user", "p"), ("assistant", "c")], 4: [("", "")]}
+    left = chat.unmapped(rows).collect()
+    assert [(r.id, r.layout) for r in left] == [(2, chat.path_hash(["prompt"]))]
+    deep = rows.where("id = 1").selectExpr("id", "struct(messages) AS data")
+    mapping = chat.Mapping(
+        "data", ("data.messages[].role",), lambda f: F.transform(f("data.messages"), lambda m: chat.turn(m["role"], m["content"])),
+        ("data.messages[].content",),
+    )
+    assert [tuple(t) for t in chat.with_turns(deep, mappings=(mapping,)).first().turns] == said
+
+
 PAGE = (
     "<html><head><title>t</title><script>a('</p>')</script></head><body class='has-sidebar'><header>Top</header><nav>N</nav>"
     "<div class='cookie-notice'>C</div><main><h1>A &amp; B</h1><p>one\n two<br>three<p>four <b>bold</b></p>"
