@@ -61,34 +61,51 @@ def take_batch(df: DataFrame, n: int, *order: str) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def _carried(chunks: DataFrame, inputs: list[str], width: int) -> DataFrame:
+    """``_chunk`` and the sums before it, as ``_before_{input}``; no window holds more than ``width`` chunks."""
+    before = lambda spec: [
+        F.coalesce(F.sum(c).over(spec.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias(f"_before_{c}") for c in inputs
+    ]
+    if chunks.count() <= width:
+        return chunks.select("_chunk", *before(W.orderBy("_chunk")))
+    chunks = chunks.withColumn("_above", F.floor(F.col("_chunk") / width))
+    above = chunks.groupBy(F.col("_above").alias("_chunk")).agg(*[F.sum(c).alias(c) for c in inputs])
+    above = _carried(materialize(above, "chunks"), inputs, width)
+    above = above.select(F.col("_chunk").alias("_above"), *[F.col(f"_before_{c}").alias(f"_above_{c}") for c in inputs])
+    inside = chunks.select("_chunk", "_above", *before(W.partitionBy("_above").orderBy("_chunk")))
+    return inside.join(above, "_above").select(
+        "_chunk", *[(F.col(f"_before_{c}") + F.col(f"_above_{c}")).alias(f"_before_{c}") for c in inputs]
+    )
+
+
 def running_total(
     df: DataFrame, by: str, totals: dict[str, str], grand: dict[str, str] | None = None,
     width: int = 10_000,
 ) -> DataFrame:
-    """Running sums over rows with unique whole numbers ``by``, in two levels.
+    """Running sums over rows with unique whole numbers ``by``, in levels.
 
-    Numbers are cut into chunks of ``width``; a chunk holds at most ``width`` rows and is summed on
-    its own, and what comes before it is taken from the chunk totals. ``totals`` names the running
-    sums and ``grand`` the sums over everything, both as {output: input}.
+    Rows are numbered and cut into chunks of ``width`` rows, however far apart the numbers are. A chunk
+    is summed on its own, and what comes before it is taken from the chunk totals, which are summed in
+    the same way. ``totals`` names the running sums and ``grand`` the sums over everything, both as
+    {output: input}.
     """
+    if width < 2:
+        raise ValueError("a chunk needs two rows")
     grand = grand or {}
-    rows = df.withColumn("_chunk", F.floor(F.col(by) / width))
+    rows = with_ordinal(df, by, name="_row", start=0).withColumn("_chunk", F.floor(F.col("_row") / width))
     inputs = sorted({*totals.values(), *grand.values()})
-    per_chunk = rows.groupBy("_chunk").agg(*[F.sum(c).alias(f"_sum_{c}") for c in inputs])
-    in_order = W.orderBy("_chunk")
-    carried = in_order.rowsBetween(W.unboundedPreceding, -1)
-    whole = in_order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    offsets = per_chunk.select(
-        "_chunk",
-        *[F.coalesce(F.sum(f"_sum_{c}").over(carried), F.lit(0)).alias(f"_before_{out}")
-          for out, c in totals.items()],
-        *[F.sum(f"_sum_{c}").over(whole).alias(out) for out, c in grand.items()],
-    )
-    inside = W.partitionBy("_chunk").orderBy(by).rowsBetween(W.unboundedPreceding, 0)
+    sums = [F.sum(c).alias(f"_sum_{c}") for c in inputs]
+    per_chunk = materialize(rows.groupBy("_chunk").agg(*sums), "chunks")
+    offsets = _carried(per_chunk, [f"_sum_{c}" for c in inputs], width)
+    inside = W.partitionBy("_chunk").orderBy("_row").rowsBetween(W.unboundedPreceding, 0)
     joined = rows.join(offsets, "_chunk")
+    if grand:
+        whole = per_chunk.agg(*[F.sum(f"_sum_{c}").alias(out) for out, c in grand.items()])
+        for out, value in whole.first().asDict().items():
+            joined = joined.withColumn(out, F.lit(value).cast(whole.schema[out].dataType))
     for out, c in totals.items():
-        joined = joined.withColumn(out, F.col(f"_before_{out}") + F.sum(c).over(inside))
-    return joined.drop("_chunk", *[f"_before_{out}" for out in totals])
+        joined = joined.withColumn(out, F.col(f"_before__sum_{c}") + F.sum(c).over(inside))
+    return joined.drop("_chunk", "_row", *[f"_before__sum_{c}" for c in inputs])
 
 
 def matched_first(df: DataFrame, flag: str, *order: str) -> DataFrame:

@@ -39,6 +39,24 @@ def test_running_total_over_chunks(spark):
     assert {r["all"] for r in got} == {total}
 
 
+def test_running_total_over_sparse_numbers(spark, monkeypatch):
+    """Numbers far apart fill whole chunks, and chunk totals are summed in levels of at most ``width`` rows."""
+    written, write = [], ordering.materialize
+
+    def spy(df, label):
+        out = write(df, label)
+        written.append((label, out.count()))
+        return out
+
+    monkeypatch.setattr(ordering, "materialize", spy)
+    rows = [(n * 1_000_003, n % 7) for n in range(300)]
+    df = spark.createDataFrame(rows, "n long, v long")
+    got = ordering.running_total(df, "n", {"t": "v"}, {"all": "v"}, width=8).orderBy("n").collect()
+    assert [(r.n, r.t, r["all"]) for r in got] == [(n, sum(v for _, v in rows[: i + 1]), sum(v for _, v in rows)) for i, (n, _) in enumerate(rows)]
+    assert [n for label, n in written if label == "chunks"] == [38, 5]
+    assert ordering.running_total(df.where("n < 0"), "n", {"t": "v"}, {"all": "v"}).count() == 0
+
+
 def test_throughput_without_time(spark):
     df = spark.createDataFrame([(1, 10, 0), (2, 30, 60)], "batch long, rows long, seconds long")
     a, b = reports.throughput(df).orderBy("batch").collect()
