@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cardfile.session import materialize
 
-from . import chat, mixing, passages, pii, quality, simhash, site_templates, tiling, url_lists, warc
+from . import chat, mixing, passages, pii, quality, simhash, site_templates, tiling, url_lists, voronoi, warc
 from .words import whole_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -240,3 +240,18 @@ def op9_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
 @_query()
 def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return tiling.leaks(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+
+
+@_query("""
+WITH e AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+met AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM e q JOIN e c ON q.vec_id % 100 = 0 AND NOT (q.vec_id = c.vec_id AND q.v = c.v)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM met)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+""")
+def op11_topk_search(spark: SparkSession, sf: str) -> DataFrame:
+    return voronoi.top_k(_table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0, k=10, scale=1024)
