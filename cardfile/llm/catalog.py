@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cardfile.session import materialize
 
-from . import chat, mixing, passages, pii, quality, simhash, site_templates, tiling, url_lists, voronoi, warc
+from . import anchor_lists, chat, mixing, passages, pii, quality, simhash, site_templates, tiling, url_lists, voronoi, warc
 from .words import whole_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -255,3 +255,27 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """)
 def op11_topk_search(spark: SparkSession, sf: str) -> DataFrame:
     return voronoi.top_k(_table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0, k=10, scale=1024)
+
+
+@_query("""
+WITH e AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+met AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_inner_product(a.v, c.v)::BIGINT AS score
+  FROM e a JOIN e c ON a.vec_id % 50 = 0 AND NOT (a.vec_id = c.vec_id AND a.v = c.v AND a.label = c.label)),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM met WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+ranked AS (
+  SELECT p.anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank
+  FROM positives p JOIN met ON met.anchor_id = p.anchor_id AND NOT same
+    AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 3
+""")
+def op13_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return anchor_lists.hard_negatives(_table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0, label)
