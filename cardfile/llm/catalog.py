@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cardfile.session import materialize
 
-from . import anchor_lists, chat, mixing, passages, pii, quality, simhash, site_templates, tiling, url_lists, voronoi, warc
+from . import anchor_lists, chat, mixing, passages, phrases, pii, quality, simhash, site_templates, tiling, url_lists, voronoi, warc
 from .words import whole_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -279,3 +279,40 @@ SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
 def op13_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return anchor_lists.hard_negatives(_table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0, label)
+
+
+@_query(r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS p FROM d),
+ws AS (SELECT lang, row_number() OVER () AS piece, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM ws GROUP BY lang),
+each AS (SELECT lang, piece, unnest(w) AS w, unnest(range(len(w))) AS i FROM ws),
+runs AS (
+  SELECT lang, w AS g1, w || ' ' || lead(w, 1) OVER p AS g2, w || ' ' || lead(w, 1) OVER p || ' ' || lead(w, 2) OVER p AS g3,
+         w || ' ' || lead(w, 1) OVER p || ' ' || lead(w, 2) OVER p || ' ' || lead(w, 3) OVER p AS g4
+  FROM each WINDOW p AS (PARTITION BY piece ORDER BY i)),
+grams AS (
+  SELECT lang, 1 AS k, g1 AS g FROM runs UNION ALL SELECT lang, 2, g2 FROM runs WHERE g2 IS NOT NULL
+  UNION ALL SELECT lang, 3, g3 FROM runs WHERE g3 IS NOT NULL UNION ALL SELECT lang, 4, g4 FROM runs WHERE g4 IS NOT NULL),
+f AS (SELECT lang, k, g, count(*) AS n FROM grams GROUP BY ALL HAVING count(*) >= 30),
+longer AS (SELECT lang, k, n, string_split(g, ' ') AS w FROM f WHERE k > 2),
+subs AS (
+  SELECT lang, n, unnest(list_transform(range(1, longer.k - s.k + 2), lambda i: array_to_string(w[i:i + s.k - 1], ' '))) AS g
+  FROM longer JOIN range(2, 4) AS s(k) ON s.k < longer.k),
+most AS (SELECT lang, g, max(n) AS most FROM subs GROUP BY ALL),
+kept AS (
+  SELECT f.lang, f.g, f.n AS a, string_split(f.g, ' ') AS w, f.k FROM f LEFT JOIN most USING (lang, g)
+  WHERE f.k > 1 AND (most IS NULL OR 100 * most < 80 * f.n)),
+cuts AS (
+  SELECT kept.lang, kept.g, a, c AS cut, l.n AS l, r.n AS r, ((2000000::HUGEINT * a) // (l.n + r.n))::BIGINT AS score
+  FROM kept JOIN range(1, 4) AS x(c) ON c < kept.k
+  JOIN f l ON l.lang = kept.lang AND l.g = array_to_string(w[1:c], ' ')
+  JOIN f r ON r.lang = kept.lang AND r.g = array_to_string(w[c + 1:], ' ')),
+low AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank FROM low)
+SELECT ranked.lang, rank, g AS phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+""")
+def op12_phrases(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.phrases(_table(spark, sf, "documents"), longest=4, least=30, share=80, first=2_000)
