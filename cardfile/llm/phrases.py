@@ -29,30 +29,31 @@ from .words import is_empty
 
 #: Ends of pieces, as the contract lists them; blanks between words are the space and the tab.
 ENDS = ".,;:!?\n\x0b\x0c\r"
-#: Characters of text that a task counts at a time, and that are split into words at a time.
-CHARS, SLICE = 2**24, 2**20
+#: Bytes of text that a task counts at a time, and that are split into words at a time.
+BYTES, SLICE = 2**24, 2**20
 #: Bits of a bitmap: BITS_EACH for each frequent item, but not more than MOST_BITS (16 MB).
 BITS_EACH, LEAST_BITS, MOST_BITS = 16, 2**18, 2**27
 BLANK, END = 0, 1
 
-_TABLE = str.maketrans({**dict(zip(*LOWER, strict=True)), "\t": " ", **{c: " \n " for c in ENDS}})
+# UTF-8 has these bytes nowhere inside longer characters, so whole texts are mapped byte by byte.
+_TABLE = bytes.maketrans("".join((LOWER[0], "\t", ENDS)).encode(), "".join((LOWER[1], " ", "\n" * len(ENDS))).encode())
 
 
 class Block:
-    """Words of texts of one language as numbers, texts and pieces one after the other, END between them."""
+    """Words of texts (UTF-8) of one language as numbers, texts and pieces one after the other, END between them."""
 
     def __init__(self):
         self.number: defaultdict = defaultdict()
         self.number.default_factory = self.number.__len__
-        self.number[""], self.number["\n"] = BLANK, END
+        self.number[b""], self.number[b"\n"] = BLANK, END
         self.parts: list[np.ndarray] = []
 
-    def add(self, text: str) -> None:
+    def add(self, text: bytes) -> None:
         at = 0
         while at < len(text):
-            cut = text.find(" ", at + SLICE)
+            cut = text.find(b" ", at + SLICE)
             cut = len(text) if cut < 0 else cut
-            words = text[at:cut].translate(_TABLE).split(" ")
+            words = text[at:cut].translate(_TABLE).replace(b"\n", b" \n ").split(b" ")
             self.parts.append(np.fromiter(map(self.number.__getitem__, words), np.int64, len(words)))
             at = cut
         self.parts.append(np.array([END]))
@@ -65,15 +66,17 @@ class Block:
         return np.array(list(self.number), dtype=object)
 
 
-def blocks(batches: Iterator[pd.DataFrame], chars: int = CHARS) -> Iterator[tuple[str, Block]]:
-    """Blocks of about ``chars`` characters of the texts of one language each, or of what the task has."""
+def blocks(batches: Iterator[pd.DataFrame], most: int = BYTES) -> Iterator[tuple[str, Block]]:
+    """Blocks of about ``most`` bytes of the texts of one language each, or of what the task has."""
     held: dict[str, Block] = {}
     size = 0
     for frame in batches:
         for lang, text in zip(frame["lang"], frame["text"], strict=True):
-            held.setdefault(lang, Block()).add(text)
+            if lang not in held:
+                held[lang] = Block()
+            held[lang].add(text)
             size += len(text)
-            if size >= chars:
+            if size >= most:
                 yield from held.items()
                 held, size = {}, 0
     yield from held.items()
@@ -102,9 +105,6 @@ class Bitmap:
         for r in page.groupBy("page").agg(F.bitmap_construct_agg("bit").alias("bits")).toLocalIterator():  # MOST_BITS in all
             self.bits[r.page * 4096 : (r.page + 1) * 4096] = np.frombuffer(bytes(r.bits), dtype=np.uint8)
 
-    def __contains__(self, _):
-        raise TypeError("use has")
-
     def has(self, hashes: np.ndarray) -> np.ndarray:
         at = hashes & self.mask
         return (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
@@ -179,7 +179,7 @@ def _runs(texts: DataFrame, words: Bitmap, pairs: Bitmap, longest: int) -> DataF
             text, ids = block.words(), ids.tolist()
             for i in range(0, len(at), 65_536):
                 cut = slice(i, i + 65_536)
-                g = [" ".join(text[ids[a : a + s]]) for a, s in zip(at[cut].tolist(), size[cut].tolist(), strict=True)]
+                g = [b" ".join(text[ids[a : a + s]]).decode() for a, s in zip(at[cut].tolist(), size[cut].tolist(), strict=True)]
                 yield pd.DataFrame({"lang": lang, "k": size[cut], "g": g, "n": times[cut]})
 
     return texts.mapInPandas(count, "lang string, k int, g string, n bigint").groupBy("lang", "k", "g").agg(F.sum("n").alias("n"))
@@ -196,7 +196,7 @@ def tail(g: str, k: int) -> Column:
 def graph(texts: DataFrame, longest: int, least: int) -> tuple[DataFrame, dict[int, DataFrame], DataFrame]:
     """Words of each language (``lang``, ``n``), counts by length (``lang``, ``g``, ``n``), and the nodes with their ways out.
 
-    Counts of phrases that occur ``least`` times are exact; of others there may be less than all. ``texts``: ``lang`` and ``text``, not null.
+    Counts of phrases that occur ``least`` times are exact; of others there may be less than all. ``texts``: ``lang`` and ``text`` (binary), not null.
     """
     counted = materialize(_word_counts(texts).where(F.col("lang").isNotNull() | (F.col("n") >= least)), "words")
     words = Bitmap(counted.where("lang is null"), "h")
@@ -260,7 +260,7 @@ def phrases(
     columns are not read. ``longest`` is 2 or more.
     """
     texts = docs.select(
-        F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"), F.col(f"`{text}`").cast("string").alias("text")
+        F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"), F.col(f"`{text}`").cast("string").cast("binary").alias("text")
     ).where(F.length("text") > 0)
     totals, counts, nodes = graph(texts, longest, least)
     often = {k: c.where(F.col("n") >= least) for k, c in counts.items()}
