@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +21,7 @@ from ..operators.matching import resume
 from ..operators.reports import batch_split_counts
 from ..operators.routing import with_route
 from ..functions.predicates import is_complete
+from .seen import SeenKeys
 
 
 def file_stream(
@@ -47,23 +50,32 @@ def run_available(
 def incremental_extract(
     pages: DataFrame, done: DataFrame, selectors: dict[str, Selector], out: str, checkpoint: str
 ) -> None:
-    """Profile fields of pages not in ``done``, appended to ``out``.
+    """Profile fields of pages that are neither in ``done`` nor in an earlier batch, with a ``status``.
 
-    The anti join comes before the shredder, so finished pages are never parsed.
+    A page that gives no field is a ``Failed`` row with blank fields, so it is not tried again. Of several pages of one address
+    in a batch one is taken, first those that give a field. The anti joins come before the shredder, so finished pages are never parsed.
+    Rows, completed and failed ones, go to a folder of their batch, then their addresses, then one row to the ledger
+    (``batch_id``, ``completed``, ``failed``). Only batches in the ledger are read (``seen.committed``), and a batch that
+    was stopped half way and runs again overwrites what it had written.
     """
-    todo = resume(pages.withColumn("url", ensure_scheme("url")), done, "url")
-    run_available(profile_fields(with_nodes(todo), selectors, "url"), checkpoint, out)
+    keys = SeenKeys(f"{out}/keys")
 
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        todo = keys.unseen(resume(batch.withColumn("url", ensure_scheme("url")), done, "url"), "url", batch_id)
+        rows = profile_fields(with_nodes(todo), selectors, "url")
+        fields = [c for c in rows.columns if c != "url"]
+        found = F.greatest(*[F.coalesce(quoted(c) != "", F.lit(False)) for c in fields])
+        rows = rows.withColumn("status", F.when(found, "Completed").otherwise("Failed"))
+        rows = keep_first(rows, F.col("url"), "status", *fields)
+        folder = f"{out}/rows/batch_id={batch_id}"
+        rows.write.mode("overwrite").parquet(folder)
+        written = spark.read.schema(rows.schema).parquet(folder)
+        keys.add(written, "url", batch_id)
+        counts = [F.count_if(F.col("status") == s).alias(s.lower()) for s in ("Completed", "Failed")]
+        written.agg(*counts).coalesce(1).write.mode("overwrite").parquet(f"{out}/ledger/batch_id={batch_id}")
 
-def _earlier(spark: SparkSession, out: str, batch_id: int, schema: T.StructType) -> DataFrame:
-    """Rows written by earlier batches; what an interrupted run of this batch left is not read."""
-    try:
-        written = spark.read.schema(schema).parquet(out)
-    except AnalysisException as gone:
-        if "PATH_NOT_FOUND" not in str(gone):
-            raise
-        return spark.createDataFrame([], schema)
-    return written.filter(F.col("batch_id") < batch_id)
+    run_available(pages, checkpoint, each=write)
 
 
 def stream_keep_first(
@@ -71,42 +83,57 @@ def stream_keep_first(
 ) -> None:
     """The first row per key: first batch, then smallest ordinal.
 
-    Inside a batch the ranking has a group limit, so a hot key leaves each map task as one row;
-    what is left is checked against the keys of earlier batches. Batches write folders of their
-    own, so a replay overwrites its own rows only.
+    Inside a batch the ranking has a group limit, so a hot key leaves each map task as one row; what is left is checked
+    against the keys of earlier batches, in the buckets of its own keys only. Batches write folders of their own, so
+    a replay overwrites its own rows only.
     """
-    keyed = stream.withColumn("dedup_key", key)
-    seen_schema = T.StructType(
-        [T.StructField("dedup_key", keyed.schema["dedup_key"].dataType), T.StructField("batch_id", T.LongType())]
-    )
+    keys = SeenKeys(f"{checkpoint}-keys")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         firsts = keep_first(batch, F.col("dedup_key"), ordinal)
-        seen = _earlier(batch.sparkSession, out, batch_id, seen_schema).select("dedup_key")
-        firsts.join(seen, "dedup_key", "left_anti").write.mode("overwrite").parquet(
-            f"{out}/batch_id={batch_id}"
-        )
+        folder = f"{out}/batch_id={batch_id}"
+        new = keys.unseen(firsts, "dedup_key", batch_id)
+        new.write.mode("overwrite").parquet(folder)
+        keys.add(batch.sparkSession.read.schema(new.schema).parquet(folder), "dedup_key", batch_id)
+
+    run_available(stream.withColumn("dedup_key", key), checkpoint, each=write)
+
+
+def _one_each(keys: list[str], event_time: str | None):
+    """For each Arrow batch the rows that are the first of their keys, or the latest where there is an event time."""
+
+    def run(batches):
+        for b in batches:
+            table = pa.Table.from_batches([b])
+            at = table.select(keys).append_column("_at", pa.array(np.arange(b.num_rows)))
+            if event_time is not None:
+                order = pc.sort_indices(table, [(event_time, "descending")], null_placement="at_end")
+                at = at.take(order).set_column(len(keys), "_at", pa.array(np.arange(b.num_rows)))
+                table = table.take(order)
+            first = at.group_by(keys).aggregate([("_at", "min")])["_at_min"]
+            yield from table.take(first.combine_chunks()).to_batches()
 
-    run_available(keyed, checkpoint, each=write)
+    return run
 
 
 def stream_dedup(
-    stream: DataFrame, keys: list[str], event_time: str | None = None, delay: str | None = None,
-    salts: int = 32,
+    stream: DataFrame, keys: list[str], event_time: str | None = None, delay: str | None = None
 ) -> DataFrame:
-    """Any one row per key, kept by Spark's state store.
+    """Any one row per key, kept by Spark's state store as one state row per key.
 
-    Without an event time the state grows with the number of keys, and a first round per key and
-    salt lets at most ``salts`` rows of a hot key through to the round per key. With an event time
-    a key is forgotten ``delay`` after its row, and rows later than that are dropped, so the caller
-    must say how long; there a first round would change which rows pass.
+    Before the shuffle each Arrow batch of a task lets one row of a key through, without state, so a hot key is
+    shuffled once for some thousands of its rows. Without an event time the state grows with the number of keys. With one a key is
+    forgotten ``delay`` after its row, and rows later than that are dropped, so the caller must say how long; the
+    first round then lets the latest row through, which is late only if all of them are.
     """
+    if event_time is not None and delay is None:
+        raise ValueError("an event time needs a delay")
+    plain = all(not isinstance(stream.schema[k].dataType, (T.ArrayType, T.MapType, T.StructType)) for k in keys)
+    if plain:
+        stream = stream.mapInArrow(_one_each(keys, event_time), stream.schema)
     if event_time is not None:
-        if delay is None:
-            raise ValueError("an event time needs a delay")
         return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
-    salted = stream.withColumn("_salt", F.spark_partition_id() % salts)
-    return salted.dropDuplicates([*keys, "_salt"]).drop("_salt").dropDuplicates(keys)
+    return stream.dropDuplicates(keys)
 
 
 def failure_rows(attempted: DataFrame, extracted: DataFrame, url: str = "url") -> DataFrame:

@@ -7,6 +7,7 @@ from cardfile.functions.shred import with_nodes
 from cardfile.operators.links import profile_fields
 from cardfile.operators.matching import resume
 from cardfile.streaming import incremental as inc
+from cardfile.streaming.seen import SeenKeys, committed
 
 SCHEMA = "ord long, k string"
 
@@ -55,13 +56,54 @@ def test_extract_resumes(spark, tmp_path):
         stream = inc.file_stream(spark, source, schema(ddl))
         table = spark.createDataFrame([(u,) for u in done], "url string")
         inc.incremental_extract(stream, table, {"Name": sel.one("h1")}, out, check)
-        return sorted((r.url, r.name, r.phone) for r in spark.read.parquet(out).collect())
+        return sorted((r.url, r.name, r.phone, r.status) for r in committed(spark, out).collect())
 
     add(spark, source, [(1, "a.com/1", page.format("A", 1)), (2, "a.com/2", page.format("B", 2))], ddl)
-    assert run(["https://a.com/2 "]) == [("https://a.com/1", "A", "1")]
-    assert run(["https://a.com/2 "]) == [("https://a.com/1", "A", "1")]
+    one = ("https://a.com/1", "A", "1", "Completed")
+    assert run(["https://a.com/2 "]) == [one]
+    assert run(["https://a.com/2 "]) == [one]
     add(spark, source, [(3, "a.com/3", None)], ddl)
-    assert run([]) == [("https://a.com/1", "A", "1"), ("https://a.com/3", "", "")]
+    assert run([]) == [one, ("https://a.com/3", "", "", "Failed")]
+    add(spark, source, [(4, "a.com/3", page.format("C", 3)), (5, "a.com/4", page.format("D", 4)), (6, "a.com/4", None)], ddl)
+    assert run([]) == [one, ("https://a.com/3", "", "", "Failed"), ("https://a.com/4", "D", "4", "Completed")]
+    ledger = spark.read.parquet(f"{out}/ledger").orderBy("batch_id").collect()
+    assert [(r.batch_id, r.completed, r.failed) for r in ledger] == [(0, 1, 0), (1, 0, 1), (2, 1, 0)]
+
+
+def test_killed_extract_adds_nothing(spark, tmp_path, monkeypatch):
+    """A batch that stops before its ledger row is not read; run again it leaves its rows once."""
+    source, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    ddl = "page_id long, url string, html string"
+    add(spark, source, [(n, f"https://a.com/{n}", f"<h1>{n}</h1>") for n in range(4)], ddl)
+
+    def run():
+        stream = inc.file_stream(spark, source, schema(ddl))
+        inc.incremental_extract(stream, spark.createDataFrame([], "url string"), {"Name": sel.one("h1")}, out, check)
+
+    with monkeypatch.context() as m:
+        m.setattr(SeenKeys, "add", lambda *_: 1 / 0)
+        with pytest.raises(Exception, match="division"):
+            run()
+    assert spark.read.parquet(f"{out}/rows").count() == 4
+    with pytest.raises(ValueError, match="committed"):
+        committed(spark, out)
+    for _ in range(2):
+        run()
+        assert sorted(r.name for r in committed(spark, out).collect()) == ["0", "1", "2", "3"]
+
+
+def test_seen_keys_reads_its_own_buckets(spark, tmp_path):
+    keys = SeenKeys(str(tmp_path / "keys"), buckets=8, merge_every=3)
+    rows = lambda *k: spark.createDataFrame([(x,) for x in k], "k string")
+    for n, k in enumerate("abcdefgh"):
+        assert keys.unseen(rows(k, None if n else "z"), "k", n).count() == (2 if n < 2 else 1)
+        keys.add(rows(k, *([None] if n == 1 else [])), "k", n)
+    assert sorted(r.k for r in keys.unseen(rows("a", "h", "x", None), "k", 8).collect()) == ["x"]
+    assert sorted(r.k for r in keys.unseen(rows("a", "h", None), "k", 1).collect() if r.k) == ["h"]  # a replay of batch 1
+    folders, single = keys._folders(spark, 8)
+    assert folders[0].endswith("merged-6") and single == 2
+    plan = keys.unseen(rows("a"), "k", 8)._jdf.queryExecution().executedPlan().toString()
+    assert "bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
 
 
 def test_finished_pages_are_not_parsed(spark):
@@ -100,7 +142,7 @@ def test_state_store_dedup_over_batches(spark, tmp_path):
     for batch in ([("a",), ("b",)], [("a",), ("c",)], [("a",), ("a",)]):
         spark.createDataFrame(batch * 20, "k string").repartition(4).write.mode("append").parquet(source)
         stream = inc.file_stream(spark, source, schema("k string"))
-        inc.run_available(inc.stream_dedup(stream, ["k"], salts=3), check, out)
+        inc.run_available(inc.stream_dedup(stream, ["k"]), check, out)
     assert sorted(r.k for r in spark.read.parquet(out).collect()) == ["a", "b", "c"]
 
 
@@ -109,3 +151,18 @@ def test_failures_get_blank_rows(spark):
     found = spark.createDataFrame([("a", "Ann")], "url string, name string")
     got = sorted(tuple(r) for r in inc.failure_rows(tried, found).collect())
     assert got == [("a", "Ann", "Completed"), ("b", "", "Failed"), ("b", "", "Failed")]
+
+
+def test_hot_key_is_cut_before_the_state(spark, tmp_path):
+    """One state row per key, and few of the rows of a hot key reach it; nulls are a key, the latest row stays."""
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    rows = [("hot", n) for n in range(5000)] + [("cold", 1), (None, 2), (None, 3)]
+    spark.createDataFrame(rows, "k string, n long").selectExpr("k", "timestamp_seconds(n) as ts").coalesce(1).write.parquet(source)
+    stream = inc.stream_dedup(inc.file_stream(spark, source, schema("k string, ts timestamp")), ["k"], "ts", "1 day")
+    query = stream.writeStream.option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True)
+    query = query.format("parquet").start(out)
+    query.awaitTermination()
+    state = [p["stateOperators"][0] for p in query.recentProgress if p["stateOperators"]]
+    assert max(s["numRowsTotal"] for s in state) == 3
+    got = {r.k: r.n for r in spark.read.parquet(out).selectExpr("k", "unix_timestamp(ts) as n").collect()}
+    assert got == {"hot": 4999, "cold": 1, None: 3}
