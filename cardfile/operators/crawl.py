@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import count
 
 from pyspark.sql import Column, DataFrame
@@ -9,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
-from ..session import materialize
+from ..session import bucketed, forget, materialize
 
 
 def crawl_cutoff(
@@ -44,32 +45,64 @@ def crawl_cutoff(
     )
 
 
+#: Links of one page that stay together; a page with more has its links in several buckets.
+SPLIT = 100_000
+#: Rounds whose addresses are tables of their own before they become one.
+MERGE = 8
+
+
+def _next_hop(links: DataFrame, hubs: DataFrame, frontier: DataFrame, visited: list[DataFrame]) -> DataFrame:
+    """Addresses that pages of the frontier link to and that were not visited.
+
+    ``links`` is in buckets by page and part, ``visited`` by address, all in as many as the session has shuffle
+    partitions: only the frontier and what it reaches are shuffled.
+    """
+    asked = frontier.join(hubs, "url", "left").select(
+        F.col("url").alias("src"), F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part")
+    )
+    reached = links.join(asked, ["src", "part"], "left_semi").select(F.col("dst").alias("url")).distinct()
+    for seen in visited:
+        reached = reached.join(seen, "url", "left_anti")
+    return reached
+
+
 def crawl_frontier(seeds: DataFrame, links: DataFrame, max_hops: int | None = None) -> DataFrame:
     """Addresses reachable from the seeds, in at most ``max_hops`` links if given, with the fewest hops.
 
-    ``seeds`` has ``url``, ``links`` has ``src`` and ``dst``. Links and each round are written once,
-    so the plan of a round starts from tables; the loop ends with the first round that finds
-    nothing new. A round keeps links of the frontier by a semi join, so a page with very many links
-    can be split, and a page linked to very often is one key after the map side.
+    ``seeds`` has ``url``, ``links`` has ``src`` and ``dst``; repeated and null ones count once and not at all. Links are
+    shuffled once, into buckets, and so is each round; a hop then shuffles its frontier and what that reaches, and
+    neither links nor visited addresses. Each hop is planned from at most MERGE + 1 tables, however many went before. A
+    page with very many links has them in several buckets, and a page linked to very often is one key after the map
+    side. The loop ends with the first round that finds nothing new.
     """
-    links = materialize(links.select("src", "dst").dropna(), "links")
-    frontier = materialize(
-        seeds.select("url").dropna().distinct().withColumn("hop", F.lit(0)), "frontier"
-    )
-    visited = frontier
+    spark = links.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    links = links.select("src", "dst").dropna()
+    hubs = links.groupBy(F.col("src").alias("url")).agg(F.ceil(F.count("*") / float(SPLIT)).cast("int").alias("parts"))
+    hubs = materialize(hubs.filter("parts > 1"), "hubs")
+    parted = links.join(hubs.withColumnRenamed("url", "src"), "src", "left")
+    part = F.pmod(F.xxhash64("dst"), F.coalesce("parts", F.lit(1))).cast("int")
+    links = bucketed(parted.select("src", part.alias("part"), "dst"), "links", buckets, "src", "part")
+    first = seeds.select("url").dropna().distinct().withColumn("hop", F.lit(0))
+    visited = [bucketed(first, "frontier", buckets, "url")]
+    done = []
     for hop in count(1) if max_hops is None else range(1, max_hops + 1):
-        reached = (
-            links.join(frontier, links["src"] == frontier["url"], "left_semi")
-            .select(F.col("dst").alias("url"))
-            .distinct()
-        )
-        frontier = materialize(
-            reached.join(visited, "url", "left_anti").withColumn("hop", F.lit(hop)), "frontier"
-        )
+        reached = _next_hop(links, hubs, visited[-1].filter(F.col("hop") == hop - 1), [v.select("url") for v in visited])
+        frontier = bucketed(reached.withColumn("hop", F.lit(hop)), "frontier", buckets, "url")
         if frontier.isEmpty():
+            done.append(frontier)
             break
-        visited = visited.unionByName(frontier)
-    return visited
+        visited.append(frontier)
+        if len(visited) > MERGE:
+            merged = bucketed(_union(visited), "visited", buckets, "url")
+            done, visited = done + visited, [merged]
+    for table in (links, *done):
+        forget(table)
+    return _union([forget(v) for v in visited])
+
+
+def _union(tables: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, tables)
 
 
 def micros(df: DataFrame, ts: str) -> Column:

@@ -77,3 +77,26 @@ def key_table(df: DataFrame, *keys: str) -> DataFrame:
     other side.
     """
     return materialize(df.select(*[f"`{k}`" for k in keys]).distinct(), "keys")
+
+
+def bucketed(df: DataFrame, label: str, buckets: int, *keys: str) -> DataFrame:
+    """Write ``df`` to the shared folder in buckets by ``keys``, one file each, and go on from the written table.
+
+    Tables in as many buckets by the keys of a join meet without a shuffle. The table is known to the session's
+    catalog by a name of its own; ``forget`` takes the name out again, the files stay.
+    """
+    spark = df.sparkSession
+    path = fresh_path(spark, label)
+    name = f"{label}_{uuid.uuid4().hex}"
+    rows = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
+    rows.format("parquet").option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
+def forget(table: DataFrame) -> DataFrame:
+    """A ``bucketed`` table as plain files, its name out of the catalog."""
+    spark = table.sparkSession
+    name = table._jdf.queryExecution().analyzed().collectLeaves().head().catalogTable().get().identifier().table()
+    files, schema = table.inputFiles(), table.schema
+    spark.sql(f"DROP TABLE `{name}`")
+    return spark.read.schema(schema).parquet(*files) if files else spark.createDataFrame([], schema)

@@ -1,6 +1,7 @@
 """A third of all rows share one key; results against plain Python, and what the plans do about it."""
 
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cardfile.functions.text import dedup_key
 from cardfile.operators import crawl, dedup, matching
+from cardfile.session import bucketed
 
 N = 6000
 
@@ -187,6 +189,35 @@ def test_frontier_on_a_cycle(spark):
     assert len(crawl.crawl_frontier(seeds, df.filter("src = 'a'"), 50).collect()) == 2
 
 
+def test_hops_shuffle_neither_links_nor_visited(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.enabled", "false")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    links = bucketed(spark.range(5000).selectExpr("'u' || id as src", "0 as part", "'u' || (id + 1) as dst"), "links", n, "src", "part")
+    seen = [bucketed(spark.range(k, k + 1).selectExpr("'u' || id as url"), "seen", n, "url") for k in (0, 1)]
+    hubs = spark.createDataFrame([], "url string, parts int")
+    hop = crawl._next_hop(links, hubs, seen[1], seen)
+    assert [r.url for r in hop.collect()] == ["u2"]
+    plan = hop._jdf.queryExecution().executedPlan().toString()
+    # The list of hubs, then the frontier on its way to the links, then what it reaches, to be made distinct.
+    assert sorted(re.findall(r"Exchange hashpartitioning\((\w+)#", plan)) == ["src", "url", "url"] and plan.count("Exchange") == 3
+
+
+def test_long_chains_merge_their_rounds(spark, monkeypatch):
+    """Each hop starts from a few tables; nothing of a crawl stays in the catalog."""
+    monkeypatch.setattr(crawl, "MERGE", 3)
+    monkeypatch.setattr(crawl, "SPLIT", 4)
+    held = []
+    hop = crawl._next_hop
+    monkeypatch.setattr(crawl, "_next_hop", lambda *a: (held.append(len(a[3])), hop(*a))[1])
+    links = [(f"u{i}", f"u{i + 1}") for i in range(12)] + [("u3", f"leaf{i}") for i in range(30)] + [("u3", "u4")]
+    before = {t.name for t in spark.catalog.listTables()}
+    got = crawl.crawl_frontier(spark.createDataFrame([("u0",)], "url string"), spark.createDataFrame(links, "src string, dst string"))
+    want = {f"u{i}": i for i in range(13)} | {f"leaf{i}": 4 for i in range(30)}
+    assert {r.url: r.hop for r in got.collect()} == want and got.count() == len(want)
+    assert max(held) == 3 and {t.name for t in spark.catalog.listTables()} == before
+
+
 def test_events_without_a_time_stay_in_the_audit(spark):
     df = spark.sql("select * from values ('a', null), ('a', null), ('a', timestamp'2024-01-01'), (null, null) as t(key, ts)")
     got = crawl.quota_audit(df, "key", "ts").collect()
