@@ -68,6 +68,15 @@ def inside_of(nodes: Column, n: Column) -> Column:
     return F.slice(nodes, n["id"] + 1, n["last"] - n["id"])
 
 
+def with_loose(nodes: Column | str, body: Callable[[Column], Column]) -> Column:
+    """``body`` of the nodes as an array of its own.
+
+    Spark copies a whole stored array for each slice of it, but of an array that was just made only the slice: with
+    many slices per page the work is then that of the slices.
+    """
+    return let(F.filter(_nodes(nodes), lambda n: n["id"].isNotNull()), body)
+
+
 def _is_text(n: Column) -> Column:
     return n["tag"] == "#text"
 
@@ -128,13 +137,32 @@ class Selector:
         return found
 
 
+def _outermost(found: Column) -> Column:
+    """Of nodes in document order, a lambda variable, those that lie inside none of the others."""
+
+    def step(kept: Column, n: Column) -> Column:
+        ends = F.coalesce(F.get(kept, F.size(kept) - 1)["last"], F.lit(-1))
+        return F.when(n["id"] <= ends, kept).otherwise(F.concat(kept, F.array(n)))
+
+    # Nodes are runs that hold each other or do not meet: where any two are nested, so are two neighbours.
+    nested = F.exists(F.transform(found, lambda n, i: F.coalesce(F.get(found, i + 1)["id"] <= n["last"], F.lit(False))), lambda x: x)
+    return F.when(nested, F.aggregate(found, F.slice(found, 1, 0), step)).otherwise(found)
+
+
 def _next_step(nodes: Column, step: Step, before: Column) -> Column:
-    def linked(n: Column) -> Column:
-        if step.child:
-            return F.exists(before, lambda p: n["parent"] == p["id"])
-        return F.exists(before, lambda p: (p["id"] < n["id"]) & (n["id"] <= p["last"]))
+    """Nodes below those found so far, in document order. A run is looked through once, however many nodes it was found by."""
+
+    def fits(n: Column) -> Column:
+        return _fits(n, nodes, step.tag, step.tests)
+
+    def below(outer: Column) -> Column:
+        if not step.child:
+            return F.flatten(F.transform(outer, lambda p: F.filter(inside_of(nodes, p), fits)))
+        own = F.transform(outer, lambda p: F.filter(inside_of(nodes, p), lambda n: (n["parent"] == p["id"]) & fits(n)))
+        any_ = F.filter(nodes, lambda n: fits(n) & F.exists(before, lambda p: n["parent"] == p["id"]))
+        return F.when(F.size(outer) == F.size(before), F.flatten(own)).otherwise(any_)
 
-    return F.filter(nodes, lambda n: _fits(n, nodes, step.tag, step.tests) & linked(n))
+    return let(_outermost(before), below)
 
 
 def one(tag: str, *tests: Test) -> Selector:
@@ -190,29 +218,26 @@ def page_parts(nodes: Column | str, area: Selector | None = None) -> dict[str, C
 
     Headings go by level, then by place.
     """
-    ns = _nodes(nodes)
     area = area or one("body")
 
-    def inside(tag: str) -> Column:
+    def inside(ns: Column, tag: str) -> Column:
         first_area = F.slice(area.select(ns), 1, 1)
-        found = F.transform(
-            first_area, lambda a: F.filter(inside_of(ns, a), lambda n: n["tag"] == tag)
-        )
-        return F.flatten(found)
+        return F.flatten(F.transform(first_area, lambda a: F.filter(inside_of(ns, a), lambda n: n["tag"] == tag)))
 
-    def filled(tag: str) -> Column:
-        return F.filter(F.transform(inside(tag), lambda n: inner_text(ns, n)), lambda t: t != "")
+    def filled(ns: Column, tag: str) -> Column:
+        return F.filter(F.transform(inside(ns, tag), lambda n: inner_text(ns, n)), lambda t: t != "")
 
-    def headings(tag: str) -> Column:
-        return F.transform(filled(tag), lambda t: F.concat(F.lit(f"{tag}: "), t))
+    def headings(ns: Column, tag: str) -> Column:
+        return F.transform(filled(ns, tag), lambda t: F.concat(F.lit(f"{tag}: "), t))
 
     def pair(before: Column, after: Column) -> Column:
         return F.concat(before, F.lit(" -> "), after)
 
-    return {
-        "main_text": node_text(ns, area),
-        "all_links": F.transform(inside("a"), lambda n: pair(inner_text(ns, n), attr(n, "href"))),
-        "all_images": F.transform(inside("img"), lambda n: pair(attr(n, "alt"), attr(n, "src"))),
-        "headings": F.concat(*[headings(f"h{level}") for level in range(1, 7)]),
-        "paragraphs": filled("p"),
+    parts = {
+        "main_text": lambda ns: node_text(ns, area),
+        "all_links": lambda ns: F.transform(inside(ns, "a"), lambda n: pair(inner_text(ns, n), attr(n, "href"))),
+        "all_images": lambda ns: F.transform(inside(ns, "img"), lambda n: pair(attr(n, "alt"), attr(n, "src"))),
+        "headings": lambda ns: F.concat(*[headings(ns, f"h{level}") for level in range(1, 7)]),
+        "paragraphs": lambda ns: filled(ns, "p"),
     }
+    return {name: with_loose(nodes, part) for name, part in parts.items()}

@@ -123,6 +123,27 @@ def resolve(base: Column | str, href: Column | str) -> Column:
     )
 
 
+def follow(base: Column | str, href: Column | str) -> Column:
+    """Where a browser at ``base`` goes by ``href``: ``base`` itself where it goes nowhere.
+
+    Blank ones, scripts and mail, telephone or data addresses lead nowhere; a fragment leads into the page. Queries and relative paths
+    start from the path of ``base``; dot segments are worked off.
+    """
+    u, h = col(base), strip(text(href))
+    bare = F.regexp_extract(u, r"^([^?#]*)", 1)
+    path = F.regexp_extract(h, r"^([^?#]*)", 1)
+    rest = F.substring(h, F.length(path) + 1, F.length(h))
+    folder = F.regexp_extract(bare, r"^(?i:https?)://[^/]+(/(?:.*/)?)", 1)
+    near = F.concat(site_of(u), _without_dots(F.concat(F.when(folder == "", "/").otherwise(folder), path)), rest)
+    return (
+        F.when((h == "") | h.rlike("^(?i:javascript|mailto|tel|data):"), u)
+        .when(h.startswith("#"), F.concat(F.substring_index(u, "#", 1), h))
+        .when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:") | h.startswith("/"), resolve(u, h))
+        .when(h.startswith("?"), F.concat(bare, h))
+        .otherwise(near)
+    )
+
+
 def followable(href: Column | str) -> Column:
     h = text(href)
     return ~(h.startswith("#") | h.startswith("javascript:"))

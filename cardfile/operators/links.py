@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 from ..functions.selectors import (
     Selector, has, has_own_text, has_text, holds, inner_text, is_attr, nth, one, starts,
-    all_text, node_attr, node_text,
+    all_text, node_attr, node_text, text_content, with_loose,
 )
 from ..functions.text import blank_default, join_address, let
-from ..functions.urls import drop_tel, normalize_url, strip_mailto
+from ..functions.urls import drop_tel, follow, normalize_url, page_url, strip_mailto
+from .columns import quoted
 from .dedup import keep_first
 
 # Where agent links are looked for, in this order.
@@ -77,33 +78,39 @@ ANY_TEL = one("a", has("href", "tel:"))
 def page_links(shredded: DataFrame, *keep: str, rules: list[Selector] | None = None) -> DataFrame:
     """Every anchor with an href: position, href, text, and the first rule that selects it."""
     links = one("a", lambda n, _: F.coalesce(F.element_at(n["attrs"], "href"), F.lit("")) != "")
-    hits = [
-        F.transform(sel.select("nodes"), lambda n: n["id"])
-        for sel in (AGENT_LINK_RULES if rules is None else rules)
-    ]
-
-    def record(n: Column, hits: Column) -> Column:
-        rank = F.array_position(F.transform(hits, lambda ids: F.array_contains(ids, n["id"])), True)
-        return F.struct(
-            n["id"].alias("position"),
-            F.element_at(n["attrs"], "href").alias("href"),
-            inner_text(F.col("nodes"), n).alias("label"),
-            F.nullif(rank.cast("int"), F.lit(0)).alias("rule_rank"),
+
+    def marks(ns: Column, rank: int, sel: Selector) -> Column:
+        return F.transform(sel.select(ns), lambda n: F.struct(n["id"].alias("id"), F.lit(rank).alias("rank")))
+
+    def in_order(ns: Column) -> Column:
+        """Links and what rules select, by place and rank: a link stands before the first rule that selects it."""
+        found = [marks(ns, i, sel) for i, sel in enumerate(AGENT_LINK_RULES if rules is None else rules, 1)]
+        return F.array_sort(F.concat(marks(ns, 0, links), *found))
+
+    def record(ns: Column, m: Column, after: Column) -> Column:
+        return let(
+            F.get(ns, m["id"] - 1),
+            lambda n: F.struct(
+                n["id"].alias("position"),
+                F.element_at(n["attrs"], "href").alias("href"),
+                inner_text(ns, n).alias("label"),
+                F.when(after["id"] == m["id"], after["rank"]).alias("rule_rank"),
+            ),
         )
 
-    records = let(
-        F.array(*hits).cast("array<array<int>>"),
-        lambda h: F.transform(links.select("nodes"), lambda n: record(n, h)),
-    )
-    return shredded.select(*keep, F.inline(records))
+    def records(ns: Column, ms: Column) -> Column:
+        each = F.transform(ms, lambda m, i: F.when(m["rank"] == 0, F.struct(m.alias("m"), F.get(ms, i + 1).alias("after"))))
+        return F.transform(F.filter(each, lambda x: x.isNotNull()), lambda x: record(ns, x["m"], x["after"]))
+
+    return shredded.select(*keep, F.inline(with_loose("nodes", lambda ns: let(in_order(ns), lambda ms: records(ns, ms)))))
 
 
 def next_link(shredded: DataFrame, *keep: str, rules: list[Selector] | None = None) -> DataFrame:
     """First hit of the first rule with hits; buttons have no href, so theirs is blank."""
 
-    def ranked(rank: int, sel: Selector) -> Column:
+    def ranked(ns: Column, rank: int, sel: Selector) -> Column:
         hit = F.transform(
-            F.slice(sel.select("nodes"), 1, 1),
+            F.slice(sel.select(ns), 1, 1),
             lambda n: F.struct(
                 F.lit(rank).alias("rule_rank"),
                 n["tag"].alias("tag"),
@@ -112,10 +119,50 @@ def next_link(shredded: DataFrame, *keep: str, rules: list[Selector] | None = No
         )
         return F.get(hit, 0)
 
-    best = F.coalesce(*[ranked(i, r) for i, r in enumerate(rules or NEXT_PAGE_RULES, 1)])
+    best = with_loose("nodes", lambda ns: F.coalesce(*[ranked(ns, i, r) for i, r in enumerate(rules or NEXT_PAGE_RULES, 1)]))
     return shredded.select(*keep, best.alias("_best")).select(*keep, "_best.*")
 
 
+def next_address(
+    shredded: DataFrame, url: str, page: str, *keep: str, rules: list[Selector] | None = None
+) -> DataFrame:
+    """``keep``, ``next_address`` and ``found_by``: where a crawl goes from page number ``page`` at ``url``.
+
+    The first hit of the first rule with hits is followed, if it leads elsewhere (``link``; buttons lead nowhere). Else the page
+    number in the address is raised (``address``), and where there is no rule for that the first link whose words
+    hold the next number is followed (``number``). What leads to the page itself, or nowhere, is the end: both are null.
+    """
+    here, n = quoted(url), (quoted(page) + 1).cast("string")
+    columns = list(dict.fromkeys([*keep, url, page]))
+    listed = next_link(shredded, *columns, "nodes", rules=rules)
+    numbered = F.get(
+        F.transform(
+            F.slice(one("a", lambda a, nodes: text_content(nodes, a).contains(n)).select("nodes"), 1, 1),
+            lambda a: F.coalesce(F.element_at(a["attrs"], "href"), F.lit("")),
+        ),
+        0,
+    )
+
+    def elsewhere(to: Column) -> Column:
+        return F.when(to != here, to)
+
+    tried = listed.select(
+        *columns,
+        elsewhere(F.when(F.col("tag") == "a", follow(here, F.col("href")))).alias("_link"),
+        page_url(here, quoted(page) + 1).alias("_address"),
+        elsewhere(follow(here, numbered)).alias("_number"),
+    )
+    # A page number that is raised is tried before the numbers on the page, also where it leads to the page itself.
+    raised = F.col("_link").isNull() & F.col("_address").isNotNull()
+    return tried.select(
+        *[quoted(c) for c in keep],
+        F.coalesce("_link", F.when(raised, elsewhere(F.col("_address"))).otherwise(F.col("_number"))).alias("next_address"),
+        F.when(F.col("_link").isNotNull(), "link")
+        .when(raised, F.when(F.col("_address") != here, "address"))
+        .when(F.col("_number").isNotNull(), "number").alias("found_by"),
+    )
+
+
 def dedup_links(links: DataFrame, url: str, *order: str) -> DataFrame:
     """The first link per normalised address, in the order the crawl would meet them."""
     return keep_first(links, normalize_url(url), *order)

@@ -206,6 +206,38 @@ def next_links(spark, sf):
     return links.next_link(with_nodes(made_pages(table(spark, sf, "customer"), "c_custkey", _NEXT)), "c_custkey")
 
 
+_PAGED = {
+    "c_custkey": "c_custkey",
+    "page": "cast(c_custkey % 9 + 1 as int)",
+    "url": """concat('https://s', c_nationkey, '.example.com/', CASE c_custkey % 4 WHEN 0 THEN concat('list?page=', c_custkey % 9 + 1, '&x=1')
+        WHEN 1 THEN 'page/a/' WHEN 2 THEN 'dir/list' ELSE 'dir/' END)""",
+    "html": """concat('<p>', CASE c_custkey % 6
+        WHEN 0 THEN '<a href="#top">Next</a>' WHEN 1 THEN '<a href="more.html?n=2">go <b>next</b></a>'
+        WHEN 2 THEN '<button>Next</button>' WHEN 3 THEN '<a title="Next" href="javascript:go()">&gt;</a>'
+        WHEN 4 THEN '<a aria-label="Next" href="../up">&gt;</a>' ELSE '' END,
+        '<a href="/n/1">first</a> <a href="/n/x">', c_custkey % 9 + CASE WHEN c_custkey % 7 = 0 THEN 0 ELSE 2 END, '</a>')""",
+}
+
+
+@query(
+    "next_addresses",
+    f"""WITH p AS (SELECT c_custkey, c_custkey % 9 + 1 AS page, c_custkey % 4 AS u, c_custkey % 6 AS h, c_custkey % 7 = 0 AS same,
+            'https://s' || c_nationkey || '.example.com/' AS site FROM customer)
+        SELECT c_custkey,
+            CASE WHEN h = 0 THEN site || CASE u WHEN 0 THEN 'list?page=' || page || '&x=1' WHEN 1 THEN 'page/a/' WHEN 2 THEN 'dir/list' ELSE 'dir/' END || '#top'
+                WHEN h = 1 THEN site || CASE u WHEN 0 THEN '' WHEN 1 THEN 'page/a/' ELSE 'dir/' END || 'more.html?n=2'
+                WHEN h = 4 THEN site || CASE u WHEN 1 THEN 'page/' ELSE '' END || 'up'
+                WHEN u = 0 THEN site || 'list?page=' || (page + 1) || '&x=1'
+                WHEN u = 2 THEN site || 'dir/list/page/' || (page + 1) || '/'
+                WHEN u = 3 THEN site || 'dir/page/' || (page + 1) || '/'
+                WHEN NOT same THEN site || 'n/x' END AS next_address,
+            CASE WHEN h IN (0, 1, 4) THEN 'link' WHEN u <> 1 THEN 'address' WHEN NOT same THEN 'number' END AS found_by FROM p""",
+)
+def next_addresses(spark, sf):
+    pages = made_pages(table(spark, sf, "customer"), "c_custkey", _PAGED)
+    return links.next_address(with_nodes(pages), "url", "page", "c_custkey")
+
+
 PROFILE = {
     "c_custkey": "c_custkey",
     "url": "concat('https://agents.example.com/', c_custkey)",

@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -197,3 +198,38 @@ def test_same_tags_and_words_as_the_standard_parser(spark):
         standard.close()
         assert [(n.tag, n.attrs) for n in nodes if n.tag != "#text"] == standard.tags
         assert "".join(n.text for n in nodes if n.tag == "#text") == "".join(standard.words)
+
+
+def test_steps_below_nested_nodes(spark):
+    """Nodes found by several of nested ones come once and in order; children are those of any of them."""
+    html = "<div id=1><p>a</p><div id=2><p>b</p><ul><p>c</p></ul></div><p>d</p></div><div id=3><p>e</p></div><p>f</p>"
+    df = with_nodes(spark.createDataFrame([(html,)], "html string"))
+    texts = lambda s: df.select(sel.all_text("nodes", s)).first()[0]
+    assert texts(sel.one("div").inside("p")) == ["a", "b", "c", "d", "e"]
+    assert texts(sel.one("div").child("p")) == ["a", "b", "d", "e"]
+    assert texts(sel.one("ul").child("p")) == ["c"]
+    assert texts(sel.one("div", sel.is_attr("id", "9")).child("p")) == []
+
+
+def test_links_of_a_page_cost_their_number(spark):
+    """Sixteen thousand links with every rule to try: with each looked up among all others this took minutes."""
+    body = "".join(f'<div class="agent"><a href="/agent/{i}">Agent <b>{i}</b></a></div>' for i in range(16_000))
+    df = with_nodes(spark.createDataFrame([(1, body)], "page_id int, html string"))
+    start = time.monotonic()
+    got = links.page_links(df, "page_id").selectExpr("count(*)", "sum(rule_rank)", "max(label)").first()
+    assert tuple(got) == (16_000, 16_000, "Agent 9999") and time.monotonic() - start < 60
+
+
+def test_next_address(spark):
+    page = lambda url, n, html: (url, n, html)
+    rows = [
+        page("https://a.com/l?p=1", 1, "<a href='?p=2'>Next</a>"), page("https://a.com/l", 1, "<a href='/l'>Next</a>"),
+        page("https://a.com/page/x", 3, "<a href=/7>4</a>"), page("https://a.com/page/x", 3, "<a href=/page/x>4</a>"),
+        page("https://a.com/page/x", 3, None), page("https://a.com/d/e/", 1, "<a title=Next href=../f#g>&gt;</a>"),
+    ]
+    df = with_nodes(spark.createDataFrame(rows, "url string, n int, html string"))
+    got = [tuple(r) for r in links.next_address(df, "url", "n").collect()]
+    assert got == [
+        ("https://a.com/l?p=2", "link"), ("https://a.com/l/page/2/", "address"), ("https://a.com/7", "number"), (None, None),
+        (None, None), ("https://a.com/d/f#g", "link"),
+    ]
