@@ -4,8 +4,9 @@ Vectors get one more component so that all have the length M of the longest; que
 to M, which changes no ranking. The higher the inner product, the smaller the angle, and angles obey the triangle
 inequality. Pivots are a bounded sample of the data. Each vector belongs to its nearest pivot, and a cell is summed
 up by the angles of its nearest ``k + 1`` members. From the summaries alone a query knows an angle within which it has ``k + 1``
-rows: its own angle to a pivot plus the member's. All queries of a cell together then need no row that is farther from
-their pivot than the largest sum of that angle and their own distance from the pivot. Cells are packed into groups of queries; a row is copied to the groups
+rows: its own angle to a pivot plus the member's. Queries are put to the pivot with the nearest direction. All queries of such a
+cell together need no row that is farther from that direction than the largest sum of a query's own distance from it and the
+angle it was promised. Cells are packed into groups of queries; a row is copied to the groups
 that need it and to no other. A group with many rows is searched in shares, whose best rows are merged.
 """
 
@@ -39,7 +40,8 @@ class Pivots:
         self.width = max((len(v) for v in vectors), default=0)
         self.longest = longest
         self.at = padded(pa.array(vectors, pa.list_(pa.int32())), self.width)
-        self.up = np.sqrt(np.maximum(0, longest - np.array([sum(x * x for x in v) for v in vectors], dtype=np.int64)))
+        n2 = np.array([sum(x * x for x in v) for v in vectors], dtype=np.int64)
+        self.up, self.norm = np.sqrt(np.maximum(0, longest - n2)), np.sqrt(n2)
 
     def of_data(self, v: pa.Array, n2: np.ndarray) -> np.ndarray:
         cos = padded(v, self.width) @ self.at.T + np.sqrt(np.maximum(0, self.longest - n2))[:, None] * self.up
@@ -49,6 +51,11 @@ class Pivots:
         cos = padded(v, self.width) @ self.at.T / np.sqrt(n2)[:, None] / math.sqrt(self.longest)
         return np.arccos(np.clip(cos, -1, 1))
 
+    def along(self, v: pa.Array, length: np.ndarray) -> np.ndarray:
+        """Angles to the directions of the pivots, which like queries have no last component; ``length`` is that of all components."""
+        cos = padded(v, self.width) @ self.at.T / length[:, None] / np.maximum(self.norm, 1)
+        return np.where(self.norm > 0, np.arccos(np.clip(cos, -1, 1)), np.pi)
+
 
 def within(angles: np.ndarray, nearest: np.ndarray, need: int) -> np.ndarray:
     """For each query (angles to pivots) an angle within which ``need`` rows lie; ``nearest`` has the nearest angles of each cell."""
@@ -98,16 +105,17 @@ def _searched(data: DataFrame, asked: DataFrame, pivots: Pivots, need: int, grou
 
     def bound(batches):
         for b in batches:
-            angles = pivots.of_queries(b["v"], b["n2"].to_numpy())
-            cell = angles.argmin(axis=1)
-            own = angles[np.arange(len(cell)), cell]
+            angles, along = pivots.of_queries(b["v"], b["n2"].to_numpy()), pivots.along(b["v"], np.sqrt(b["n2"].to_numpy()))
+            cell = along.argmin(axis=1)
+            own = along[np.arange(len(cell)), cell]
             reach = np.concatenate([within(angles[i : i + 256], nearest, need) for i in range(0, len(angles), 256)] or [own])
             columns = [b["cls"], b["v"], pa.array(cell, pa.int32()), pa.array(reach + own + SLACK)]
             yield pa.RecordBatch.from_arrays(columns, ["q", "v", "cell", "reach"])
 
     bounded = materialize(asked.select("cls", "v", "n2").mapInArrow(bound, "q bigint, v array<int>, cell int, reach double"), "queries")
     cells = {r.cell: r for r in bounded.groupBy("cell").agg(F.count("*").alias("n"), F.max("reach").alias("reach")).collect()}
-    between = np.arccos(np.clip((pivots.at @ pivots.at.T + np.outer(pivots.up, pivots.up)) / pivots.longest, -1, 1))
+    unit = pivots.at / np.maximum(pivots.norm, 1)[:, None]
+    between = np.arccos(np.clip(unit @ unit.T, -1, 1))
     groups = packed({c: r.n for c, r in cells.items()}, between, group)
     order = sorted(cells)
     reach = np.array([cells[c].reach for c in order])
@@ -117,7 +125,8 @@ def _searched(data: DataFrame, asked: DataFrame, pivots: Pivots, need: int, grou
 
     def copied(batches):
         for b in batches:
-            needed = (pivots.of_data(b["v"], b["n2"].to_numpy())[:, order] <= reach) @ member
+            longest = np.full(b.num_rows, math.sqrt(pivots.longest))
+            needed = (pivots.along(b["v"], longest)[:, order] <= reach) @ member
             who, to = np.nonzero(needed)
             offsets = np.searchsorted(who, np.arange(len(needed) + 1))
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(to, pa.int32()))
@@ -173,7 +182,7 @@ def top_k(
     asked = data.join(queries.where("n2 > 0").select("cls").distinct(), "cls", "left_semi")
     top = F.struct((-F.col("score")).alias("s"), "id", "cls")
     found = data.sparkSession.createDataFrame([], "q bigint, best array<struct<s:bigint,id:bigint,cls:bigint>>")
-    if size.n and size.longest:
+    if size.n and size.longest and not is_empty(asked):
         n = max(1, min(n_pivots, math.ceil(math.sqrt(size.n)), PIVOT_NUMBERS // size.width))
         sample = data.select("v").orderBy(F.xxhash64("v"), "v").limit(n).collect()
         near = _searched(data, asked, Pivots([r.v for r in sample], size.longest), need, group, share)
