@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 from functools import lru_cache
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -97,6 +98,6 @@ def forget(table: DataFrame) -> DataFrame:
     """A ``bucketed`` table as plain files, its name out of the catalog."""
     spark = table.sparkSession
     name = table._jdf.queryExecution().analyzed().collectLeaves().head().catalogTable().get().identifier().table()
-    files, schema = table.inputFiles(), table.schema
+    files, schema = [unquote(f) for f in table.inputFiles()], table.schema
     spark.sql(f"DROP TABLE `{name}`")
     return spark.read.schema(schema).parquet(*files) if files else spark.createDataFrame([], schema)

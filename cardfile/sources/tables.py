@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -91,9 +92,9 @@ def append_results(df: DataFrame, path: str, schema: T.StructType) -> None:
 class TableFolder:
     """Tables below one folder that can be replaced while they are being read.
 
-    Each replacement goes to a folder of its own and counts once its number is in the commit list,
-    so a failed write leaves the old table in place, and a table may be computed from itself. One
-    writer per table at a time.
+    A version is a manifest, the list of its data files, and counts once its number is in the commit list: a failed
+    write leaves the old table in place, a table may be computed from itself, and versions share the files that did not
+    change. The driver holds the list of files, not their rows. One writer per table at a time.
     """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
@@ -105,6 +106,9 @@ class TableFolder:
     def _data(self, name: str, version: int) -> str:
         return f"{self.root}/{name}/data/version={version}"
 
+    def _manifest(self, name: str, version: int) -> str:
+        return f"{self.root}/{name}/manifests/version={version}"
+
     def version(self, name: str) -> int:
         """Number of the current version, 0 when there is none."""
         try:
@@ -115,23 +119,58 @@ class TableFolder:
                 raise
             return 0
 
-    def read(self, name: str) -> DataFrame:
-        version = self.version(name)
+    def files(self, name: str, version: int | None = None) -> list[str]:
+        """Data files of a version, the current one by default."""
+        version = self.version(name) if version is None else version
         if not version:
             raise ValueError(f"no table {name!r}")
-        return self.spark.read.parquet(self._data(name, version))
+        rows = self.spark.read.schema("file string").json(self._manifest(name, version)).collect()
+        return sorted(r.file for r in rows)
 
-    def replace(self, name: str, df: DataFrame) -> DataFrame:
-        version = self.version(name) + 1
+    def read(self, name: str, version: int | None = None) -> DataFrame:
+        return self.spark.read.parquet(*self.files(name, version))
+
+    def _commit(self, name: str, version: int, files: list[str]) -> None:
+        manifest = self.spark.createDataFrame([(f,) for f in files], "file string").coalesce(1)
+        manifest.write.mode("overwrite").json(self._manifest(name, version))
+        self.spark.range(1).select(F.lit(version).alias("version")).write.mode("append").json(self._commits(name))
+
+    def _write(self, name: str, version: int, df: DataFrame) -> list[str]:
         df.write.mode("overwrite").parquet(self._data(name, version))
-        self.spark.range(1).select(F.lit(version).alias("version")).write.mode("append").json(
-            self._commits(name)
-        )
+        return [unquote(f) for f in self.spark.read.schema(df.schema).parquet(self._data(name, version)).inputFiles()]
+
+    def replace(self, name: str, df: DataFrame, *by: str) -> DataFrame:
+        """A new version; files hold ranges of the columns ``by``, so that updates by these touch few of them."""
+        version = self.version(name) + 1
+        rows = df.repartitionByRange(*[quoted(c) for c in by]).sortWithinPartitions(*[quoted(c) for c in by]) if by else df
+        self._commit(name, version, self._write(name, version, rows))
         return self.read(name)
 
+    def update(self, name: str, column: str, rows: Column, value: Column) -> DataFrame:
+        """New values, of the old type, for one column on the selected rows. Files without such rows stay as they are.
+
+        Parquet's own key ranges keep files that cannot hold a selected row from being read.
+        """
+        version = self.version(name)
+        table, files = self.read(name), self.files(name)
+        hit = table.filter(F.coalesce(rows, F.lit(False)))
+        touched = {r[0] for r in hit.select(F.col("_metadata.file_path")).distinct().collect()}
+        by_name = {_tail(f): f for f in files}
+        old = sorted(by_name[_tail(f)] for f in touched)
+        if old:
+            part = self.spark.read.schema(table.schema).parquet(*old)
+            new = update_cells(part, column, rows, value.cast(table.schema[column].dataType))
+            self._commit(name, version + 1, sorted({*files} - {*old}) + self._write(name, version + 1, new))
+        return self.read(name)
+
+
+def _tail(file: str) -> str:
+    """Version folder and name of a data file, however its path is written."""
+    return "/".join(unquote(file).rsplit("/", 2)[1:])
+
 
 def update_table(
     tables: TableFolder, name: str, column: str, rows: Column, value: Column
 ) -> DataFrame:
     """New values for one column on the selected rows of a table, as a new version."""
-    return tables.replace(name, update_cells(tables.read(name), column, rows, value))
+    return tables.update(name, column, rows, value)

@@ -82,6 +82,18 @@ def replaced_table(spark, sf):
     return t.update_table(store, "part", "p_name", F.col("p_size") > 40, F.upper("p_name"))
 
 
+@query(
+    "updated_table",
+    """SELECT o_orderkey, CASE WHEN o_orderkey BETWEEN 100 AND 200 THEN 'X' ELSE o_orderstatus END AS o_orderstatus
+       FROM orders""",
+)
+def updated_table(spark, sf):
+    """Orders in files by key; only the files with the keys asked for are written again."""
+    store = t.TableFolder(spark, fresh_path(spark, "tables"))
+    store.replace("orders", table(spark, sf, "orders").select("o_orderkey", "o_orderstatus"), "o_orderkey")
+    return t.update_table(store, "orders", "o_orderstatus", F.col("o_orderkey").between(100, 200), F.lit("X"))
+
+
 @query(
     "routed_orders",
     """SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' THEN 'urgent'

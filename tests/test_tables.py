@@ -119,3 +119,21 @@ def test_columns_go_by_their_header(spark, tmp_path):
     (one / "c.csv").write_text("url,name\nu3,Cid\n")
     with pytest.raises(Exception, match="header"):
         t.read_contacts(spark, str(one)).collect()
+
+
+def test_update_rewrites_the_files_it_touches(spark, tmp_path, conf):
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    store = t.TableFolder(spark, str(tmp_path / "a b"))
+    store.replace("x", spark.range(8000).selectExpr("id", "'old' as v", "cast(id as int) as n"), "id")
+    before = store.files("x")
+    assert len(before) > 2
+    got = t.update_table(store, "x", "v", F.col("id") == 5, F.lit("new"))
+    after = store.files("x")
+    assert len({*before} & {*after}) == len(before) - 1 and len(after) == len(before) and store.version("x") == 2
+    assert {(r.v, r["count"]) for r in got.groupBy("v").count().collect()} == {("new", 1), ("old", 7999)}
+    assert store.read("x", 1).filter("v = 'new'").count() == 0  # the old version is still there
+    t.update_table(store, "x", "v", F.col("id") == -1, F.lit("new"))
+    assert store.version("x") == 2  # nothing to change, no version
+    twice = t.update_table(store, "x", "n", F.col("v") == "new", F.col("n") + 0.5)
+    assert twice.schema["n"].dataType.simpleString() == "int" and twice.count() == 8000
+    assert store.replace("empty", spark.range(0)).count() == 0
