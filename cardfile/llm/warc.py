@@ -4,14 +4,17 @@ A capture is an HTTP response whose payload is framed in chunks. A block that is
 first record is followed by continuation records that name its identifier, count up, and end with the total length.
 Segments of one capture may lie in different files. Reading groups them by that identifier, orders them by number,
 verifies numbers and length, and takes the chunk framing away. Files are written and listed by Spark, so they can lie
-in any store, and hold a bounded number of bounded records, so a task can hold one.
+in any store, and hold a bounded number of bounded records, so a task can hold one. Archives of other writers are read
+as well: versions 1.0 and 1.1, plain or gzipped, damaged ones with a row that says what is wrong.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
+import zlib
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -20,6 +23,10 @@ from pyspark.sql import functions as F
 from cardfile.session import fresh_path, materialize
 
 VERSION = b"WARC/1.1"
+#: What a record starts with.
+_START = re.compile(rb"WARC/1\.[01]\r?\n")
+_CHUNKED = re.compile(rb"(?im)^transfer-encoding:[^\r\n]*\bchunked")
+_HEAD_END = re.compile(rb"\r?\n\r?\n")
 DATE = "2024-01-01T00:00:00Z"
 #: Bytes of a segment's block and of a chunk, and records in a file.
 SEGMENT, CHUNK, RECORDS_A_FILE = 64_000, 8_192, 1_000
@@ -133,44 +140,111 @@ def write_archives(
 
 _RECORD = (
     "record_id string, type string, page_id bigint, url string, origin string, segment int, total bigint, "
-    "said string, said_bytes bigint, refers_to bigint, block binary"
+    "said string, said_bytes bigint, refers_to bigint, block binary, problem string"
 )
 _FIELDS = tuple(x.split()[0] for x in _RECORD.split(", "))
+#: Types that hold a capture or a part of one; others (warcinfo, request, metadata, conversion) describe it.
+_CAPTURES = ("response", "revisit", "resource")
+
+
+def unzipped(content: bytes) -> tuple[bytes, str | None]:
+    """The bytes of a gzipped archive, member by member, and what is wrong; plain ones as they are."""
+    if content[:2] != b"\x1f\x8b":
+        return content, None
+    view, at, parts = memoryview(content), 0, []
+    while at < len(view):
+        member = zlib.decompressobj(wbits=31)
+        try:
+            while not member.eof and at < len(view):
+                parts.append(member.decompress(view[at : at + CHUNK]))
+                at += CHUNK
+        except zlib.error:
+            return b"".join(parts), "the compression is broken"
+        if not member.eof:
+            return b"".join(parts), "the compressed file ends early"
+        at = min(at, len(view)) - len(member.unused_data)
+    return b"".join(parts), None
 
 
 def parse(content: bytes):
-    """(fields in small letters, block) of each record; records are found by their stated length."""
-    at = 0
-    while (at := content.find(VERSION, at)) >= 0:
-        end = content.index(b"\r\n\r\n", at)
-        head = {}
-        for line in content[at:end].decode().split("\r\n")[1:]:
-            name, _, value = line.partition(":")
-            head[name.strip().lower()] = value.strip()
-        size = int(head["content-length"])
-        yield head, content[end + 4 : end + 4 + size]
-        at = end + 4 + size
-
-
-def _row(head: dict, block: bytes) -> tuple:
-    whole = lambda k: int(head[k]) if k in head else None
+    """(fields in small letters, block, problem) of each record; records are found by their stated length.
+
+    After a record without a usable length reading goes on at the next start of a record, and so it does where a block
+    is followed by something else than the end of the record. Bytes that no record starts in are a record without
+    fields. A problem is null or says why the block is not whole.
+    """
+    content, broken = unzipped(content)
+    at, seen = 0, False
+    while found := _START.search(content, at):
+        if not seen and content[: found.start()].strip():
+            yield {}, b"", "there is no record at the start"
+        seen = True
+        end = _HEAD_END.search(content, found.end() - 1)
+        if not end:
+            yield _fields(content[found.end() :]), b"", broken or "the header ends early"
+            return
+        head = _fields(content[found.end() : end.start()])
+        at, size = end.end(), head.get("content-length", "")
+        if not (size.isascii() and size.isdigit()):
+            yield head, b"", "there is no length"
+            continue
+        block = content[at : at + int(size)]
+        if len(block) == int(size):
+            at += len(block)
+            yield head, block, None
+            continue
+        # Records that a wrong length has run over are read all the same.
+        yield head, block, broken or "the block ends early"
+        if not (inside := _START.search(content, at)):
+            return
+        at = inside.start()
+    if not seen and content.strip():
+        yield {}, b"", broken or "there is no record"
+    elif broken:
+        yield {}, b"", broken
+
+
+def _fields(source: bytes) -> dict[str, str]:
+    head: dict[str, str] = {}
+    last = None
+    for line in re.split(r"\r?\n", source.decode("utf-8", "replace")):
+        if last and line[:1] in (" ", "\t"):
+            head[last] += " " + line.strip()
+            continue
+        name, colon, value = line.partition(":")
+        if colon:
+            last = name.strip().lower()
+            head[last] = value.strip()
+    return head
+
+
+def _row(head: dict, block: bytes, problem: str | None) -> tuple:
+    said = head.get("warc-payload-digest", "")
     return (
-        head.get("warc-record-id"), head.get("warc-type"), whole("x-page-id"), head.get("warc-target-uri"),
-        head.get("warc-segment-origin-id"), whole("warc-segment-number"), whole("warc-segment-total-length"),
-        head.get("warc-payload-digest", "").removeprefix("sha1:") or None, whole("x-payload-length"),
-        whole("x-refers-to-page-id"), block,
+        head.get("warc-record-id"), head.get("warc-type"), _whole(head, "x-page-id"), head.get("warc-target-uri"),
+        head.get("warc-segment-origin-id"), _whole(head, "warc-segment-number", 31), _whole(head, "warc-segment-total-length"),
+        said[5:] if said[:5].lower() == "sha1:" else None, _whole(head, "x-payload-length"),
+        _whole(head, "x-refers-to-page-id"), block, problem,
     )
 
 
+def _whole(head: dict, name: str, bits: int = 63) -> int | None:
+    """The number in a field, null if there is none that fits."""
+    value = head.get(name, "")
+    if not re.fullmatch(r"-?[0-9]{1,19}", value, re.ASCII) or not -(1 << bits) <= int(value) < 1 << bits:
+        return None
+    return int(value)
+
+
 def read_records(spark, path: str) -> DataFrame:
-    """A row for each record of the archives below ``path``."""
+    """A row for each record of the archives below ``path``; ``problem`` is null or says why the block is not whole."""
 
     def records(batches):
         for frame in batches:
             for content in frame["content"]:
                 rows, held = [], 0
-                for head, block in parse(content):
-                    rows.append(_row(head, block))
+                for head, block, problem in parse(content):
+                    rows.append(_row(head, block, problem))
                     held += len(block)
                     if held > 4_000_000:
                         yield _frame(rows)
@@ -189,22 +263,25 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
 def reassembled(records: DataFrame) -> DataFrame:
     """A row for each capture, its block whole; ``problem`` says what is wrong with its segments, else null.
 
-    Records without a segment number are whole. Others are grouped by the identifier of the first: numbers must run
-    from 1 without gap or repeat, and the blocks must add up to the total. A capture whose first segment is missing
-    has no fields but the identifier.
+    Records without a segment number are whole, and so are those that name no identifier. Others are grouped by the
+    identifier of the first: numbers must run from 1 without gap or repeat, and the blocks must add up to the total.
+    A capture whose first segment is missing has no fields but the identifier. A problem of a record comes first.
     """
-    whole = records.where("segment is null").withColumn("problem", F.lit(None).cast("string"))
-    parts = records.where("segment is not null").withColumn("record_id", F.coalesce("origin", "record_id"))
+    group = F.coalesce("origin", "record_id")
+    single = F.col("segment").isNull() | group.isNull()
+    whole = records.where(single)
+    parts = records.where(~single).withColumn("record_id", group)
     first = lambda c: F.max(F.when(F.col("segment") == 1, F.col(c))).alias(c)
     grouped = parts.groupBy("record_id").agg(
         *[first(c) for c in ("type", "page_id", "url", "said", "said_bytes", "refers_to")],
-        F.max("total").alias("total"),
+        F.max("total").alias("total"), F.min("problem").alias("damage"),
         F.sort_array(F.collect_list(F.struct("segment", "block"))).alias("parts"),
     )
     numbers = F.transform("parts", lambda p: p["segment"])
     bytes_ = F.aggregate("parts", F.lit(0).cast("bigint"), lambda a, p: a + F.octet_length(p["block"]))
     problem = (
-        F.when(numbers != F.sequence(F.lit(1), F.size("parts")), "segments are missing or repeated")
+        F.when(F.col("damage").isNotNull(), F.col("damage"))
+        .when(numbers != F.sequence(F.lit(1), F.size("parts")), "segments are missing or repeated")
         .when(F.col("total").isNull() | (bytes_ != F.col("total")), "the length is not the total")
     )
 
@@ -219,7 +296,11 @@ def reassembled(records: DataFrame) -> DataFrame:
 
 def read_captures(spark, path: str) -> DataFrame:
     """``page_id``, ``url``, ``record_type``, ``payload`` (null for a revisit), its bytes and digest, ``refers_to``,
-    ``problem``: null, or what is wrong with segments, framing or digest (the payload is null then)."""
+    ``problem``: null, or what is wrong with the record, segments, framing or digest (the payload is null then).
+
+    Records that are no capture (warcinfo, request, metadata) have a row only if they are damaged. Fields that are
+    missing or no numbers are null. A folder of empty files gives no row. A digest is compared if it is a SHA-1.
+    """
 
     @F.pandas_udf("payload binary, digest string, problem string")
     def decoded(blocks: pd.Series, said: pd.Series) -> pd.DataFrame:
@@ -227,7 +308,8 @@ def read_captures(spark, path: str) -> DataFrame:
         return pd.DataFrame(out, columns=["payload", "digest", "problem"], dtype=object)
 
     rows = reassembled(read_records(spark, path))
-    plain = (F.col("type") != "revisit") & F.col("problem").isNull()
+    rows = rows.where(F.col("type").isin(*_CAPTURES) | F.col("problem").isNotNull())
+    plain = F.col("type").isin("response", "resource") & F.col("problem").isNull()
     rows = rows.withColumn("d", decoded(F.when(plain, F.col("block")), "said"))
     return rows.select(
         "page_id", "url", F.col("type").alias("record_type"), F.when(plain, F.col("d.payload")).alias("payload"),
@@ -241,8 +323,8 @@ def _decode(block, said) -> tuple:
     if block is None:
         return None, None, None
     try:
-        head, _, body = bytes(block).partition(b"\r\n\r\n")
-        payload = dechunked(body) if b"chunked" in head.lower() else body
+        head, _, body = bytes(block).partition(b"\r\n\r\n") if block[:5] == b"HTTP/" else (b"", b"", bytes(block))
+        payload = dechunked(body) if _CHUNKED.search(head) else body
     except ValueError:
         return None, None, "the chunk framing is broken"
     found = digest(payload)

@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing column names, for all operators."""
 
+import gzip
 import random
 import re
 from datetime import datetime
@@ -356,6 +357,56 @@ def test_broken_segments_are_told(spark):
     assert warc.reassembled(records.union(records.where("segment = 3"))).first().problem == "segments are missing or repeated"
 
 
+def _archive(tmp_path, name: str, content: bytes) -> str:
+    folder = tmp_path / name
+    folder.mkdir()
+    (folder / "a.warc").write_bytes(content)
+    return str(folder)
+
+
+def test_archives_of_others(spark, tmp_path):
+    """Version 1.0, plain line ends in headers, gzip by record, bodies without chunks, other digests and other records."""
+    http = b"HTTP/1.0 200 OK\r\nX-Note: chunked\r\n\r\nbody"
+    old = lambda kind, block, more=b"": (
+        b"WARC/1.0\r\nWARC-Type: " + kind + b"\r\nwarc-target-uri: http://a.b/\r\n c\r\n" + more + b"Content-Length: %d\r\n\r\n" % len(block) + block + b"\r\n\r\n"
+    )
+    records = [
+        old(b"warcinfo", b"software: x"), old(b"response", http, b"X-Page-Id: none\r\nWARC-Payload-Digest: md5:00\r\n"),
+        old(b"request", b"GET / HTTP/1.0\r\n\r\n"), old(b"resource", b"a\r\n\r\nb").replace(b"\r\n\r\na", b"\n\na"),
+    ]
+    for name, content in (("plain", b"".join(records)), ("zipped", b"".join(gzip.compress(r) for r in records))):
+        path = _archive(tmp_path, name, content)
+        assert warc.read_records(spark, path).count() == 4
+        got = warc.read_captures(spark, path).collect()
+        assert {(r.record_type, bytes(r.payload), r.url, r.page_id, r.problem) for r in got} == {
+            ("response", b"body", "http://a.b/ c", None, None), ("resource", b"a\r\n\r\nb", "http://a.b/ c", None, None),
+        }
+
+
+def test_damaged_archives_are_told(spark, tmp_path):
+    whole = warc.record("resource", b"fine", {"X-Page-Id": 1}) + b"\r\n\r\n"
+    last = warc.record("resource", b"0123456789", {"X-Page-Id": 2})
+    no_length = b"WARC/1.1\r\nWARC-Type: resource\r\nX-Page-Id: 2\r\n\r\nx\r\n\r\n"
+    too_long = b"WARC/1.0\r\nWARC-Type: resource\r\nX-Page-Id: 2\r\nContent-Length: 99999\r\n\r\nx\r\n\r\n"
+    cases = [
+        (whole + last[:-3], {(1, None), (2, "the block ends early")}),
+        (whole + last[:-12], {(1, None), (2, "the header ends early")}),
+        (no_length + whole, {(2, "there is no length"), (1, None)}),
+        (no_length.replace(b"x\r", b"Content-Length: -4\r") + whole, {(2, "there is no length"), (1, None)}),
+        (too_long + whole, {(2, "the block ends early"), (1, None)}),
+        (b"\xffjunk\r\n" + whole, {(None, "there is no record at the start"), (1, None)}),
+        (b"junk", {(None, "there is no record")}),
+        (gzip.compress(whole) + gzip.compress(last)[:-4], {(1, None), (2, None), (None, "the compressed file ends early")}),
+        (b"\x1f\x8bjunk", {(None, "the compression is broken")}),
+        (b"", set()),
+    ]
+    for i, (content, wanted) in enumerate(cases):
+        got = warc.read_captures(spark, _archive(tmp_path, str(i), content)).collect()
+        assert all((r.payload is None) == (r.problem is not None) for r in got)
+        found = {(r.page_id, r.problem) for r in got}
+        assert found == wanted, (i, found)
+
+
 def test_chunks():
     for size in (0, 1, 99, 100, 101, 1_000):
         data = bytes(range(256)) * 4
