@@ -146,7 +146,8 @@ def dated_lists(taken: DataFrame) -> DataFrame:
     return listed(hosts.where(_number(F.col("name")) % 3 == 0), 3).union(listed(domains, 12)).union(addresses)
 
 
-_BARE = r"regexp_replace(regexp_replace(regexp_replace(trim(url), '^[A-Za-z][A-Za-z0-9+.-]*://', ''), '#.*$', ''), '/+$', '')"
+_CASED = r"regexp_replace(regexp_replace(regexp_replace(trim(url), '^[A-Za-z][A-Za-z0-9+.-]*://', ''), '#.*$', ''), '/+$', '')"
+_BARE = f"lower(regexp_extract({_CASED}, '^[^/?]*')) || regexp_replace({_CASED}, '^[^/?]*', '')"
 
 
 @_query(rf"""

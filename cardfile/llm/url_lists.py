@@ -1,7 +1,8 @@
 """URL filters with dated lists: each capture is judged by the entries that were active when it was fetched.
 
 List entries are dated. The next entry for the same pattern ends the one before, so entries become intervals of
-validity, cut at the starts of months; a month without entries carries on what was valid before. A capture has a few
+validity, cut at the starts of months; a month without entries carries on what was valid before, if anything was
+captured in it under that pattern. A capture has a few
 keys (its address, its host and the host's parent domains) and meets the one interval of each key and month that
 holds its time. Of the entries that are found the most specific one decides.
 """
@@ -21,9 +22,20 @@ def host_of(url: Column) -> Column:
 
 
 def normal_url(url: Column) -> Column:
-    """The address without scheme, fragment and trailing slash, as address entries are written."""
+    """The address without scheme, fragment and trailing slash, its host in small letters, as address entries are written."""
     bare = F.regexp_replace(F.regexp_replace(F.trim(url), r"^[A-Za-z][A-Za-z0-9+.-]*://", ""), r"#.*$", "")
-    return F.regexp_replace(bare, "/+$", "")
+    bare = F.regexp_replace(bare, "/+$", "")
+    return let(bare, lambda b: F.concat(F.lower(F.regexp_extract(b, "^[^/?]*", 0)), F.regexp_replace(b, "^[^/?]*", "")))
+
+
+def normal_pattern(pattern: Column) -> Column:
+    """A pattern of a list in the form that captures are looked up by: hosts in small letters, addresses normal."""
+    name = F.substring(pattern, F.instr(pattern, ":") + 1, F.length(pattern))
+    return (
+        F.when(pattern.startswith("url:"), F.concat(F.lit("url:"), normal_url(name)))
+        .when(pattern.startswith("host:"), F.lower(pattern))
+        .otherwise(pattern)
+    )
 
 
 def keys_of(url: Column) -> Column:
@@ -44,28 +56,27 @@ def keys_of(url: Column) -> Column:
     return F.concat(F.array(F.concat(F.lit("url:"), normal_url(url))), let(host_of(url), parents))
 
 
-def validity(entries: DataFrame, until: Column | None = None) -> DataFrame:
+def validity(entries: DataFrame, asked: DataFrame | None = None) -> DataFrame:
     """``pattern``, ``month``, ``valid_from``, ``valid_to``, ``action``, ``since`` (date of the entry), written.
 
     ``entries``: ``pattern`` (``host:`` or ``url:`` and the name), ``action``, ``listed_on`` (timestamp). Entries with a
     null pattern or date are ignored; of entries for one pattern and time the last action in alphabetical order counts.
-    Months are filled up to ``until``. Only what falls into one month of one pattern is ordered together.
+    Months are those with entries and those of ``asked`` (``pattern``, ``month``), however far away these are; what
+    was valid before goes on in them. Only what falls into one month of one pattern is ordered together, and months of a
+    pattern, one row each.
     """
-    clean = entries.where("pattern is not null and listed_on is not null")
+    clean = entries.where("pattern is not null and listed_on is not null").withColumn("pattern", normal_pattern(F.col("pattern")))
     clean = materialize(clean.groupBy("pattern", "listed_on").agg(F.max("action").alias("action")), "entries")
-    month = F.date_trunc("month", F.col("listed_on"))
-    last = clean.groupBy("pattern", month.alias("month")).agg(
-        F.max("listed_on").alias("since"), F.max_by("action", "listed_on").alias("action")
-    )
-    by_month = Window.partitionBy("pattern").orderBy("month")  # one row for each month
-    end = F.coalesce(F.lead("month").over(by_month), F.add_months(until if until is not None else F.col("month"), 1).cast("timestamp"))
-    carried = last.withColumn("next", F.date_trunc("month", F.greatest(end, F.col("month"))))
-    step = F.expr("interval 1 month")
-    first = F.date_trunc("month", F.add_months("month", 1).cast("timestamp"))
-    carried = carried.where(first <= F.col("next")).select(
-        "pattern", "action", "since", F.explode(F.sequence(first, F.col("next"), step)).alias("month")
-    )
-    points = carried.select("pattern", "month", F.col("month").alias("valid_from"), "action", "since").union(
+    month = F.date_trunc("month", F.col("listed_on")).alias("month")
+    moment = F.struct(F.col("listed_on").alias("since"), "action")
+    months = clean.select("pattern", month, moment.alias("last"))
+    if asked is not None:
+        wanted = asked.select("pattern", "month").distinct().join(clean.select("pattern").distinct(), "pattern", "left_semi")
+        months = months.union(wanted.select("pattern", "month", F.lit(None).cast("struct<since:timestamp,action:string>")))
+    months = months.groupBy("pattern", "month").agg(F.max("last").alias("last"))
+    before = Window.partitionBy("pattern").orderBy("month").rowsBetween(Window.unboundedPreceding, -1)
+    carried = months.withColumn("kept", F.last("last", ignorenulls=True).over(before)).where("kept is not null")
+    points = carried.select("pattern", "month", F.col("month").alias("valid_from"), "kept.action", "kept.since").union(
         clean.select("pattern", month, "listed_on", "action", "listed_on")
     )
     inside = Window.partitionBy("pattern", "month").orderBy("valid_from", "since")
@@ -85,9 +96,8 @@ def judge(captures: DataFrame, entries: DataFrame, url: str = "url", fetched: st
     plain = captures.drop(*names)
     asked = plain.select(F.col(f"`{url}`").alias("_u"), F.col(f"`{fetched}`").alias("_t"))
     asked = materialize(asked.where("_u is not null and _t is not null").distinct(), "asked")
-    until = asked.agg(F.max("_t")).first()[0]
-    intervals = validity(entries, F.lit(until) if until is not None else None)
     keyed = asked.select("_u", "_t", F.date_trunc("month", "_t").alias("month"), F.posexplode(keys_of(F.col("_u"))).alias("place", "pattern"))
+    intervals = validity(entries, keyed)
     met = keyed.join(intervals, ["pattern", "month"]).where("_t >= valid_from and _t < valid_to")
     best = met.groupBy("_u", "_t").agg(F.min(F.struct("place", "action", "pattern", "since")).alias("b"))
     found = materialize(

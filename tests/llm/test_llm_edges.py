@@ -328,6 +328,29 @@ def test_url_lists(spark):
     assert url_lists.judge(captures.limit(0), entries).count() == 0
 
 
+def test_lists_and_hosts_in_any_case(spark):
+    at = datetime(2024, 1, 1)
+    entries = spark.createDataFrame(
+        [("url:http://Example.org/P/", "block", at), ("host:Shop.ORG", "block", at), ("note", "block", at)],
+        "pattern string, action string, listed_on timestamp",
+    )
+    asked = ["http://example.org/P", "HTTP://EXAMPLE.org/P#x", "http://example.org/p", "http://a.SHOP.org/", "http://example.org?P"]
+    captures = spark.createDataFrame([(u, at) for u in asked], "url string, fetched_at timestamp")
+    got = {r.url: r.list_action for r in url_lists.judge(captures, entries).collect()}
+    assert [got[u] for u in asked] == ["block", "block", None, "block", None]
+
+
+def test_only_months_with_captures_are_filled(spark):
+    entries = spark.createDataFrame([("host:x.org", "block", datetime(2024, 1, 10))], "pattern string, action string, listed_on timestamp")
+    times = [datetime(2024, 1, 9), datetime(2024, 5, 1), datetime(9000, 1, 1), datetime(2, 1, 1)]
+    captures = spark.createDataFrame([("http://x.org/", t) for t in times], "url string, fetched_at timestamp")
+    got = {r.fetched_at: r.list_action for r in url_lists.judge(captures, entries).collect()}
+    assert [got[t] for t in times] == [None, "block", "block", None]
+    months = captures.select(F.lit("host:x.org").alias("pattern"), F.date_trunc("month", "fetched_at").alias("month"))
+    assert url_lists.validity(entries, months).count() == 3
+    assert url_lists.validity(entries).count() == 1
+
+
 def test_archives(spark):
     large = "é<p>WARC/1.1\r\n\r\n" * 20_000
     rows = [(5, "u\r\nv", "same"), (3, None, "same"), (9, "u", large), (None, "u", "same"), (4, "u", None), (6, "u", ""), (7, "u", "x" * 64_000)]
