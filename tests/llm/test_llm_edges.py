@@ -153,6 +153,52 @@ def test_trees_find_what_the_patterns_miss(spark):
     assert got == {340: [(2, False)], 341: []}
 
 
+def test_loose_forms_are_proposed_whole(spark):
+    forms = {
+        "202-555-0143": 3, "415 555 2671": 3, "(030) 123 456 78": 3, "4155552671": 3, "jane [at] corp.example.com": 0,
+        "jane at corp dot example dot com": 0, "jane (at) mail (dot) corp.example.org": 0, "10 . 0 . 0 . 1": 1,
+    }
+    for word, label in (("call", {2}), ("order no.", {0})):
+        rows = spark.createDataFrame([(f"{word} {x} now", x, k) for x, k in forms.items()], "text string, form string, wanted int")
+        got = rows.select("*", F.explode(pii.spans_of(F.col("text"))).alias("s")).where("s.kind = wanted").collect()
+        whole = {r.form: r.s.label for r in got if r.s.match == r.form}
+        assert whole.keys() == forms.keys()
+        assert {whole[x] for x, k in forms.items() if k == 3} == label
+
+
+def test_planted_forms_are_caught_and_clean_texts_stay(spark):
+    """Recall on rows whose form has no label of its own, precision on numbers of other kinds; steps and expression agree."""
+    rng = random.Random(3)
+    n = lambda k: "".join(rng.choice("23456789") for _ in range(k))
+    filler = lambda: " ".join(rng.choice("the river bank was calm and grey that day".split()) for _ in range(6))
+    phone = lambda: rng.choice([f"{n(3)}-{n(3)}-{n(4)}", f"{n(3)} {n(3)} {n(4)}", f"({n(3)}) {n(3)}-{n(4)}"])
+    mail = lambda: rng.choice([f"ann{n(2)} [at] corp.x{n(2)}.com", f"bob{n(2)}(at)x{n(3)}.org", f"eve{n(1)} at x{n(2)} dot net"])
+    texts, kinds = [], []
+    for _ in range(150):
+        for text, kind in (
+            (f"{filler()} call {phone()} {filler()}", 3), (f"{filler()} mail {mail()} {filler()}", 0), (f"reach +1 {n(3)} {n(3)} {n(4)} {filler()}", 3),
+            (f"{filler()} order {phone()} {filler()}", None), (f"{filler()} version {n(2)} . {n(1)} . {n(1)} . {n(1)} {filler()}", None),
+            (f"{filler()} isbn {n(10)} {filler()}", None), (f"{filler()} {n(10)} {filler()}", None), (filler(), None),
+            (f"{filler()} {mail()} {filler()}", 0), (f"a{n(3)}@b{n(3)}.org {filler()}", 0),
+        ):
+            texts.append(text)
+            kinds.append(kind)
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    found = {r.doc_id: {s.kind for s in r.spans} for r in pii.find_spans(rows).collect()}
+    wanted = [i for i, k in enumerate(kinds) if k is not None]
+    assert sum(kinds[i] in found[i] for i in wanted) >= 0.9 * len(wanted)
+    assert sum(bool(found[i]) for i, k in enumerate(kinds) if k is None) <= 0.02 * len(texts)
+    steps = pii.with_spans(rows, F.col("text"), "s").select("doc_id", "s")
+    assert steps.exceptAll(rows.select("doc_id", pii.spans_of(F.col("text")).alias("s"))).count() == 0
+
+
+def test_text_of_many_spans(spark):
+    """Spans over the bounds of chunks and blocks, some that overlap, in a text of more than a million characters."""
+    text = "é 1.2.3.4@a.bc, +1 (234) 555-6789 " * 30_000
+    new = pii.redact(spark.createDataFrame([(1, text, 0)], "doc_id int, text string, n_chars int")).first()
+    assert new.text == "é [EMAIL], [PHONE] " * 30_000 and new.n_chars == len(new.text)
+
+
 def test_mix(spark, odd, empty):
     out = mixing.mixed(odd).collect()
     assert sum(r.n_rows for r in out) == odd.count()
