@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.names import business_or_agent, business_or_realtors
 from ..functions.phones import add_plus
@@ -24,7 +26,8 @@ from ..operators.ordering import matched_first
 from ..operators.reports import site_page_counts
 from ..operators.routing import quarantine
 from ..session import key_table, materialize
-from ..streaming.incremental import failure_rows
+from ..streaming.incremental import failure_rows, run_available
+from ..streaming.seen import FirstRows
 
 BUSINESS_WORDS = ["business", "company"]
 AGENT_WORDS = ["agent", "name", "contact"]
@@ -132,6 +135,17 @@ def _listed(sites: DataFrame, done: DataFrame, ordinal: str) -> DataFrame:
     return materialize(resume(first_seen, done, "website_url"), "sites")
 
 
+def _agent_links(captured: DataFrame) -> DataFrame:
+    """Agent links of captured pages of listed sites (``site_ord``), with their whole addresses."""
+    links = page_links(with_nodes(captured), "website_url", "site_ord", "page").filter(
+        F.col("rule_rank").isNotNull() & is_agent_link("href", "label") & followable("href")
+    )
+    return links.withColumn("agent_url", resolve("website_url", "href"))
+
+
+_LINK_ORDER = ["site_ord", "page", "rule_rank", "position"]
+
+
 def discover_agents(
     sites: DataFrame, pages: DataFrame, done: DataFrame, known: DataFrame, ordinal: str,
     run_at: Column | None = None, max_pages: int | None = None,
@@ -143,19 +157,9 @@ def discover_agents(
     first by site, page, rule and place. Pages beyond ``max_pages`` are left out if it is given.
     """
     near = pages if max_pages is None else pages.filter(F.col("page") <= max_pages)
-    captured = near.join(_listed(sites, done, ordinal), "website_url")
-    links = page_links(with_nodes(captured), "website_url", "site_ord", "page").filter(
-        F.col("rule_rank").isNotNull() & is_agent_link("href", "label") & followable("href")
-    )
-    absolute = links.withColumn("agent_url", resolve("website_url", "href"))
+    absolute = _agent_links(near.join(_listed(sites, done, ordinal), "website_url"))
     # Both results read the links; pages are shredded once.
-    firsts = materialize(
-        dedup_links(
-            new_only(absolute, known, "agent_url"),
-            "agent_url", "site_ord", "page", "rule_rank", "position",
-        ),
-        "links",
-    )
+    firsts = materialize(dedup_links(new_only(absolute, known, "agent_url"), "agent_url", *_LINK_ORDER), "links")
     out = firsts.select(
         link_label("label").alias("agent_name"),
         "agent_url",
@@ -167,6 +171,63 @@ def discover_agents(
     return {"links": out, "counts": site_page_counts(out, "website_url", "page_number")}
 
 
+_FOUND_LINKS = T.StructType(
+    [T.StructField(n, T.StringType()) for n in ("agent_name", "agent_url", "website_url")]
+    + [T.StructField("page_number", T.LongType())]
+    + [T.StructField(n, T.StringType()) for n in ("normalized_url", "timestamp")]
+    + [T.StructField("site_ord", T.LongType())]
+    + [T.StructField(n, T.IntegerType()) for n in ("rule_rank", "position")]
+)
+
+
+def _found_links(out: str) -> FirstRows:
+    return FirstRows(f"{out}/links", _FOUND_LINKS, "normalized_url", "site_ord", "page_number", "rule_rank", "position")
+
+
+def discover_incrementally(
+    sites: DataFrame, pages: DataFrame, done: DataFrame, known: DataFrame, ordinal: str, out: str, checkpoint: str,
+    run_at: Column | None = None,
+) -> None:
+    """``discover_agents`` over a stream of pages: a run reads the pages that came since the last one and adds its links.
+
+    Links found so far lie in buckets by address. A link that comes first by site, page, rule and place takes the
+    place of one that an earlier run has found, so runs over parts of the pages give the links of one run over all
+    of them. ``sites`` (with a whole number as ``ordinal``), ``done`` and ``known`` are as in ``discover_agents`` and stay the same
+    between runs. Last a batch writes a row to the ledger (``batch_id``, ``links``: different ones on its pages); ``discovered`` reads batches of the ledger only.
+    """
+    listed = _listed(sites, done, ordinal)
+    seen = key_table(known.select(normalize_url("agent_url").alias("normalized_url")), "normalized_url")
+    found = _found_links(out)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        links = _agent_links(batch.join(listed, "website_url")).withColumn("normalized_url", normalize_url("agent_url"))
+        firsts = materialize(
+            dedup_links(links.join(seen, "normalized_url", "left_anti"), "agent_url", *_LINK_ORDER)
+            .withColumn("agent_name", link_label("label"))
+            .withColumn("timestamp", run_timestamp(run_at))
+            .withColumnRenamed("page", "page_number")
+            .select(*_FOUND_LINKS.names),
+            "links",
+        )
+        found.merge(firsts, batch_id)
+        count = firsts.agg(F.count("*").alias("links")).coalesce(1)
+        count.write.mode("overwrite").parquet(f"{out}/ledger/batch_id={batch_id}")
+
+    run_available(pages, checkpoint, each=write)
+
+
+def discovered(spark: SparkSession, out: str) -> dict[str, DataFrame]:
+    """Links of all runs of ``discover_incrementally`` so far, and counts per site and page, as in ``discover_agents``."""
+    try:
+        last = spark.read.parquet(f"{out}/ledger").agg(F.max("batch_id")).first()[0]
+    except AnalysisException as gone:
+        if "PATH_NOT_FOUND" not in str(gone):
+            raise
+        last = -1
+    links = _found_links(out).read(spark, last + 1).drop("site_ord", "rule_rank", "position")
+    return {"links": links, "counts": site_page_counts(links, "website_url", "page_number")}
+
+
 def failed_sites(
     sites: DataFrame, pages: DataFrame, done: DataFrame, ordinal: str, run_at: Column | None = None
 ) -> DataFrame:

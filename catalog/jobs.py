@@ -4,12 +4,14 @@ from pyspark.sql import functions as F
 
 from cardfile.operators import links
 from cardfile.plans import jobs
+from cardfile.session import fresh_path
 
 from .contacts import DEDUP_PHONES_SQL
 from .emails import MATCH_SQL, UNIQUE_EMAIL_SQL
 from .inputs import LEADS_SQL, invalid_sql, key_sql, leads, realtors_sql, strip_sql
 from .pages import LISTED_LINKS, PROFILE_SQL, listing_pages, profile_pages
 from .registry import query, table
+from .streams import in_batches
 from .urls import norm_sql
 
 _NAMED = f"""(SELECT * REPLACE (CASE WHEN {strip_sql('"Agent Name"')} <> '' AND {invalid_sql('"Business Name"')}
@@ -179,33 +181,57 @@ def _run_at():
     return F.lit("2024-01-31 10:20:30").cast("timestamp")
 
 
-def _discover(spark, sf):
-    known = table(spark, sf, "customer").filter("c_mktsegment = 'BUILDING'").select(
+def _known(spark, sf):
+    return table(spark, sf, "customer").filter("c_mktsegment = 'BUILDING'").select(
         F.concat(
             F.lit("https://SITE"), F.floor(F.col("c_custkey") / 15), F.lit(".example.com/agent/"),
             F.col("c_custkey") % 40, F.lit("#known"),
         ).alias("agent_url")
     )
+
+
+def _discover(spark, sf):
     return jobs.discover_agents(
         _sites(spark, sf),
         listing_pages(spark, sf),
         _done(spark, sf),
-        known,
+        _known(spark, sf),
         "s_suppkey",
         _run_at(),
     )
 
 
+def _discover_batches(spark, sf):
+    """Pages in three batches, later ones with pages that come first; two runs, the second without new pages."""
+    out = fresh_path(spark, "discovered")
+    stream = in_batches(spark, listing_pages(spark, sf), F.pmod(-F.col("page"), F.lit(3)))
+    for _ in range(2):
+        jobs.discover_incrementally(
+            _sites(spark, sf), stream, _done(spark, sf), _known(spark, sf), "s_suppkey", out, f"{out}-checkpoint", _run_at()
+        )
+    return jobs.discovered(spark, out)
+
+
 @query("discover_agents", _AGENTS)
 def discover_agents(spark, sf):
     return _discover(spark, sf)["links"]
 
 
-@query(
-    "discovery_counts",
-    f"""{_FOUND} SELECT website_url, page AS page_number, count(*) AS links,
-        CAST(grouping(website_url, page) AS BIGINT) AS level FROM f GROUP BY ROLLUP (website_url, page)""",
-)
+@query("discover_agents_batches", _AGENTS)
+def discover_agents_batches(spark, sf):
+    return _discover_batches(spark, sf)["links"]
+
+
+_COUNTS = f"""{_FOUND} SELECT website_url, page AS page_number, count(*) AS links,
+        CAST(grouping(website_url, page) AS BIGINT) AS level FROM f GROUP BY ROLLUP (website_url, page)"""
+
+
+@query("discovery_counts_batches", _COUNTS)
+def discovery_counts_batches(spark, sf):
+    return _discover_batches(spark, sf)["counts"]
+
+
+@query("discovery_counts", _COUNTS)
 def discovery_counts(spark, sf):
     return _discover(spark, sf)["counts"]
 

@@ -4,6 +4,8 @@ import pytest
 
 from cardfile.functions import selectors as sel
 from cardfile.plans import jobs
+from cardfile.streaming import incremental as inc
+from cardfile.streaming.seen import FirstRows
 
 
 def test_clean_leads(spark):
@@ -125,3 +127,45 @@ def test_discover_agents(spark, seed):
     assert sorted(r.website_url for r in nowhere.collect()) == sorted(f"https://s{i}.com" for i in range(1, 25))
     finished = pages.select("website_url").distinct()
     assert jobs.discover_agents(listed, pages, finished, old, "ord")["links"].count() == 0
+
+
+def test_runs_over_new_pages_give_what_one_run_gives(spark, tmp_path, monkeypatch):
+    """Pages arrive in any order, a run is stopped before its ledger row, and a site comes back with earlier pages."""
+    rng = random.Random(5)
+    page = lambda links: "".join(f'<a href="https://x.com/{t}">{t}</a>' for t in links)
+    rows = [
+        (f"https://s{s}.com", p, page(f"agent{rng.randrange(12)}" for _ in range(rng.randrange(4))))
+        for s in range(5) for p in range(1, 5)
+    ] + [("https://unlisted.com", 1, page(["agent99"])), ("https://s1.com", None, page(["agent77"])), ("https://s2.com", 9, None)]
+    rng.shuffle(rows)
+    kind = "website_url string, page int, html string"
+    listed = spark.createDataFrame([(i, f"s{i}.com") for i in range(5)], "ord int, website_url string")
+    done = spark.createDataFrame([("https://s4.com",)], "website_url string")
+    known = spark.createDataFrame([("https://X.com/agent1#a",), (None,)], "agent_url string")
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+
+    def run():
+        stream = inc.file_stream(spark, source, spark.createDataFrame([], kind).schema)
+        jobs.discover_incrementally(listed, stream, done, known, "ord", out, str(tmp_path / "check"))
+
+    def found(links):
+        return sorted((r.agent_url, r.website_url, r.page_number or 0, r.agent_name) for r in links.collect())
+
+    assert jobs.discovered(spark, out)["links"].count() == 0
+    half = len(rows) // 2
+    spark.createDataFrame(rows[:half], kind).coalesce(1).write.mode("append").parquet(source)
+    run()
+    before = found(jobs.discovered(spark, out)["links"])
+    spark.createDataFrame(rows[half:], kind).coalesce(1).write.mode("append").parquet(source)
+    with monkeypatch.context() as m:
+        m.setattr(FirstRows, "merge", lambda *_: 1 / 0)
+        with pytest.raises(Exception, match="division"):
+            run()
+    assert found(jobs.discovered(spark, out)["links"]) == before
+    for _ in range(2):
+        run()
+    now = jobs.discovered(spark, out)
+    whole = jobs.discover_agents(listed, spark.createDataFrame(rows, kind), done, known, "ord")
+    assert found(now["links"]) == found(whole["links"])
+    assert sorted(map(str, now["counts"].collect())) == sorted(map(str, whole["counts"].collect()))
+    assert set(before) - set(found(now["links"]))  # a later run did bring earlier places

@@ -7,7 +7,7 @@ from cardfile.functions.shred import with_nodes
 from cardfile.operators.links import profile_fields
 from cardfile.operators.matching import resume
 from cardfile.streaming import incremental as inc
-from cardfile.streaming.seen import SeenKeys, committed
+from cardfile.streaming.seen import FirstRows, SeenKeys, committed
 
 SCHEMA = "ord long, k string"
 
@@ -166,3 +166,32 @@ def test_hot_key_is_cut_before_the_state(spark, tmp_path):
     assert max(s["numRowsTotal"] for s in state) == 3
     got = {r.k: r.n for r in spark.read.parquet(out).selectExpr("k", "unix_timestamp(ts) as n").collect()}
     assert got == {"hot": 4999, "cold": 1, None: 3}
+
+
+def test_first_rows_take_the_place_of_later_ones(spark, tmp_path):
+    firsts = FirstRows(str(tmp_path / "firsts"), schema("k string, a long, b long"), "k", "a", "b", buckets=4, merge_every=2)
+    batches = [
+        [("x", 5, 1), ("x", 4, 9), ("y", 1, 1), (None, 3, 3)],
+        [("x", 4, 8), ("y", 1, 1), ("z", 2, None), (None, 3, 4)],
+        [],
+        [("z", 2, 0), ("y", 0, 7), ("x", 9, 9), (None, None, 1)],
+        [("w", 1, 1), ("x", 4, 7)],
+    ]
+    nulls_first = lambda row: tuple((v is not None, v) if v is not None else (False, 0) for v in row[1:])
+    for n, batch in enumerate(batches):
+        rows = spark.createDataFrame(batch, "k string, a long, b long")
+        for _ in range(2):  # a replay changes nothing
+            firsts.merge(rows, n)
+        whole = [r for b in batches[: n + 1] for r in b]
+        want = {r[0]: min((o for o in whole if o[0] == r[0]), key=nulls_first) for r in whole}
+        got = [tuple(r) for r in firsts.read(spark, n + 1).collect()]
+        assert sorted(got, key=str) == sorted(want.values(), key=str)
+    assert firsts.read(spark, 0).count() == 0
+
+
+def test_first_rows_write_only_what_comes_before(spark, tmp_path):
+    folder = str(tmp_path / "firsts")
+    firsts = FirstRows(folder, schema("k string, a long"), "k", "a")
+    firsts.merge(spark.range(1000).selectExpr("cast(id as string) k", "id a"), 0)
+    firsts.merge(spark.range(1000).selectExpr("cast(id as string) k", "if(id = 7, -1, id + 1) a"), 1)
+    assert [tuple(r)[:2] for r in spark.read.parquet(f"{folder}/batch-1").select("k", "a").collect()] == [("7", -1)]
