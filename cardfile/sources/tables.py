@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.columns import quoted, require, update_cells
+from .quoted_lines import records
 
 _NEVER = "\u0000"
 
@@ -21,7 +22,7 @@ def string_schema(*names: str) -> T.StructType:
 
 def read_contacts(
     spark: SparkSession, path: str | list[str], names: list[str] | None = None, header: bool = True,
-    multi_line: bool = True,
+    multi_line: bool = True, in_pieces: bool = False,
 ) -> DataFrame:
     """A CSV file or folder as strings, with blank cells as ``''``; columns go by their header.
 
@@ -29,11 +30,12 @@ def read_contacts(
     lacks is blank. Files of one folder must have one header, else reading them is an error. With a
     header ``names`` picks columns; files without one need ``names``, which then go by place.
 
-    Quoted fields may hold commas, doubled quotes and line breaks. Line breaks need whole-file tasks;
-    without them set ``multi_line`` to false, so that large files are split.
+    Quoted fields may hold commas, doubled quotes and line breaks. With line breaks a file is one task's work, unless
+    ``in_pieces`` is set: many tasks then share a file, which must have quotes around cells only
+    (``quoted_lines.records``) and comes back in no order. Without line breaks set ``multi_line`` to false, which also splits files.
     """
     if isinstance(path, list):
-        parts = [read_contacts(spark, p, None if header else names, header, multi_line) for p in path]
+        parts = [read_contacts(spark, p, None if header else names, header, multi_line, in_pieces) for p in path]
         df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).na.fill("")
         return _picked(df, names) if header and names else df
     reader = (
@@ -54,10 +56,27 @@ def read_contacts(
         lowered = [str(n).lower() for n in top] if top else []
         if len(set(lowered)) < len(lowered):
             raise ValueError(f"set spark.sql.caseSensitive=true before reading this header: {top}")
-    df = reader.csv(path).na.fill("")
+    df = reader.csv(path)
+    if in_pieces:
+        df = _from_records(records(spark, path), df.columns, header)
+    df = df.na.fill("")
     return _picked(df, names) if header and names else df
 
 
+def _from_records(rows: DataFrame, names: list[str], header: bool) -> DataFrame:
+    """Cells of CSV records. With a header the first record of each file is left out, after a look whether all are the same."""
+    places = [f"_{i}" for i in range(len(names) + 1)]  # one more shows a header that is longer
+    options = {"escape": '"', "nullValue": _NEVER, "emptyValue": "", "multiLine": "true"}
+    cells = F.from_csv("text", ", ".join(f"{c} string" for c in places), options)
+    if header:
+        top = (F.col("block") == 0) & (F.col("n") == 0)
+        tops = [list(r[0]) for r in rows.where(top).select(cells).distinct().limit(2).collect()]
+        if len(tops) > 1:
+            raise ValueError(f"files with different headers: {tops}")
+        rows = rows.where(~top)
+    return rows.select(cells.alias("_")).select(*[F.col(f"_.{c}").alias(n) for c, n in zip(places, names)])
+
+
 def _picked(df: DataFrame, names: list[str]) -> DataFrame:
     require(df, *names)
     return df.select(*[quoted(n) for n in names])

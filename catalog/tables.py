@@ -25,6 +25,21 @@ def csv_round_trip(spark, sf):
     return t.read_contacts(spark, path)
 
 
+_BROKEN = """concat(coalesce(text, ''), chr(10), '"', coalesce(lang, ''), '",', chr(10), chr(10), doc_id)"""
+
+
+@query(
+    "csv_in_pieces",
+    f"""SELECT CAST(doc_id AS VARCHAR) AS doc_id, {_BROKEN} AS "Body Text", coalesce(lang, '') AS lang FROM documents""",
+)
+def csv_in_pieces(spark, sf):
+    """Cells with line breaks, quotes and commas, from files that several tasks share."""
+    path = fresh_path(spark, "csv")
+    docs = table(spark, sf, "documents").select(F.col("doc_id").cast("string"), F.expr(_BROKEN.replace("chr(10)", "char(10)")).alias("Body Text"), "lang")
+    t.write_csv(docs, path, quote_all=True)
+    return t.read_contacts(spark, path, in_pieces=True)
+
+
 @query(
     "headerless_csv",
     f"""SELECT "Business Name" AS "Business_Name", "Phone" AS "Phone", "Emails" FROM {LEADS_SQL}""",

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -51,6 +53,45 @@ def test_csv_round_trip_quotes_all(spark, tmp_path):
     assert text.startswith('"k","v"')
 
 
+@pytest.mark.parametrize("seed, end", [(0, "\r\n"), (1, "\n")])
+def test_csv_in_pieces(spark, tmp_path, conf, seed, end):
+    """Pieces that start and end inside quotes, hold no start of a record, or no line, give the rows of whole files."""
+    rng = random.Random(seed)
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for name in "abc"[: 1 + seed]:
+        rows = [["k", "v `x`", "Phone.no"]]
+        for i in range(25):
+            parts = ["x", " ", ",", '"', "\n", "\r\n", "é", '"\n"', "long " * 9, "\n" * 40]
+            rows.append([f"{name}{i}", "".join(rng.choices(parts, k=rng.randrange(12))), rng.choice(["", "1", "a\nb"])])
+        cell = lambda c: '"' + c.replace('"', '""') + '"' if rng.random() < 0.3 or set(c) & set(',"\r\n') else c
+        text = end.join(",".join(map(cell, r)) for r in rows) + rng.choice(["", end, end + end])
+        (folder / f"{name}.csv").write_bytes((rng.choice(["", "\ufeff"]) + text).encode())
+    whole = t.read_contacts(spark, str(folder))
+    want = sorted(tuple(r) for r in whole.collect())
+    conf("spark.sql.files.maxPartitionBytes", "400")
+    conf("spark.sql.files.openCostInBytes", "0")
+    df = t.read_contacts(spark, str(folder), in_pieces=True)
+    assert spark.read.text(str(folder)).rdd.getNumPartitions() > 4
+    assert df.columns == whole.columns
+    assert sorted(tuple(r) for r in df.collect()) == want
+    bare = t.read_contacts(spark, str(folder), ["a", "b", "c"], header=False, in_pieces=True)
+    assert bare.count() == len(want) + 1 + seed
+
+
+def test_csv_in_pieces_without_rows(spark, tmp_path):
+    one = t.read_contacts(spark, write(tmp_path / "e.csv", "Name,URL\n"), in_pieces=True)
+    assert one.columns == ["Name", "URL"] and one.count() == 0
+    short = t.read_contacts(spark, write(tmp_path / "s.csv", 'a,b\n1\n\n2,3,4\n"",\n'), in_pieces=True)
+    assert sorted(tuple(r) for r in short.collect()) == [("", ""), ("1", ""), ("2", "3")]
+    folder = tmp_path / "two"
+    folder.mkdir()
+    write(folder / "a.csv", "a,b\n1,2\n")
+    write(folder / "b.csv", "b,a\n1,2\n")
+    with pytest.raises(ValueError, match="headers"):
+        t.read_contacts(spark, str(folder), in_pieces=True)
+
+
 def test_append_makes_header_once(spark, tmp_path):
     path, schema = str(tmp_path / "r"), t.string_schema("a", "b")
     for i in range(2):
