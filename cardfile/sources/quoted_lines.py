@@ -11,12 +11,15 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
-_LINES = "file string, block long, n long, inside boolean, odd boolean, value string"
+_LINES = "file string, block long, n long, inside boolean, odd boolean, since_out long, since_in long, value string"
 
 
 def _numbered(batches):
-    """Number of each line in its piece of a file, and whether it is inside quotes if the piece starts outside."""
-    last, lines, quotes = None, 0, 0
+    """Number of each line in its piece of a file, and whether it is inside quotes if the piece starts outside.
+
+    ``since_out`` and ``since_in``: the last line so far, this one included, that is not inside, and that is; -1 if none.
+    """
+    last, lines, quotes, since = None, 0, 0, [-1, -1]
     for b in batches:
         if not b.num_rows:
             continue
@@ -30,8 +33,14 @@ def _numbered(batches):
         n = np.where(start < 0, lines + at, at - start)
         inner = np.where(start < 0, quotes + before, before - before[start])
         last, lines, quotes = (file[-1].as_py(), block[-1].as_py()), n[-1] + 1, inner[-1] + found[-1]
-        columns = [file, block, pa.array(n), pa.array(inner % 2 == 1), pa.array(found % 2 == 1), value]
-        yield pa.RecordBatch.from_arrays(columns, ["file", "block", "n", "inside", "odd", "value"])
+        places = []
+        for inside in (0, 1):
+            hit = np.maximum.accumulate(np.where(inner % 2 == inside, at, -1))
+            place = np.where(hit >= np.maximum(start, 0), n[hit], np.where(start < 0, since[inside], -1))
+            since[inside] = place[-1]
+            places.append(pa.array(place))
+        columns = [file, block, pa.array(n), pa.array(inner % 2 == 1), pa.array(found % 2 == 1), *places, value]
+        yield pa.RecordBatch.from_arrays(columns, ["file", "block", "n", "inside", "odd", "since_out", "since_in", "value"])
 
 
 def records(spark: SparkSession, path: str) -> DataFrame:
@@ -48,16 +57,15 @@ def records(spark: SparkSession, path: str) -> DataFrame:
     )
     lines = materialize(raw.mapInArrow(_numbered, _LINES), "lines")
     earlier = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
-    starts = lambda inside: F.max(F.when(F.col("inside") == inside, F.col("n")))
     pieces = (
         lines.groupBy("file", "block")
         .agg(
-            F.count_if("odd").alias("_odd"), starts(False).alias("_if_out"), starts(True).alias("_if_in"),
+            F.count_if("odd").alias("_odd"), F.max("since_out").alias("_if_out"), F.max("since_in").alias("_if_in"),
             F.max((F.col("block") == 0) & (F.col("n") == 0) & F.col("value").endswith("\r")).alias("_cr"),
         )
         .withColumn("open", F.coalesce(F.sum("_odd").over(earlier), F.lit(0)) % 2 == 1)
         .withColumn("_last", F.when(F.col("open"), F.col("_if_in")).otherwise(F.col("_if_out")))
-        .withColumn("_start", F.when(F.col("_last").isNotNull(), F.struct("block", F.col("_last").alias("n"))))
+        .withColumn("_start", F.when(F.col("_last") >= 0, F.struct("block", F.col("_last").alias("n"))))
         .select(
             "file", "block", "open", F.last("_start", ignorenulls=True).over(earlier).alias("carried"),
             F.max("_cr").over(W.partitionBy("file")).alias("crlf"),
@@ -66,8 +74,8 @@ def records(spark: SparkSession, path: str) -> DataFrame:
     placed = lines.join(materialize(pieces, "pieces"), ["file", "block"]).withColumn("first", F.col("inside") == F.col("open"))
     placed = placed.withColumn("value", F.when(F.col("crlf"), F.regexp_replace("value", r"\r\z", "")).otherwise(F.col("value")))
     alone = F.col("first") & ~F.col("odd")
-    upto = W.partitionBy("file", "block").orderBy("n").rowsBetween(W.unboundedPreceding, 0)
-    here = F.last(F.when(F.col("first"), F.struct("block", "n")), ignorenulls=True).over(upto)
+    since = F.when(F.col("open"), F.col("since_in")).otherwise(F.col("since_out"))
+    here = F.when(since >= 0, F.struct("block", since.alias("n")))
     broken = placed.where(~alone).withColumn("_start", F.coalesce(here, "carried"))
     joined = broken.groupBy("file", F.col("_start.block").alias("block"), F.col("_start.n").alias("n")).agg(
         F.array_join(
