@@ -12,9 +12,14 @@ training. Everything is DataFrame work; the trees become column expressions, so
 
 from __future__ import annotations
 
+import math
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cardfile.session import materialize
@@ -63,8 +68,12 @@ SAYS = {
         r"case|account|customer|id|date|section|chapter)(?:\W{0,3}\b(?:number|no|nr|id))?\W{0,3}$"
     ),
 }
-#: Bound of the training sample (rows of spans), share held out for the thresholds, and the precision they keep.
-SAMPLE_SPANS, HELD_OUT, PRECISION = 20_000, 3, 0.98
+#: Values of a feature that has more than two, from 0. The trees see whether a feature is above each value but the last: these
+#: splits are all there are, where ``pyspark.ml`` would take those of a number from a sample of the rows.
+LEVELS = {"kind": 4, "length": 65, "digits": 33, "parts": 17}
+STEPS = [(name, step) for name in FEATURES for step in range(LEVELS.get(name, 2) - 1)]
+#: Parts of the labelled rows, different rows that one task learns from, and the precision that the thresholds keep.
+FOLDS, TOGETHER, PRECISION = 3, 200_000, 0.98
 
 
 def _digits(x: Column) -> Column:
@@ -311,33 +320,19 @@ _ROW = "struct<kind:int,start:bigint,end:bigint,label:int,match:string,before:st
 def _tree(node, f: Column) -> Column:
     if node.subtreeDepth() == 0:
         return F.lit(float(node.prediction()))
-    split = node.split()
-    value = f[FEATURES[split.featureIndex()]]
-    return F.when(value <= float(split.threshold()), _tree(node.leftChild(), f)).otherwise(_tree(node.rightChild(), f))
-
+    name, step = STEPS[node.split().featureIndex()]
+    low, high = node.leftChild(), node.rightChild()
+    if 0.0 not in list(node.split().leftCategories()):
+        low, high = high, low
+    return F.when(f[name] <= float(step), _tree(low, f)).otherwise(_tree(high, f))
 
-def train(spans: DataFrame, rounds: int = 10, depth: int = 3, sample: int = SAMPLE_SPANS):
-    """(score of a features column, threshold for each kind) from at most ``sample`` labelled rows of ``spans``.
 
-    The sample is the labelled rows with the smallest hashes, so reruns agree. Equal rows are one row with a weight.
-    None if there are not both labels to learn from.
-    """
-    rows = spans.where("label is not null").select(
-        F.xxhash64("id", "kind", "start", "end").alias("h"), "kind", F.least("label", F.lit(1)).alias("label"), "f"
-    )
-    rows = rows.orderBy("h", "kind", "label", "f").limit(sample)
-    rows = rows.withColumn("held", (F.pmod(F.col("h"), F.lit(HELD_OUT)) == 0))
-    grouped = rows.groupBy("held", "kind", "label", "f").agg(F.count("*").cast("double").alias("weight"))
-    grouped = materialize(grouped.orderBy("held", "kind", "label", "f").coalesce(1), "training")
-    flat = grouped.select("held", "label", "weight", F.col("kind").alias("of"), "f", "f.*")
-    data = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(flat)
-    fit = data.where("not held")
-    if len(fit.select("label").distinct().take(2)) < 2:
+def _fitted(data: DataFrame, rounds: int, depth: int):
+    """Score of a features column by trees that learn from all rows of ``data``; None without both labels."""
+    if len(data.select("label").distinct().take(2)) < 2:
         return None
-    gbt = GBTClassifier(
-        labelCol="label", weightCol="weight", maxIter=rounds, maxDepth=depth, maxBins=64, seed=7, subsamplingRate=1.0
-    )
-    model = gbt.fit(fit.select("label", "weight", "features"))
+    gbt = GBTClassifier(labelCol="label", weightCol="weight", maxIter=rounds, maxDepth=depth, seed=7, subsamplingRate=1.0)
+    model = gbt.fit(data.select("label", "weight", "features"))
     roots, weights = [t._java_obj.rootNode() for t in model.trees], list(model.treeWeights)
 
     def score(f: Column) -> Column:
@@ -346,32 +341,54 @@ def train(spans: DataFrame, rounds: int = 10, depth: int = 3, sample: int = SAMP
             total = total + F.lit(float(weight)) * _tree(root, f)
         return 1 / (1 + F.exp(-2 * total))
 
-    return score, _thresholds(grouped.where("held"), score)
+    return score
 
 
-def _thresholds(held: DataFrame, score) -> dict[int, float]:
-    """For each kind the lowest score at and above which held-out rows are right to the share PRECISION.
+def train(spans: DataFrame, rounds: int = 10, depth: int = 3):
+    """(score of a features column, threshold for each kind) from all labelled rows of ``spans``.
 
-    A kind without a held-out negative row or without a positive one takes the highest threshold of the others.
+    Equal rows are one row with a weight, which bounds the table to learn from by the different features. Each row is in
+    one of FOLDS parts by its hash. The trees learn from all parts. For the thresholds a row is scored by trees that
+    have learned from the other parts. None if there are not both labels to learn from.
     """
-    scored = held.select("kind", "label", "weight", F.round(score(F.col("f")), 6).alias("s"))
-    # Distinct scores are few: each is a sum of one leaf per tree over the bounded sample.
-    table = scored.groupBy("kind", "s").agg(
-        F.sum(F.when(F.col("label") == 1, F.col("weight")).otherwise(0.0)).alias("good"), F.sum("weight").alias("all")
-    )
-    found: dict[int, float] = {}
-    by_kind: dict[int, list] = {}
-    for r in table.collect():
-        by_kind.setdefault(r["kind"], []).append((r["s"], r["good"], r["all"]))
-    for kind, rows in by_kind.items():
-        good = total = 0.0
-        if not 0 < sum(r[1] for r in rows) < sum(r[2] for r in rows):
-            continue
-        for s, g, n in sorted(rows, reverse=True):
-            good, total = good + g, total + n
-            if good >= PRECISION * total:
-                found[kind] = s
-    return found
+    fold = F.pmod(F.xxhash64("id", "kind", "start", "end"), F.lit(FOLDS)).cast("int")
+    rows = spans.where("label is not null").select(fold.alias("fold"), "kind", F.least("label", F.lit(1)).alias("label"), "f")
+    grouped = materialize(rows.groupBy("fold", "kind", "label", "f").agg(F.count("*").cast("double").alias("weight")), "counted")
+    # Sums over one partition have one order, so reruns agree; only a table of very many different rows has more.
+    parts = max(1, math.ceil(grouped.count() / TOGETHER))
+    steps = [
+        (F.col("f")[name] > float(step)).cast("double").alias(f"{name}_{step}", metadata={"ml_attr": {"type": "binary"}})
+        for name, step in STEPS
+    ]
+    flat = grouped.repartition(parts, "f").sortWithinPartitions("fold", "kind", "label", "f").select("*", *steps)
+    data = VectorAssembler(inputCols=flat.columns[len(grouped.columns) :], outputCol="features").transform(flat)
+    data = materialize(data.select(*grouped.columns, "features"), "training")
+    with ThreadPoolExecutor(FOLDS + 1) as pool:  # short jobs that do not wait for each other
+        tables = [data, *[data.where(F.col("fold") != k) for k in range(FOLDS)]]
+        score, *others = pool.map(inheritable_thread_target(data.sparkSession)(_fitted), tables, [rounds] * len(tables), [depth] * len(tables))
+    if score is None:
+        return None
+    unseen = F.coalesce(*[F.when(F.col("fold") == k, s(F.col("f"))) for k, s in enumerate(others) if s], F.lit(None).cast("double"))
+    return score, _thresholds(data.select("kind", "label", "weight", F.round(unseen, 6).alias("s")))
+
+
+def _thresholds(scored: DataFrame) -> dict[int, float]:
+    """For each kind the lowest score ``s`` at and above which rows are right to the share PRECISION.
+
+    A kind without a negative row or without a positive one takes the highest threshold of the others. Rows without a score, as
+    the parts without them lack a label, do not count.
+    """
+    good = F.sum(F.when(F.col("label") == 1, F.col("weight")).otherwise(0.0))
+    table = scored.where("s is not null").groupBy("kind", "s").agg(good.alias("good"), F.sum("weight").alias("all"))
+    # Scores have six digits, so a kind has a million of them at most.
+    kind = W.partitionBy("kind")
+    down = kind.orderBy(F.desc("s")).rowsBetween(W.unboundedPreceding, 0)
+    summed = table.select(
+        "kind", "s", F.sum("good").over(down).alias("good"), F.sum("all").over(down).alias("all"),
+        F.sum("good").over(kind).alias("of_good"), F.sum("all").over(kind).alias("of_all"),
+    )
+    least = summed.where((F.col("of_good") > 0) & (F.col("of_good") < F.col("of_all")) & (F.col("good") >= PRECISION * F.col("all")))
+    return {r["kind"]: r["s"] for r in least.groupBy("kind").agg(F.min("s").alias("s")).collect()}
 
 
 def find_spans(docs: DataFrame, text: str = "text", name: str = "spans") -> DataFrame:

@@ -192,6 +192,21 @@ def test_planted_forms_are_caught_and_clean_texts_stay(spark):
     assert steps.exceptAll(rows.select("doc_id", pii.spans_of(F.col("text")).alias("s"))).count() == 0
 
 
+def test_trees_and_thresholds_come_from_all_labelled_rows(spark, monkeypatch):
+    """More labelled rows than a bounded sample would take; a rare kind of row counts too."""
+    learned, judged = [], []
+    fitted, thresholds = pii._fitted, pii._thresholds
+    monkeypatch.setattr(pii, "_fitted", lambda data, *a: (learned.append(data.agg(F.sum("weight")).first()[0]), fitted(data, *a))[1])
+    monkeypatch.setattr(pii, "_thresholds", lambda rows: (judged.append(rows.where("s is not null").agg(F.sum("weight")).first()[0]), thresholds(rows))[1])
+    feature = F.struct(*[F.when(F.lit(n == "digits"), F.col("id") % 16).otherwise(0).cast("double").alias(n) for n in pii.FEATURES])
+    rows = spark.range(24_000).select("id", F.lit(0).alias("kind"), "id", (F.col("id") + 1).alias("end"), feature.alias("f"))
+    rows = rows.toDF("id", "kind", "start", "end", "f").withColumn("label", (F.col("id") % 16 >= 5).cast("int"))
+    score, least = pii.train(rows, rounds=2)
+    assert max(learned) == judged[0] == 24_000 and sum(learned) == 3 * 24_000
+    right = rows.where((score(F.col("f")) >= least[0] - 1e-6) == (F.col("label") == 1))
+    assert right.count() == 24_000
+
+
 def test_text_of_many_spans(spark):
     """Spans over the bounds of chunks and blocks, some that overlap, in a text of more than a million characters."""
     text = "é 1.2.3.4@a.bc, +1 (234) 555-6789 " * 30_000
