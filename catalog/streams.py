@@ -20,10 +20,15 @@ def stream(spark, sf, name):
 
 def in_batches(spark, rows, batch):
     """Rows as a stream of three micro-batches, those with the lowest ``batch`` (0 to 2) first."""
-    folder = fresh_path(spark, "batches")
-    for n in range(3):  # a batch takes the oldest file
-        rows.where(batch == n).coalesce(1).write.mode("append").parquet(folder)
-    return inc.file_stream(spark, folder, rows.schema, files_per_batch=1)
+    folder, files = fresh_path(spark, "batches"), None
+    for n in range(3):  # a batch takes the oldest files, as many as the first one has
+        part = rows.where(batch == n)
+        (part.coalesce(files) if files else part).write.mode("append").parquet(folder)
+        written = len(spark.read.schema(rows.schema).parquet(folder).inputFiles())
+        files = files or written
+        for _ in range(files * (n + 1) - written):  # tasks without rows write no file
+            spark.createDataFrame([], rows.schema).write.mode("append").parquet(folder)
+    return inc.file_stream(spark, folder, rows.schema, files_per_batch=files)
 
 
 @query(

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from catalog import streams
 from cardfile.functions import selectors as sel
 from cardfile.functions.shred import with_nodes
 from cardfile.operators.links import profile_fields
@@ -37,6 +38,18 @@ def test_keep_first_over_batches(spark, tmp_path):
     assert run() == [(3, "a"), (4, "b"), (7, "d"), (8, "C")]
 
 
+@pytest.mark.parametrize("rows", [400, 5, 0])
+def test_batches_of_several_files(spark, tmp_path, monkeypatch, rows):
+    """A batch is written by as many tasks as its rows come from, and is one batch still, however few rows it has."""
+    monkeypatch.setattr(streams, "fresh_path", lambda *_: str(tmp_path / "in"))
+    made = spark.range(rows).repartition(4, "id").select("id", F.when(F.col("id") < 300, 0).otherwise(2).alias("batch"))
+    stream, seen = streams.in_batches(spark, made, F.col("batch")), []
+    inc.run_available(stream, str(tmp_path / "check"), each=lambda b, n: seen.append(sorted(r.batch for r in b.collect())))
+    assert [x for x in seen if x] == [x for x in ([0] * min(rows, 300), [2] * (rows - 300)) if x]
+    files = len(list((tmp_path / "in").glob("*.parquet")))
+    assert files % 3 == 0 and (files == 12 or rows < 400)
+
+
 def test_replayed_batch_changes_nothing(spark, tmp_path):
     """A batch that was written but not committed is written again to the same place."""
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
