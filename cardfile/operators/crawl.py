@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
-from ..session import bucketed, forget, materialize
+from ..session import bucketed, forget, materialize, option
 
 
 def crawl_cutoff(
@@ -69,15 +69,21 @@ def _next_hop(links: DataFrame, hubs: DataFrame, frontier: DataFrame, visited: l
 def crawl_frontier(seeds: DataFrame, links: DataFrame, max_hops: int | None = None) -> DataFrame:
     """Addresses reachable from the seeds, in at most ``max_hops`` links if given, with the fewest hops.
 
-    ``seeds`` has ``url``, ``links`` has ``src`` and ``dst``; repeated and null ones count once and not at all. Links are
-    shuffled once, into buckets, and so is each round; a hop then shuffles its frontier and what that reaches, and
-    neither links nor visited addresses. Each hop is planned from at most MERGE + 1 tables, however many went before. A
+    ``seeds`` has ``url``, ``links`` has ``src`` and ``dst``; repeated and null ones count once and not at all. Different links
+    are written once, into sorted buckets, and so is each round; a hop then shuffles its frontier and what that reaches, and
+    neither shuffles nor sorts links and visited addresses. Each hop is planned from at most MERGE + 1 tables, however many went before. A
     page with very many links has them in several buckets, and a page linked to very often is one key after the map
     side. The loop ends with the first round that finds nothing new.
     """
+    # A bucket is one sorted file; with this option Spark reads it as such.
+    with option(links.sparkSession, "spark.sql.legacy.bucketedTableScan.outputOrdering", "true"):
+        return _crawled(seeds, links, max_hops)
+
+
+def _crawled(seeds: DataFrame, links: DataFrame, max_hops: int | None) -> DataFrame:
     spark = links.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    links = links.select("src", "dst").dropna()
+    links = materialize(links.select("src", "dst").dropna().distinct(), "different")
     hubs = links.groupBy(F.col("src").alias("url")).agg(F.ceil(F.count("*") / float(SPLIT)).cast("int").alias("parts"))
     hubs = materialize(hubs.filter("parts > 1"), "hubs")
     parted = links.join(hubs.withColumnRenamed("url", "src"), "src", "left")

@@ -203,6 +203,25 @@ def test_hops_shuffle_neither_links_nor_visited(spark, conf):
     assert sorted(re.findall(r"Exchange hashpartitioning\((\w+)#", plan)) == ["src", "url", "url"] and plan.count("Exchange") == 3
 
 
+def test_links_are_neither_repeated_nor_sorted_by_a_hop(spark, conf, monkeypatch):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.enabled", "false")
+    held, hop = [], crawl._next_hop
+
+    def kept(links, *rest):
+        out = hop(links, *rest)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        held.append((links.count(), re.findall(r"Sort \[(\w+)#", plan)))
+        return out
+
+    monkeypatch.setattr(crawl, "_next_hop", kept)
+    links = spark.range(3000).selectExpr("'u' || id % 30 as src", "'u' || (id % 30 + 1) as dst")
+    got = crawl.crawl_frontier(spark.createDataFrame([("u0",)], "url string"), links, 3)
+    assert {r.url: r.hop for r in got.collect()} == {f"u{i}": i for i in range(4)}
+    # The frontier is sorted to meet the hubs, then what it asks for to meet the links, then what it reaches.
+    assert [n for n, _ in held] == [30] * 3 and all(s.count("src") == 1 for _, s in held)
+
+
 def test_long_chains_merge_their_rounds(spark, monkeypatch):
     """Each hop starts from a few tables; nothing of a crawl stays in the catalog."""
     monkeypatch.setattr(crawl, "MERGE", 3)
