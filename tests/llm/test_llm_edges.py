@@ -11,6 +11,7 @@ from test_llm_queries import base_spans
 
 import corpus_pipeline
 from cardfile.llm import chat, mixing, passages, pii, quality, simhash, site_templates, tiling, url_lists, warc
+from cardfile.llm.catalog import QUERIES
 
 COLUMNS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 #: Columns with the names that the operators use inside, and in another case.
@@ -538,6 +539,20 @@ def test_passage_of_many_texts_has_one_row_each(spark):
     assert len(got) < 120
 
 
+def test_texts_of_hot_seeds_all_meet(spark, tmp_path, monkeypatch):
+    """An edited passage whose seeds, also the paired ones, are in many texts before and after that have no such passage."""
+    monkeypatch.setattr(passages, "BLOCK", 7)
+    words = [f"p{i}" for i in range(60)]
+    pieces = lambda i: [words[:30], words[30:], words[10:50], words[:20] + [f"u{i}_{j}" for j in range(20)] + words[40:]]
+    rows = [(4 * i + j, w) for i in [*range(20), *range(1000, 1020)] for j, w in enumerate(pieces(i))]
+    rows += [(500, words), (600, [f"x{i}" if i % 8 == 7 else w for i, w in enumerate(words)])]
+    own = lambda i: [f"t{i}w{j}" for j in range(50)]
+    docs = rows_of(spark, [(i, " ".join(own(i) + w + own(-i - 1)), "", "", 0) for i, w in rows], clash=False)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op9_substring_dedup"](spark, str(tmp_path)).collect()
+    assert {(r.doc_id, r.other_id) for r in got} == {(600, 500)}
+
+
 def test_edited_passages_are_found(spark):
     rng, rows, planted = random.Random(5), [], 0
     for i, (words, changed) in enumerate([(60, 0.1), (60, 0.15), (100, 0.15), (100, 0.18)] * 50):
