@@ -13,9 +13,7 @@ training. Everything is DataFrame work; the trees become column expressions, so
 from __future__ import annotations
 
 import math
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import inheritable_thread_target
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
@@ -363,9 +361,8 @@ def train(spans: DataFrame, rounds: int = 10, depth: int = 3):
     flat = grouped.repartition(parts, "f").sortWithinPartitions("fold", "kind", "label", "f").select("*", *steps)
     data = VectorAssembler(inputCols=flat.columns[len(grouped.columns) :], outputCol="features").transform(flat)
     data = materialize(data.select(*grouped.columns, "features"), "training")
-    with ThreadPoolExecutor(FOLDS + 1) as pool:  # short jobs that do not wait for each other
-        tables = [data, *[data.where(F.col("fold") != k) for k in range(FOLDS)]]
-        score, *others = pool.map(inheritable_thread_target(data.sparkSession)(_fitted), tables, [rounds] * len(tables), [depth] * len(tables))
+    # One after the other: side by side their hundreds of short jobs fill the driver's memory.
+    score, *others = [_fitted(t, rounds, depth) for t in (data, *[data.where(F.col("fold") != k) for k in range(FOLDS)])]
     if score is None:
         return None
     unseen = F.coalesce(*[F.when(F.col("fold") == k, s(F.col("f"))) for k, s in enumerate(others) if s], F.lit(None).cast("double"))

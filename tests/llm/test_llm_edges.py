@@ -3,6 +3,7 @@
 import gzip
 import random
 import re
+import time
 from datetime import datetime
 
 import pytest
@@ -208,6 +209,24 @@ def test_trees_and_thresholds_come_from_all_labelled_rows(spark, monkeypatch):
     assert right.count() == 24_000
 
 
+def test_trees_are_trained_one_after_the_other(spark, monkeypatch):
+    """Side by side the trainings' jobs took more memory than the driver has."""
+    at_once, most = [], []
+
+    def fitted(data, *a):
+        at_once.append(1)
+        most.append(len(at_once))
+        time.sleep(0.3)
+        at_once.pop()
+        return lambda f: F.lit(0.5)
+
+    monkeypatch.setattr(pii, "_fitted", fitted)
+    feature = F.struct(*[F.lit(0.0).alias(n) for n in pii.FEATURES])
+    rows = spark.range(60).select("id", F.lit(0).alias("kind"), F.lit(0).alias("start"), F.lit(1).alias("end"), feature.alias("f"))
+    pii.train(rows.withColumn("label", (F.col("id") % 2).cast("int")))
+    assert most == [1] * (1 + pii.FOLDS)
+
+
 def test_text_of_many_spans(spark):
     """Spans over the bounds of chunks and blocks, some that overlap, in a text of more than a million characters."""
     text = "é 1.2.3.4@a.bc, +1 (234) 555-6789 " * 30_000
