@@ -6,6 +6,8 @@ import re
 import time
 from datetime import datetime
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from test_llm_queries import base_spans
@@ -585,6 +587,58 @@ def test_edited_passages_are_found(spark):
     assert len(got) >= 0.97 * planted
 
 
+def test_pairs_left_out_hold_no_passage():
+    """Blocks of texts from few words, with lines and passages that come again and again, against all pairs of texts one by one."""
+    rng, k = random.Random(3), 5
+    lines = [[f"l{i}_{j}" for j in range(rng.randint(6, 70))] for i in range(8)]
+    texts = []
+    for _ in range(90):
+        words = []
+        for _ in range(rng.randint(1, 6)):
+            line, kind = rng.choice(lines), rng.random()
+            if kind < 0.3:
+                words += [rng.choice(["a", "b", "c"]) for _ in range(rng.randint(1, 60))]
+            elif kind < 0.4:
+                words += ["z"] * rng.randint(1, 70)
+            elif kind < 0.7:
+                words += [w if rng.random() > rng.choice([0.05, 0.2]) else rng.choice("xyz") for w in line]
+            else:
+                words += line + [f"u{rng.random()}" for _ in range(rng.randint(0, 60))]
+        texts.append(words)
+
+    def block(part):
+        names = sorted({w for i in part for w in texts[i]})
+        at = {w: i for i, w in enumerate(names)}
+        own = [part, [len(texts[i]) for i in part], pd.util.hash_array(np.array(names, dtype=object)), [at[w] for i in part for w in texts[i]]]
+        row = {c: passages._planes(np.array(v).astype(t)) for c, v, t in zip(("docs", "sizes", "names", "ids"), own, ("<i8", "<i4", "<u8", "<u4"))}
+        return passages._Block(row | dict.fromkeys(("later", "earlier", "p", "q"), b""), k)
+
+    a, b = block(list(range(0, 90, 2))), block(list(range(1, 90, 2)))
+    for one, two in ((a, a), (a, b), (b, a)):
+        rows = lambda batches: {tuple(r.values()) for x in batches if x for r in x.to_pylist()}
+        found = rows(passages.passages_between(one, two, k, 50, 0.8))
+        every = passages._Rows(one.words if one is two else np.r_[one.words, two.words], k, 50, 0.8)
+        none = np.zeros(0, dtype=np.int64)
+        for d in range(len(one.docs)):
+            for e in range(d if one is two else len(two.docs)):
+                sides = (one, d, 0, two, e, 0 if one is two else len(one.words))
+                every.add(*(sides if one.docs[d] > two.docs[e] else sides[3:] + sides[:3]), (none, none))
+        assert len(found) > 100
+        assert found == rows([every.batch()])
+
+
+def test_texts_that_meet_are_not_shuffled(spark, tmp_path, monkeypatch):
+    """A line that all texts have makes each two of them meet: no exchange has a row for that. The passage of two texts is found."""
+    monkeypatch.setattr(passages, "BLOCK", 20)
+    line, passage = [f"l{i}" for i in range(14)], [f"p{i}" for i in range(60)]
+    own = lambda i: [f"t{i}w{j}" for j in range(30)]
+    rows = [(i, " ".join(own(i) + line + own(-i - 1) + (passage if i in (30, 90) else []))) for i in range(120)]
+    rows_of(spark, [(i, t, "", "", 0) for i, t in rows], clash=False).write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["op9_substring_dedup"](spark, str(tmp_path))
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in found.collect()] == [(90, 74, 134, 30, 74, 134, 1.0)]
+
+
 def test_chains():
     x, y = list(range(0, 60, 4)) + [5, 9], list(range(100, 160, 4)) + [3, 500]
     found = [[(x[i], y[i]) for i in c] for c in passages.chains(x, y, 5)]
